@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shuffle_partitions
+from tidemark.session import checkpoint_root, shuffle_partitions
 
 CHUNK = "_chunk"
 
@@ -27,11 +27,21 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def chunked(df: DataFrame, key: str | Sequence[str], order: Sequence[str], n_chunks: int | None = None) -> DataFrame:
-    """Range-partition on (key, order) and tag each row with its chunk id."""
+    """Range-partition on (key, order) and tag each row with its chunk id.
+
+    The tagged data is checkpointed (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``): the chunk ids come from sampled range bounds,
+    and the per-row windows and the per-chunk summary must see the *same*
+    bounds. Two separately planned range exchanges would sample differently;
+    the checkpoint pins one assignment, and also cuts the lineage so a lost
+    executor never re-samples.
+    """
     keys = _keys(key)
     n = n_chunks or shuffle_partitions(df.sparkSession)
+    checkpoint_root(df.sparkSession)
     return (df.repartitionByRange(n, *[F.col(c) for c in keys + list(order)])
-            .withColumn(CHUNK, F.spark_partition_id()))
+            .withColumn(CHUNK, F.spark_partition_id())
+            .checkpoint(eager=True))
 
 
 def with_neighbors(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str], *,

@@ -1,0 +1,132 @@
+"""Versioned replica state on plain Parquet with one commit per micro-batch.
+
+Layout under ``root`` (a folder in shared storage):
+
+* ``state/v=<version>/bucket=<b>/`` -- copy-on-write state, hash-bucketed by key.
+  A version only rewrites the buckets its batch touched.
+* ``commits/`` -- one small row per committed batch: ``version, epoch,
+  buckets (touched), n_changes, committed_at_ms``.
+
+A version becomes visible only when its commit row exists, so a batch that dies
+between the data write and the commit leaves nothing visible; its retry writes
+the same version again (overwrite) and commits once. Reading version ``n``
+takes, per bucket, the newest version ``<= n`` that wrote it (a manifest with
+at most ``buckets`` rows, broadcast). State keeps tombstones (``op = 'd'``)
+so a late older upsert cannot resurrect a deleted key; readers filter them.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.fold import ORDER, latest_state
+
+COMMITS_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType(), False),
+    T.StructField("epoch", T.LongType(), True),
+    T.StructField("buckets", T.ArrayType(T.IntegerType()), True),
+    T.StructField("n_changes", T.LongType(), True),
+    T.StructField("committed_at_ms", T.LongType(), True),
+])
+
+
+class VersionedStore:
+    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, *,
+                 buckets: int = 64, order: Sequence[str] = ORDER, op_col: str = "op"):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.key = key
+        self.schema = schema
+        self.buckets = buckets
+        self.order = tuple(order)
+        self.op_col = op_col
+
+    # -- paths -------------------------------------------------------------
+    @property
+    def state_path(self) -> str:
+        return f"{self.root}/state"
+
+    @property
+    def commits_path(self) -> str:
+        return f"{self.root}/commits"
+
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).exists(p)
+
+    # -- metadata ------------------------------------------------------------
+    def commits(self) -> DataFrame:
+        if not self._exists(self.commits_path):
+            return self.spark.createDataFrame([], COMMITS_SCHEMA)
+        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
+
+    def last_version(self) -> int:
+        row = self.commits().agg(F.max("version").alias("v")).first()
+        return -1 if row is None or row["v"] is None else int(row["v"])
+
+    def committed_epoch(self, epoch: int) -> bool:
+        return not self.commits().filter(F.col("epoch") == F.lit(epoch)).isEmpty()
+
+    # -- reads ------------------------------------------------------------------
+    def manifest(self, version: int | None = None) -> DataFrame:
+        c = self.commits()
+        if version is not None:
+            c = c.filter(F.col("version") <= F.lit(version))
+        return (c.select(F.col("version"), F.explode("buckets").alias("bucket"))
+                .groupBy("bucket").agg(F.max("version").alias("v")))
+
+    def read(self, version: int | None = None, *, live: bool = True, buckets: list[int] | None = None) -> DataFrame:
+        full = T.StructType(self.schema.fields + [T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        if not self._exists(self.state_path):
+            df = self.spark.createDataFrame([], full)
+        else:
+            df = self.spark.read.schema(full).option("basePath", self.state_path).parquet(self.state_path)
+        if buckets is not None:
+            df = df.filter(F.col("bucket").isin(buckets))
+        m = self.manifest(version)
+        if buckets is not None:
+            m = m.filter(F.col("bucket").isin(buckets))
+        # The manifest has at most ``self.buckets`` rows: a bounded broadcast.
+        out = df.join(F.broadcast(m), ["v", "bucket"], "inner").select(*self.schema.names)
+        return out.filter(F.col(self.op_col) != "d") if live else out
+
+    # -- writes -----------------------------------------------------------------
+    def bucket_of(self, col: str | None = None):
+        return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
+
+    def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None) -> int | None:
+        """Fold one micro-batch of typed changes into a new version.
+
+        Idempotent per ``epoch``: a batch already committed is skipped; the
+        fold's (ts, pos) order guard makes re-applying older changes harmless.
+        Returns the committed version (or None when skipped/empty).
+        """
+        if self.committed_epoch(epoch):
+            return None
+        compact = latest_state(changes.select(*self.schema.names), self.key, self.order,
+                               keep_deletes=True, op_col=self.op_col).withColumn("bucket", self.bucket_of())
+        compact = compact.persist()
+        try:
+            touched = sorted(r["bucket"] for r in compact.select("bucket").distinct().collect())  # <= buckets values
+            if not touched:
+                return None
+            last = self.last_version()
+            version = last + 1
+            current = self.read(last, live=False, buckets=touched).withColumn("bucket", self.bucket_of())
+            nxt = latest_state(current.unionByName(compact), self.key, self.order, keep_deletes=True,
+                               op_col=self.op_col)
+            (nxt.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+             .parquet(f"{self.state_path}/v={version}"))
+            n = compact.count()
+            row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
+            self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+            return version
+        finally:
+            compact.unpersist()
