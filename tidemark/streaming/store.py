@@ -97,6 +97,16 @@ class VersionedStore:
         out = df.join(F.broadcast(m), ["v", "bucket"], "inner").select(*self.schema.names)
         return out.filter(F.col(self.op_col) != "d") if live else out
 
+    def files(self, version: int | None = None) -> DataFrame:
+        """Data files that make up a version (``$files``): path, size, rows."""
+        if not self._exists(self.state_path):
+            return self.spark.createDataFrame([], "file_path string, file_size long, record_count long")
+        df = self.spark.read.option("basePath", self.state_path).parquet(self.state_path).select(
+            "v", "bucket", F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_size").alias("file_size"))
+        live_files = df.join(F.broadcast(self.manifest(version)), ["v", "bucket"], "inner")
+        return live_files.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("record_count"))
+
     # -- writes -----------------------------------------------------------------
     def bucket_of(self, col: str | None = None):
         return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
@@ -108,23 +118,27 @@ class VersionedStore:
         fold's (ts, pos) order guard makes re-applying older changes harmless.
         Returns the committed version (or None when skipped/empty).
         """
-        if self.committed_epoch(epoch):
+        meta = self.commits().agg(F.max("version").alias("v"),
+                                  F.max(F.when(F.col("epoch") == F.lit(epoch), 1)).alias("seen")).first()
+        if meta is not None and meta["seen"] is not None:
             return None
+        last = -1 if meta is None or meta["v"] is None else int(meta["v"])
         compact = latest_state(changes.select(*self.schema.names), self.key, self.order,
                                keep_deletes=True, op_col=self.op_col).withColumn("bucket", self.bucket_of())
         compact = compact.persist()
         try:
-            touched = sorted(r["bucket"] for r in compact.select("bucket").distinct().collect())  # <= buckets values
+            # One small job: touched buckets and batch size (<= self.buckets rows).
+            per_bucket = compact.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+            touched = sorted(r["bucket"] for r in per_bucket)
             if not touched:
                 return None
-            last = self.last_version()
+            n = sum(r["n"] for r in per_bucket)
             version = last + 1
             current = self.read(last, live=False, buckets=touched).withColumn("bucket", self.bucket_of())
             nxt = latest_state(current.unionByName(compact), self.key, self.order, keep_deletes=True,
                                op_col=self.op_col)
             (nxt.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
              .parquet(f"{self.state_path}/v={version}"))
-            n = compact.count()
             row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
             self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
             return version
