@@ -147,7 +147,7 @@ def log_with_new_column(spark, sf):
 
 @register("schema_drift", with_log(
     "SELECT 'prop_k' AS column_name, count(*) AS n_changes, min(ts_ms) AS first_seen_ms, max(ts_ms) AS last_seen_ms "
-    f"FROM log WHERE batch_id >= {SCHEMA_CHANGE_AT} AND op <> 'd'"))
+    f"FROM log WHERE batch_id >= {SCHEMA_CHANGE_AT} AND op <> 'd' GROUP BY column_name"))
 def q_schema_drift(spark, sf):
     return versions.observed_columns(log_with_new_column(spark, sf), EVENTS_SPEC.names)
 

@@ -3,6 +3,7 @@ latest-row-per-key, windowed change rates; plus start/await helpers."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,16 +78,24 @@ def start_all(spark: SparkSession, builders: dict[str, Callable[[], StreamingQue
 
 
 def await_all(spark: SparkSession, queries: dict[str, StreamingQuery] | Sequence[StreamingQuery],
-              timeout: float | None = None) -> None:
+              timeout: float | None = None, poll_s: float = 1.0) -> None:
     """Wait on ALL queries: the first failure anywhere stops the rest and is
     raised (waiting on the first query alone would hide later failures)."""
     qs = list(queries.values()) if isinstance(queries, dict) else list(queries)
+    start = time.monotonic()
     try:
-        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+        while True:
+            for q in qs:
+                if q.exception() is not None:
+                    q.awaitTermination()          # re-raises the query's failure
+            if not any(q.isActive for q in qs):
+                return
+            if timeout is not None and time.monotonic() - start > timeout:
+                return
+            for q in qs:
+                if q.isActive:
+                    q.awaitTermination(poll_s)    # raises if it fails meanwhile
     finally:
-        failed = [q for q in qs if q.exception() is not None]
         for q in qs:
             if q.isActive:
                 q.stop()
-        if failed:
-            raise RuntimeError(f"streaming query {failed[0].name} failed: {failed[0].exception()}")
