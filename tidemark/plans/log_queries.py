@@ -133,10 +133,7 @@ def q_event_time(spark, sf):
 def log_with_new_column(spark, sf):
     """Row images as string maps; from commit SCHEMA_CHANGE_AT on, the source
     adds a column ``prop_k`` (taken from the event's ``props``)."""
-    log = event_log(spark, sf)
-    props = table(spark, sf, "events", ["event_id", "props"]).select(
-        F.col("event_id").alias("pos"), json_field(F.col("props"), "$.k", "bigint").alias("prop_k"))
-    j = log.join(props, "pos")
+    j = event_log(spark, sf, extra=("props",)).withColumn("prop_k", json_field(F.col("props"), "$.k", "bigint"))
     base = F.create_map(F.lit("k"), F.col("k").cast("string"), F.lit("status"), F.col("status"),
                         F.lit("amount"), F.col("amount").cast("string"))
     extra = F.when(F.col("batch_id") >= SCHEMA_CHANGE_AT,

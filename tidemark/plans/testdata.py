@@ -20,8 +20,10 @@ from tidemark.sources.tables import read_table
 BATCH_SIZE = 100
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+def event_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The derived typed change log; ``extra`` raw event columns ride along
+    from the same scan (no self-join)."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", *extra])
     return ev.select(
         F.col("user_id").alias("k"),
         F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d")
@@ -31,6 +33,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         ms_from_ntz(F.col("ts")).alias("ts_ms"),
         F.col("event_id").alias("pos"),
         F.floor(F.col("event_id") / BATCH_SIZE).cast("long").alias("batch_id"),
+        *[F.col(c) for c in extra],
     )
 
 
