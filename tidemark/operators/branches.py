@@ -38,14 +38,18 @@ def create_branch(refs: DataFrame, name: str, from_ref: str, at_commit: int, cre
 
 
 def _visible(log: DataFrame, refs: DataFrame, name: str, commit: str, ref_col: str) -> DataFrame:
-    own = log.filter(F.col(ref_col) == name).withColumn("_depth", F.lit(1))
-    base = F.broadcast(refs.filter((F.col("name") == name) & F.col("base_ref").isNotNull())
-                       .select(F.col("base_ref").alias("_base_ref"), F.col("base_commit").alias("_base_commit")))
-    inherited = (log.join(base, F.col(ref_col) == F.col("_base_ref"), "inner")
-                 .filter(F.col(commit) <= F.col("_base_commit"))
-                 .drop("_base_ref", "_base_commit")
-                 .withColumn("_depth", F.lit(0)))
-    return own.unionByName(inherited)
+    """Rows visible on ``name`` in ONE pass over the log: a visibility table
+    (the branch itself at depth 1 with no commit bound, its base at depth 0 up
+    to the fork commit; at most 2 rows, broadcast) inner-joined on ``ref``."""
+    me = refs.filter(F.col("name") == name)
+    own = me.select(F.col("name").alias("_vref"), F.lit(1).alias("_depth"),
+                    F.lit(None).cast("long").alias("_upto"))
+    base = me.filter(F.col("base_ref").isNotNull()).select(
+        F.col("base_ref").alias("_vref"), F.lit(0).alias("_depth"), F.col("base_commit").cast("long").alias("_upto"))
+    vis = F.broadcast(own.unionByName(base))
+    return (log.join(vis, F.col(ref_col) == F.col("_vref"), "inner")
+            .filter(F.col("_upto").isNull() | (F.col(commit) <= F.col("_upto")))
+            .drop("_vref", "_upto"))
 
 
 def read_ref(log: DataFrame, refs: DataFrame, name: str, key: str, *, commit: str = "batch_id",

@@ -39,10 +39,14 @@ def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str]
     are dropped from the result unless ``keep_deletes`` (tombstones in state)."""
     keys = _keys(key)
     cols = log.columns
+    rest = [c for c in cols if c not in keys]
+    # Keys come out as the grouping columns themselves (not struct fields), so
+    # the result stays hash-partitioned on the key: a later join or fold on the
+    # same key reuses that partitioning instead of shuffling again.
     folded = (log.filter(_no_null(keys))
               .groupBy(*keys)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct(order)).alias("_r"))
-              .select("_r.*"))
+              .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), _order_struct(order)).alias("_r"))
+              .select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in cols]))
     if not keep_deletes:
         folded = folded.filter(F.col(op_col) != "d")
     return folded
