@@ -37,12 +37,15 @@ COMMITS_SCHEMA = T.StructType([
 
 class VersionedStore:
     def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, *,
-                 buckets: int = 64, order: Sequence[str] = ORDER, op_col: str = "op"):
+                 buckets: int = 64, files_per_bucket: int = 1, order: Sequence[str] = ORDER, op_col: str = "op"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
         self.schema = schema
         self.buckets = buckets
+        # Writers per bucket: a bucket's rows are spread over this many tasks
+        # (and files), so a large bucket is not written by a single task.
+        self.files_per_bucket = files_per_bucket
         self.order = tuple(order)
         self.op_col = op_col
 
@@ -137,8 +140,9 @@ class VersionedStore:
             current = self.read(last, live=False, buckets=touched).withColumn("bucket", self.bucket_of())
             nxt = latest_state(current.unionByName(compact), self.key, self.order, keep_deletes=True,
                                op_col=self.op_col)
-            (nxt.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-             .parquet(f"{self.state_path}/v={version}"))
+            sub = F.pmod(F.xxhash64(F.col(self.key), F.lit("file")), F.lit(self.files_per_bucket))
+            (nxt.repartition(len(touched) * self.files_per_bucket, F.col("bucket"), sub)
+             .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
             row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
             self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
             return version
