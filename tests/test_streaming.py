@@ -33,6 +33,10 @@ def test_store_versions_and_idempotent_epochs(spark, tmp_root):
     store.apply(first, epoch=2)
     assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
     assert store.files().count() >= 1
+    before = _rows(store.read())
+    v = store.compact()
+    assert _rows(store.read()) == before and _rows(store.read(v - 1)) == before
+    assert store.manifest().filter(F.col("v") != v).count() == 0   # reads touch the compacted version only
 
 
 def test_stream_apply_equals_batch_and_survives_restart(spark, tmp_root):

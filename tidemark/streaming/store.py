@@ -148,3 +148,23 @@ class VersionedStore:
             return version
         finally:
             compact.unpersist()
+
+    def compact(self, *, tombstone_before_ms: int | None = None, epoch: int | None = None) -> int | None:
+        """Rewrite the current state as one full version (every bucket), so
+        readers stop walking many small per-batch versions; optionally purge
+        tombstones older than the retention bound. Older versions stay
+        readable (time travel) until their folders are expired."""
+        last = self.last_version()
+        if last < 0:
+            return None
+        cur = self.read(last, live=False)
+        if tombstone_before_ms is not None:
+            cur = cur.filter((F.col(self.op_col) != "d") | (F.col(self.order[0]) >= F.lit(tombstone_before_ms)))
+        version = last + 1
+        sub = F.pmod(F.xxhash64(F.col(self.key), F.lit("file")), F.lit(self.files_per_bucket))
+        (cur.withColumn("bucket", self.bucket_of())
+         .repartition(self.buckets * self.files_per_bucket, F.col("bucket"), sub)
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
+        row = [(version, epoch, list(range(self.buckets)), 0, int(time.time() * 1000))]
+        self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+        return version
