@@ -24,13 +24,16 @@ def test_store_versions_and_idempotent_epochs(spark, tmp_root):
     store = VersionedStore(spark, f"{tmp_root}/r", "k", log.schema, buckets=4)
     first = log.filter(F.col("pos") < 500)
     rest = log.filter(F.col("pos") >= 500)
-    assert store.apply(first, epoch=0) == 0
-    assert store.apply(rest, epoch=1) == 1
+    assert store.apply(first, epoch=0, now_ms=1000) == 0
+    assert store.apply(rest, epoch=1, now_ms=2000) == 1
     assert store.apply(rest, epoch=1) is None            # replayed epoch: skipped
     assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
     assert _rows(store.read(0)) == _rows(fold.latest_state(first, "k"))
+    assert _rows(store.read_as_of(1500)) == _rows(store.read(0))        # time travel by commit time
+    assert store.read_as_of(10).count() == 0
+    assert [r.version for r in store.history().collect()] == [1, 0]
     # Re-applying already-applied changes under a new epoch changes nothing (order guard).
-    store.apply(first, epoch=2)
+    store.apply(first, epoch=2, now_ms=3000)
     assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
     assert store.files().count() >= 1
     before = _rows(store.read())
@@ -107,3 +110,24 @@ def test_await_all_surfaces_failure(spark, tmp_root):
          .option("checkpointLocation", f"{tmp_root}/ck4").trigger(availableNow=True).start())
     with pytest.raises(Exception):
         await_all(spark, {"t": q}, timeout=120)
+
+
+def test_stream_rate_watermark_drops_only_too_late_events(spark, tmp_root):
+    from tidemark.streaming.apply import stream_rate
+
+    src, out = f"{tmp_root}/rate", f"{tmp_root}/rate_out"
+
+    def land_and_run(name, rows):
+        spark.createDataFrame(rows, "pos long, ts_ms long").write.parquet(f"{src}/{name}")
+        stream = spark.readStream.schema("pos long, ts_ms long").option("recursiveFileLookup", "true").parquet(src)
+        q = (stream_rate(stream, "1 minute", watermark="1 hour").writeStream.outputMode("append")
+             .format("parquet").option("path", out).option("checkpointLocation", f"{tmp_root}/ck_rate")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    land_and_run("a", [(0, 60_000), (1, 61_000)])
+    land_and_run("b", [(2, 7_260_000)])                   # 2 h later: watermark (1 h) passes minute 1
+    land_and_run("c", [(3, 62_000), (4, 7_200_000)])      # too late (dropped) / late but in bound (kept)
+    land_and_run("d", [(5, 20_000_000)])                  # advance again so minute 120 is emitted
+    got = {r.window_start_ms: r.n_changes for r in spark.read.parquet(out).collect()}
+    assert got[60_000] == 2 and got[7_200_000] == 1 and got[7_260_000] == 1

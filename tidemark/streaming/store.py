@@ -77,6 +77,26 @@ class VersionedStore:
     def committed_epoch(self, epoch: int) -> bool:
         return not self.commits().filter(F.col("epoch") == F.lit(epoch)).isEmpty()
 
+    def history(self) -> DataFrame:
+        """Commit history of the replica, newest first (``$history``)."""
+        return self.commits().select("version", "epoch", "committed_at_ms", "n_changes",
+                                     F.size("buckets").alias("buckets_written")) \
+            .orderBy(F.col("version").desc())
+
+    def version_at(self, t_ms: int) -> int | None:
+        """Newest version committed at or before ``t_ms`` (one metadata row)."""
+        row = self.commits().filter(F.col("committed_at_ms") <= F.lit(t_ms)).agg(F.max("version").alias("v")).first()
+        return None if row is None or row["v"] is None else int(row["v"])
+
+    def read_as_of(self, t_ms: int, *, live: bool = True) -> DataFrame:
+        """``FOR TIMESTAMP AS OF``: the state readers saw at ``t_ms`` (empty
+        before the first commit)."""
+        v = self.version_at(t_ms)
+        if v is None:
+            full = self.read(-1, live=live)
+            return full.limit(0)
+        return self.read(v, live=live)
+
     # -- reads ------------------------------------------------------------------
     def manifest(self, version: int | None = None) -> DataFrame:
         c = self.commits()
