@@ -71,3 +71,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - unusual confs
         return 200
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a DataFrame over the task slots when its scan yields fewer
+    partitions than there are slots (one large row group), so that CPU-heavy
+    per-row work (JSON encoding/parsing) runs in parallel. On large inputs the
+    scan already has at least that many splits and this returns ``df``
+    unchanged: it never adds a shuffle at scale. ``getNumPartitions`` only
+    plans the scan; it runs no job."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
