@@ -70,3 +70,13 @@ def test_replicate_all_tables(spark, tmp_root):
     assert (inv.sku, inv.stock_quantity) == ("SKU-LAP-001", 47)
     it = wh.read(SPECS["order_items"]).first()
     assert (it.item_id, it.quantity, str(it.unit_price)) == (5, 2, "39.99")
+
+
+def test_scale_conf_sizes_partitions():
+    from tidemark.session import scale_conf
+
+    c = scale_conf(100 * 2**40, 8000, large_state=True)            # 100 TB on 8000 task slots
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000         # capped; AQE coalesces down
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(15 * 2**20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

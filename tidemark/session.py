@@ -84,3 +84,41 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def scale_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
+               large_state: bool = False) -> dict[str, str]:
+    """Recommended settings for a job reading ``input_bytes`` on ``total_cores``
+    task slots: initial shuffle partitions sized so each holds about
+    ``target_partition_bytes`` (AQE coalesces small ones and splits skewed
+    ones), scan splits of the same size, and RocksDB state for streaming
+    aggregations over large key sets."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(min(parts, 100_000)),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 1 << 30)),
+    }
+    if large_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return conf
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str], *, overwrite: bool = False) -> dict[str, str]:
+    """Set runtime SQL confs. Unless ``overwrite``, keys the cluster set
+    explicitly (present in the SparkConf) are left alone."""
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    applied = {}
+    for k, v in conf.items():
+        if not overwrite and k in explicit:
+            continue
+        try:
+            spark.conf.set(k, v)
+            applied[k] = v
+        except Exception:  # static confs (e.g. the state store provider) only apply at startup
+            pass
+    return applied
