@@ -104,3 +104,9 @@ def test_latest_plan_has_partial_aggregation(spark):
         fold.latest_state(log, "k").explain()
     # map-side partial aggregate before the shuffle: hot keys are pre-reduced
     assert "partial_max_by" in buf.getvalue()
+
+
+def test_snapshot_row_loses_to_later_change(spark):
+    # Initial snapshot rows arrive as op 'r' with the lowest order.
+    log = spark.createDataFrame([(1, "r", "snap", 0, -1), (1, "u", "live", 5, 3), (2, "r", "only", 0, -1)], SCHEMA)
+    assert rows(fold.latest_state(log, "k")) == [(1, "u", "live", 5, 3), (2, "r", "only", 0, -1)]

@@ -244,3 +244,41 @@ def q_replay_dedup(spark, sf):
         .withColumn("partition", F.pmod(F.col("k"), F.lit(4))).withColumn("offset", F.col("pos"))
     replayed = log.unionByName(log.filter(F.col("batch_id").between(40, 60)))
     return replay_dedup(replayed).select(*STATE_COLS, "partition")
+
+
+# -- hot key: the same operators when one key holds a large share of the log --
+
+_HOT = "CASE WHEN status IN ('view', 'click') THEN -1 ELSE k END"
+HOT_LOG_SQL = f"SELECT {_HOT} AS k, op, status, amount, ts_ms, pos, batch_id FROM log"
+
+
+def hot_key_log(spark, sf):
+    """Page views and clicks are attributed to one shared anonymous key (-1),
+    which then holds about 40% of all changes."""
+    log = event_log(spark, sf)
+    return log.withColumn("k", F.when(F.col("status").isin("view", "click"), F.lit(-1).cast("long"))
+                          .otherwise(F.col("k")))
+
+
+@register("hot_key_latest", with_log(latest_sql("hot"), f"hot AS ({HOT_LOG_SQL})"))
+def q_hot_key_latest(spark, sf):
+    return state_cols(fold.latest_state(hot_key_log(spark, sf), "k"))
+
+
+@register("hot_key_scd2", with_log(
+    "SELECT k, status, amount, valid_from, valid_to, valid_to IS NULL AS is_current, pos FROM ("
+    "SELECT k, op, status, amount, pos, ts_ms AS valid_from, lead(ts_ms) OVER w AS valid_to FROM hot " + _W +
+    ") WHERE op <> 'd'", f"hot AS ({HOT_LOG_SQL})"))
+def q_hot_key_scd2(spark, sf):
+    """SCD2 over a log with a hot key: the hot key is cut into range chunks."""
+    return ordered.scd2(hot_key_log(spark, sf), "k", ["status", "amount"])
+
+
+@register("hot_key_clamped_stock", with_log(
+    "SELECT k, pos, CAST(p - least(0, min(p) OVER w) AS BIGINT) AS level FROM ("
+    "SELECT k, ts_ms, pos, 10 + sum(CASE WHEN op = 'c' THEN 15 ELSE -5 END) OVER w AS p FROM hot " + _W + ") " + _W,
+    f"hot AS ({HOT_LOG_SQL})"))
+def q_hot_key_clamped_stock(spark, sf):
+    log = hot_key_log(spark, sf).withColumn("delta", F.when(F.col("op") == "c", 15).otherwise(-5))
+    r = ordered.clamped_running(log, "k", ["ts_ms", "pos"], "delta", start=10)
+    return r.select("k", "pos", F.col("level").cast("long").alias("level"))
