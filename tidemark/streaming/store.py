@@ -11,7 +11,7 @@ A version becomes visible only when its commit row exists, so a batch that dies
 between the data write and the commit leaves nothing visible; its retry writes
 the same version again (overwrite) and commits once. Reading version ``n``
 takes, per bucket, the newest version ``<= n`` that wrote it (a manifest with
-at most ``buckets`` rows, broadcast). State keeps tombstones (``op = 'd'``)
+at most ``buckets`` rows) and reads exactly those folders. State keeps tombstones (``op = 'd'``)
 so a late older upsert cannot resurrect a deleted key; readers filter them.
 """
 
@@ -105,30 +105,38 @@ class VersionedStore:
         return (c.select(F.col("version"), F.explode("buckets").alias("bucket"))
                 .groupBy("bucket").agg(F.max("version").alias("v")))
 
-    def read(self, version: int | None = None, *, live: bool = True, buckets: list[int] | None = None) -> DataFrame:
-        full = T.StructType(self.schema.fields + [T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())])
-        if not self._exists(self.state_path):
-            df = self.spark.createDataFrame([], full)
-        else:
-            df = self.spark.read.schema(full).option("basePath", self.state_path).parquet(self.state_path)
-        if buckets is not None:
-            df = df.filter(F.col("bucket").isin(buckets))
+    def _paths(self, version: int | None, buckets: list[int] | None) -> list[str]:
+        """Folders that make up ``version``: per bucket, the newest version that
+        wrote it. The manifest has at most ``self.buckets`` rows (bounded
+        metadata), so it is collected; reading exactly those folders avoids
+        listing every version of the table on each read."""
         m = self.manifest(version)
         if buckets is not None:
             m = m.filter(F.col("bucket").isin(buckets))
-        # The manifest has at most ``self.buckets`` rows: a bounded broadcast.
-        out = df.join(F.broadcast(m), ["v", "bucket"], "inner").select(*self.schema.names)
+        return [f"{self.state_path}/v={r['v']}/bucket={r['bucket']}" for r in m.collect()]
+
+    def _full_schema(self) -> T.StructType:
+        return T.StructType(self.schema.fields + [T.StructField("v", T.LongType()),
+                                                  T.StructField("bucket", T.IntegerType())])
+
+    def read(self, version: int | None = None, *, live: bool = True, buckets: list[int] | None = None) -> DataFrame:
+        paths = self._paths(version, buckets)
+        if not paths:
+            out = self.spark.createDataFrame([], self.schema)
+        else:
+            out = (self.spark.read.schema(self._full_schema()).option("basePath", self.state_path)
+                   .parquet(*paths).select(*self.schema.names))
         return out.filter(F.col(self.op_col) != "d") if live else out
 
     def files(self, version: int | None = None) -> DataFrame:
         """Data files that make up a version (``$files``): path, size, rows."""
-        if not self._exists(self.state_path):
+        paths = self._paths(version, None)
+        if not paths:
             return self.spark.createDataFrame([], "file_path string, file_size long, record_count long")
-        df = self.spark.read.option("basePath", self.state_path).parquet(self.state_path).select(
-            "v", "bucket", F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_size"))
-        live_files = df.join(F.broadcast(self.manifest(version)), ["v", "bucket"], "inner")
-        return live_files.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("record_count"))
+        df = self.spark.read.schema(self._full_schema()).option("basePath", self.state_path).parquet(*paths)
+        return (df.select(F.col("_metadata.file_path").alias("file_path"),
+                          F.col("_metadata.file_size").alias("file_size"))
+                .groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("record_count")))
 
     # -- writes -----------------------------------------------------------------
     def bucket_of(self, col: str | None = None):
