@@ -12,7 +12,7 @@ from tidemark.plans.core_queries import LATEST_SQL, STATE_COLS
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, with_log
 from tidemark.session import work_dir
-from tidemark.streaming.apply import start_apply, stream_latest, stream_rate
+from tidemark.streaming.apply import start_apply, start_latest, stream_rate
 from tidemark.streaming.store import VersionedStore
 
 N_FILES = 5
@@ -69,15 +69,17 @@ def _complete_to(path: str):
 
 @register("stream_latest", LATEST_SQL)
 def q_stream_latest(spark, sf):
-    """Stateful streaming aggregation: latest row per key (complete mode)."""
+    """Stateful streaming aggregation (latest row per key) in update mode,
+    folded into a versioned store."""
     root = work_dir(spark, "stream-latest")
     path, static = stage_log_files(spark, sf, root)
-    agg = stream_latest(_stream(spark, path, static.schema, 1).select(*STATE_COLS), "k")
-    out = f"{root}/result"
-    q = (agg.writeStream.outputMode("complete").foreachBatch(_complete_to(out))
-         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
+    store = VersionedStore(spark, f"{root}/replica", "k", static.select(*STATE_COLS).schema, buckets=8)
+    q = start_latest(_stream(spark, path, static.schema).select(*STATE_COLS), "k", store,
+                     f"{root}/_checkpoint", trigger="availableNow")
     q.awaitTermination()
-    return spark.read.parquet(out).filter(F.col("op") != "d").select(*STATE_COLS)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read().select(*STATE_COLS)
 
 
 @register("stream_rate", with_log(
@@ -86,7 +88,7 @@ def q_stream_rate(spark, sf):
     """Windowed change counts per minute with a watermark."""
     root = work_dir(spark, "stream-rate")
     path, static = stage_log_files(spark, sf, root)
-    agg = stream_rate(_stream(spark, path, static.schema, 1), "1 minute", watermark="1 hour", by=["status"])
+    agg = stream_rate(_stream(spark, path, static.schema), "1 minute", watermark="1 hour", by=["status"])
     out = f"{root}/result"
     q = (agg.writeStream.outputMode("complete").foreachBatch(_complete_to(out))
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
@@ -100,7 +102,7 @@ def q_append_log(spark, sf):
     root = work_dir(spark, "append-log")
     path, static = stage_log_files(spark, sf, root)
     target = f"{root}/log_table"
-    q = (_stream(spark, path, static.schema, 1).writeStream.format("parquet").outputMode("append")
+    q = (_stream(spark, path, static.schema).writeStream.format("parquet").outputMode("append")
          .option("path", target).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()

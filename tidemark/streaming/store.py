@@ -36,11 +36,12 @@ COMMITS_SCHEMA = T.StructType([
 
 
 class VersionedStore:
-    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, *,
+    def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str], schema: T.StructType, *,
                  buckets: int = 64, files_per_bucket: int = 1, order: Sequence[str] = ORDER, op_col: str = "op"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
+        self.keys = [key] if isinstance(key, str) else list(key)
         self.schema = schema
         self.buckets = buckets
         # Writers per bucket: a bucket's rows are spread over this many tasks
@@ -140,7 +141,8 @@ class VersionedStore:
 
     # -- writes -----------------------------------------------------------------
     def bucket_of(self, col: str | None = None):
-        return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
+        cols = [F.col(col)] if col else [F.col(k) for k in self.keys]
+        return F.pmod(F.xxhash64(*cols), F.lit(self.buckets)).cast("int")
 
     def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None) -> int | None:
         """Fold one micro-batch of typed changes into a new version.
@@ -168,7 +170,7 @@ class VersionedStore:
             current = self.read(last, live=False, buckets=touched).withColumn("bucket", self.bucket_of())
             nxt = latest_state(current.unionByName(compact), self.key, self.order, keep_deletes=True,
                                op_col=self.op_col)
-            sub = F.pmod(F.xxhash64(F.col(self.key), F.lit("file")), F.lit(self.files_per_bucket))
+            sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys], F.lit("file")), F.lit(self.files_per_bucket))
             (nxt.repartition(len(touched) * self.files_per_bucket, F.col("bucket"), sub)
              .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
             row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
@@ -189,7 +191,7 @@ class VersionedStore:
         if tombstone_before_ms is not None:
             cur = cur.filter((F.col(self.op_col) != "d") | (F.col(self.order[0]) >= F.lit(tombstone_before_ms)))
         version = last + 1
-        sub = F.pmod(F.xxhash64(F.col(self.key), F.lit("file")), F.lit(self.files_per_bucket))
+        sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys], F.lit("file")), F.lit(self.files_per_bucket))
         (cur.withColumn("bucket", self.bucket_of())
          .repartition(self.buckets * self.files_per_bucket, F.col("bucket"), sub)
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
