@@ -151,11 +151,19 @@ class VersionedStore:
         fold's (ts, pos) order guard makes re-applying older changes harmless.
         Returns the committed version (or None when skipped/empty).
         """
-        meta = self.commits().agg(F.max("version").alias("v"),
-                                  F.max(F.when(F.col("epoch") == F.lit(epoch), 1)).alias("seen")).first()
-        if meta is not None and meta["seen"] is not None:
+        # One job over the commit rows (<= buckets + 1 rows back): the newest
+        # version per bucket, the last version, and whether this epoch landed.
+        c = self.commits()
+        per_bucket = (c.select("version", F.explode("buckets").alias("bucket")).groupBy("bucket")
+                      .agg(F.max("version").alias("v")).withColumn("seen", F.lit(None).cast("int")))
+        summary = c.agg(F.lit(-1).alias("bucket"), F.max("version").alias("v"),
+                        F.max(F.when(F.col("epoch") == F.lit(epoch), 1)).alias("seen"))
+        meta = per_bucket.unionByName(summary).collect()
+        top = next(r for r in meta if r["bucket"] == -1)
+        if top["seen"] is not None:
             return None
-        last = -1 if meta is None or meta["v"] is None else int(meta["v"])
+        last = -1 if top["v"] is None else int(top["v"])
+        newest = {r["bucket"]: r["v"] for r in meta if r["bucket"] != -1}
         compact = latest_state(changes.select(*self.schema.names), self.key, self.order,
                                keep_deletes=True, op_col=self.op_col).withColumn("bucket", self.bucket_of())
         compact = compact.persist()
@@ -167,12 +175,23 @@ class VersionedStore:
                 return None
             n = sum(r["n"] for r in per_bucket)
             version = last + 1
-            current = self.read(last, live=False, buckets=touched).withColumn("bucket", self.bucket_of())
-            nxt = latest_state(current.unionByName(compact), self.key, self.order, keep_deletes=True,
-                               op_col=self.op_col)
+            paths = [f"{self.state_path}/v={newest[b]}/bucket={b}" for b in touched if b in newest]
+            if paths:
+                current = (self.spark.read.schema(self._full_schema()).option("basePath", self.state_path)
+                           .parquet(*paths).select(*self.schema.names))
+            else:
+                current = self.spark.createDataFrame([], self.schema)
+            current = current.withColumn("bucket", self.bucket_of())
+            # Both inputs hold at most one row per key, so a map-side combine
+            # buys nothing: shuffle once by (bucket, writer) and fold there.
+            # Grouping by (bucket, _w, key) is satisfied by that partitioning,
+            # so the fold adds no second exchange before the write.
             sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys], F.lit("file")), F.lit(self.files_per_bucket))
-            (nxt.repartition(len(touched) * self.files_per_bucket, F.col("bucket"), sub)
-             .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
+            both = (current.unionByName(compact).withColumn("_w", sub)
+                    .repartition(len(touched) * self.files_per_bucket, F.col("bucket"), F.col("_w")))
+            nxt = latest_state(both, ["bucket", "_w", *self.keys], self.order, keep_deletes=True,
+                               op_col=self.op_col).drop("_w")
+            nxt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}")
             row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
             self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
             return version
