@@ -40,6 +40,21 @@ def test_store_versions_and_idempotent_epochs(spark, tmp_root):
     v = store.compact()
     assert _rows(store.read()) == before and _rows(store.read(v - 1)) == before
     assert store.manifest().filter(F.col("v") != v).count() == 0   # reads touch the compacted version only
+    trend = {r.version: r.rows for r in store.size_trend().collect()}
+    assert set(trend) == {0, 1, 2, v} and trend[v] == len(before) + store.read(live=False).filter("op = 'd'").count()
+
+
+def test_compact_log_keeps_every_change(spark, tmp_root):
+    from tidemark.operators.versions import compact_log
+
+    log = event_log(spark, SF)
+    for b in range(3):   # three small appends per commit range
+        log.filter(F.col("batch_id") % 3 == b).write.mode("append").partitionBy("batch_id").parquet(f"{tmp_root}/log")
+    small = spark.read.parquet(f"{tmp_root}/log")
+    compact_log(small, f"{tmp_root}/log_compact", ["batch_id"])
+    big = spark.read.parquet(f"{tmp_root}/log_compact")
+    assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+    assert big.select(F.input_file_name()).distinct().count() == log.select("batch_id").distinct().count()
 
 
 def test_stream_apply_equals_batch_and_survives_restart(spark, tmp_root):

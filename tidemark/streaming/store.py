@@ -139,6 +139,21 @@ class VersionedStore:
                           F.col("_metadata.file_size").alias("file_size"))
                 .groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("record_count")))
 
+    def size_trend(self) -> DataFrame:
+        """Bytes and rows written per version (snapshot size trend), from file
+        metadata of every version folder joined to the commit rows."""
+        if not self._exists(self.state_path):
+            return self.spark.createDataFrame([], "version long, committed_at_ms long, files long, bytes long, rows long")
+        files = (self.spark.read.schema(self._full_schema()).option("basePath", self.state_path)
+                 .parquet(self.state_path)
+                 .select(F.col("v").alias("version"), F.col("_metadata.file_path").alias("p"),
+                         F.col("_metadata.file_size").alias("s"))
+                 .groupBy("version", "p", "s").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("version").agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("bytes"),
+                                         F.sum("n").alias("rows")))
+        return (self.commits().select("version", "committed_at_ms").join(files, "version", "inner")
+                .orderBy("version"))
+
     # -- writes -----------------------------------------------------------------
     def bucket_of(self, col: str | None = None):
         cols = [F.col(col)] if col else [F.col(k) for k in self.keys]
