@@ -112,3 +112,9 @@ def test_changed_columns(spark):
     got = df.select(changed_columns(F.col("e.before"), F.col("e.after")).alias("c")).first().c
     # Partial before image: fields absent from `before` count as changed.
     assert got == "email,loyalty_tier,name,phone"
+
+
+def test_quarantine_keeps_raw_record(spark):
+    p = envelope.parse_envelope(raw_frame(spark, ["{not json", INSERT]), CUSTOMERS_SPEC)
+    _, bad = envelope.split_valid(p)
+    assert [r._raw for r in bad.collect()] == ["{not json"]

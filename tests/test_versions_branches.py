@@ -87,3 +87,10 @@ def test_schema_drift_and_evolve(spark):
     drift = versions.observed_columns(log, ["k", "status"]).collect()
     assert [(r.column_name, r.n_changes, r.first_seen_ms) for r in drift] == [("tier", 1, 2)]
     assert fold is not None
+
+
+def test_as_of_with_external_commit_times(spark):
+    log = spark.createDataFrame([(1, "c", "a", 10, 1, 1, "main"), (1, "u", "b", 20, 2, 2, "main")], LOG)
+    ct = spark.createDataFrame([(1, 100), (2, 200)], "commit_id long, committed_at_ms long")
+    assert [r.status for r in versions.as_of(log, "k", 150, commit_times=ct).collect()] == ["a"]
+    assert [r.status for r in versions.as_of(log, "k", 250, commit_times=ct).collect()] == ["b"]

@@ -23,7 +23,7 @@ def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str |
     """Kafka-shaped rows -> one row per change with envelope fields projected.
 
     Output: ``table, key, op, ts_ms, topic, partition, offset, before, after,
-    _reason``. Tombstones (NULL or empty value, emitted after deletes for log
+    _reason, _raw`` (the record text, for quarantine). Tombstones (NULL or empty value, emitted after deletes for log
     compaction) are removed here; they are not changes. The key is taken from
     ``after`` and falls back to ``before`` so deletes keep their identity.
     """
@@ -47,6 +47,7 @@ def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str |
         F.col("cdc.before").alias("before"),
         F.col("cdc.after").alias("after"),
         _reason(spec).alias("_reason"),
+        F.col("_raw"),          # original record text, kept for quarantine (pruned when unused)
     )
     return out
 
@@ -93,7 +94,7 @@ def project_typed(parsed: DataFrame, spec: TableSpec, *, state: DataFrame | None
     out = parsed.select(
         *typed,
         "op", "ts_ms",
-        *[c for c in ("table", "topic", "partition", "offset") if c in parsed.columns],
+        *[c for c in ("table", "topic", "partition", "offset", "_raw") if c in parsed.columns],
         F.coalesce(F.col("_reason"), bad).alias("_reason"),
     )
     if spec.pk is not None and spec.pk != spec.key:

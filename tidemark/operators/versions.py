@@ -34,14 +34,20 @@ def with_commit_time(log: DataFrame, commit: str = "batch_id", ts: str = "ts_ms"
 
 
 def as_of(log: DataFrame, key: str, t_ms: int, *, by: str = "commit", commit: str = "batch_id",
-          order: Sequence[str] = ORDER) -> DataFrame:
+          order: Sequence[str] = ORDER, commit_times: DataFrame | None = None) -> DataFrame:
     """State as of instant ``t_ms``: by commit time (what a reader of the replica
-    saw then, table snapshots) or by event time (what had happened at the source)."""
+    saw then, table snapshots) or by event time (what had happened at the source).
+    ``commit_times`` (``commit_id, committed_at_ms``, e.g. a store's commit
+    rows) overrides commit times derived from the log itself."""
     if by == "event":
         visible = log.filter(F.col(order[0]) <= F.lit(t_ms))
     elif by == "commit":
-        visible = with_commit_time(log, commit, order[0]).filter(F.col("committed_at_ms") <= F.lit(t_ms)) \
-            .drop("committed_at_ms")
+        if commit_times is not None:
+            ok = commit_times.filter(F.col("committed_at_ms") <= F.lit(t_ms)).select(F.col("commit_id").alias(commit))
+            visible = log.join(ok, commit, "left_semi")
+        else:
+            visible = with_commit_time(log, commit, order[0]).filter(F.col("committed_at_ms") <= F.lit(t_ms)) \
+                .drop("committed_at_ms")
     else:
         raise ValueError("by must be 'commit' or 'event'")
     return latest_state(visible, key, order)

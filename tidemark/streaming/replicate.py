@@ -53,7 +53,7 @@ def typed_changes(spec: TableSpec) -> Callable[[DataFrame], tuple[DataFrame, Dat
         p = envelope.parse_envelope(batch, spec)
         t = envelope.project_typed(p, spec).withColumn("pos", F.col("offset"))
         ok, bad = envelope.split_valid(t)
-        return ok, bad.select("op", "ts_ms", "topic", "partition", "offset", "_reason")
+        return ok, bad.select("op", "ts_ms", "topic", "partition", "offset", "_reason", "_raw")
     return run
 
 
