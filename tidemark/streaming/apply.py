@@ -43,7 +43,7 @@ def start_apply(stream: DataFrame, store: VersionedStore, checkpoint: str, *,
                 valid, bad = to_changes(batch_df)
             if bad is not None and quarantine_path is not None:
                 bad.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path)
-            store.apply(valid, epoch_id)
+            store.apply(valid, epoch_id, writer=checkpoint)
         finally:
             batch_df.unpersist()
 
@@ -72,7 +72,7 @@ def start_latest(stream: DataFrame, key: str, store: VersionedStore, checkpoint:
     agg = stream_latest(stream, key, order)
 
     def upsert(batch_df: DataFrame, epoch_id: int) -> None:
-        store.apply(batch_df, epoch_id)
+        store.apply(batch_df, epoch_id, writer=checkpoint)
 
     w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

@@ -4,8 +4,10 @@ Layout under ``root`` (a folder in shared storage):
 
 * ``state/v=<version>/bucket=<b>/`` -- copy-on-write state, hash-bucketed by key.
   A version only rewrites the buckets its batch touched.
-* ``commits/`` -- one small row per committed batch: ``version, epoch,
-  buckets (touched), n_changes, committed_at_ms``.
+* ``commits/`` -- one small row per committed batch: ``version, writer, epoch,
+  buckets (touched), n_changes, committed_at_ms``. ``writer`` identifies the
+  streaming query (its checkpoint location): epoch ids restart when a query
+  gets a new checkpoint, so "already committed" is judged per writer.
 
 A version becomes visible only when its commit row exists, so a batch that dies
 between the data write and the commit leaves nothing visible; its retry writes
@@ -29,6 +31,7 @@ from tidemark.operators.fold import ORDER, latest_state
 COMMITS_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("epoch", T.LongType(), True),
+    T.StructField("writer", T.StringType(), True),
     T.StructField("buckets", T.ArrayType(T.IntegerType()), True),
     T.StructField("n_changes", T.LongType(), True),
     T.StructField("committed_at_ms", T.LongType(), True),
@@ -75,8 +78,9 @@ class VersionedStore:
         row = self.commits().agg(F.max("version").alias("v")).first()
         return -1 if row is None or row["v"] is None else int(row["v"])
 
-    def committed_epoch(self, epoch: int) -> bool:
-        return not self.commits().filter(F.col("epoch") == F.lit(epoch)).isEmpty()
+    def committed_epoch(self, epoch: int, writer: str = "") -> bool:
+        return not self.commits().filter((F.col("epoch") == F.lit(epoch)) &
+                                         (F.col("writer") == F.lit(writer))).isEmpty()
 
     def history(self) -> DataFrame:
         """Commit history of the replica, newest first (``$history``)."""
@@ -159,10 +163,10 @@ class VersionedStore:
         cols = [F.col(col)] if col else [F.col(k) for k in self.keys]
         return F.pmod(F.xxhash64(*cols), F.lit(self.buckets)).cast("int")
 
-    def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None) -> int | None:
+    def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None, *, writer: str = "") -> int | None:
         """Fold one micro-batch of typed changes into a new version.
 
-        Idempotent per ``epoch``: a batch already committed is skipped; the
+        Idempotent per ``(writer, epoch)``: a batch already committed is skipped; the
         fold's (ts, pos) order guard makes re-applying older changes harmless.
         Returns the committed version (or None when skipped/empty).
         """
@@ -172,7 +176,8 @@ class VersionedStore:
         per_bucket = (c.select("version", F.explode("buckets").alias("bucket")).groupBy("bucket")
                       .agg(F.max("version").alias("v")).withColumn("seen", F.lit(None).cast("int")))
         summary = c.agg(F.lit(-1).alias("bucket"), F.max("version").alias("v"),
-                        F.max(F.when(F.col("epoch") == F.lit(epoch), 1)).alias("seen"))
+                        F.max(F.when((F.col("epoch") == F.lit(epoch)) & (F.col("writer") == F.lit(writer)), 1))
+                        .alias("seen"))
         meta = per_bucket.unionByName(summary).collect()
         top = next(r for r in meta if r["bucket"] == -1)
         if top["seen"] is not None:
@@ -207,7 +212,8 @@ class VersionedStore:
             nxt = latest_state(both, ["bucket", "_w", *self.keys], self.order, keep_deletes=True,
                                op_col=self.op_col).drop("_w")
             nxt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}")
-            row = [(version, int(epoch), touched, int(n), int(now_ms if now_ms is not None else time.time() * 1000))]
+            row = [(version, int(epoch), writer, touched, int(n),
+                    int(now_ms if now_ms is not None else time.time() * 1000))]
             self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
             return version
         finally:
@@ -229,6 +235,6 @@ class VersionedStore:
         (cur.withColumn("bucket", self.bucket_of())
          .repartition(self.buckets * self.files_per_bucket, F.col("bucket"), sub)
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
-        row = [(version, epoch, list(range(self.buckets)), 0, int(time.time() * 1000))]
+        row = [(version, epoch, "compact", list(range(self.buckets)), 0, int(time.time() * 1000))]
         self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
         return version
