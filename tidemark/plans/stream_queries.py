@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans.core_queries import LATEST_SQL, STATE_COLS
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, with_log
 from tidemark.session import work_dir
-from tidemark.streaming.apply import start_apply, start_latest, stream_rate
+from tidemark.streaming.apply import start_apply, start_latest, start_rate
 from tidemark.streaming.store import VersionedStore
 
 N_FILES = 5
@@ -61,12 +62,6 @@ def q_stream_rate_limited(spark, sf):
     return store.read().select(*STATE_COLS)
 
 
-def _complete_to(path: str):
-    def write(batch_df: DataFrame, epoch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(path)
-    return write
-
-
 @register("stream_latest", LATEST_SQL)
 def q_stream_latest(spark, sf):
     """Stateful streaming aggregation (latest row per key) in update mode,
@@ -85,15 +80,20 @@ def q_stream_latest(spark, sf):
 @register("stream_rate", with_log(
     "SELECT (ts_ms // 60000) * 60000 AS window_start_ms, status, count(*) AS n_changes FROM log GROUP BY 1, status"))
 def q_stream_rate(spark, sf):
-    """Windowed change counts per minute with a watermark."""
+    """Windowed change counts per minute: update mode with a watermark (closed
+    windows leave the state store), counts upserted into a versioned table."""
     root = work_dir(spark, "stream-rate")
     path, static = stage_log_files(spark, sf, root)
-    agg = stream_rate(_stream(spark, path, static.schema), "1 minute", watermark="1 hour", by=["status"])
-    out = f"{root}/result"
-    q = (agg.writeStream.outputMode("complete").foreachBatch(_complete_to(out))
-         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
+    schema = T.StructType([T.StructField("window_start_ms", T.LongType()), T.StructField("status", T.StringType()),
+                           T.StructField("n_changes", T.LongType()), T.StructField("op", T.StringType())])
+    store = VersionedStore(spark, f"{root}/rates", ["window_start_ms", "status"], schema, buckets=8,
+                           order=("n_changes",))
+    q = start_rate(_stream(spark, path, static.schema), store, f"{root}/_checkpoint", "1 minute",
+                   watermark="1 hour", by=["status"], trigger="availableNow")
     q.awaitTermination()
-    return spark.read.parquet(out)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read().select("window_start_ms", "status", "n_changes")
 
 
 @register("append_log", with_log("SELECT k, op, status, amount, ts_ms, pos, batch_id FROM log"))

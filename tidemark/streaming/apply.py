@@ -87,6 +87,22 @@ def stream_rate(stream: DataFrame, window: str, slide: str | None = None, waterm
             .select(F.unix_millis(F.col("w.start")).alias("window_start_ms"), *by, "n_changes"))
 
 
+def start_rate(stream: DataFrame, store: VersionedStore, checkpoint: str, window: str, *, slide: str | None = None,
+               watermark: str = "10 minutes", by: Sequence[str] = (), ts: str = "ts_ms",
+               trigger: str | None = "5 seconds") -> StreamingQuery:
+    """Windowed change counts in ``update`` mode: the watermark lets Spark drop
+    the state of closed windows, and every trigger upserts the changed window
+    counts into the store keyed by ``(window_start_ms, *by)``. A window's count
+    only grows, so the store keeps the largest count seen (its fold order)."""
+    agg = stream_rate(stream, window, slide, watermark, by, ts).withColumn("op", F.lit("u"))
+
+    def upsert(batch_df: DataFrame, epoch_id: int) -> None:
+        store.apply(batch_df, epoch_id, writer=checkpoint)
+
+    w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def start_all(spark: SparkSession, builders: dict[str, Callable[[], StreamingQuery]]) -> dict[str, StreamingQuery]:
     """One independent query per table (own checkpoint each)."""
     return {name: b() for name, b in builders.items()}
