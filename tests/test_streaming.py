@@ -153,3 +153,15 @@ def test_stream_rate_watermark_drops_only_too_late_events(spark, tmp_root):
     land_and_run("d", [(5, 20_000_000)])                  # advance again so minute 120 is emitted
     got = {r.window_start_ms: r.n_changes for r in spark.read.parquet(out).collect()}
     assert got[60_000] == 2 and got[7_200_000] == 1 and got[7_260_000] == 1
+
+
+def test_version_commit_is_put_if_absent(spark, tmp_root):
+    import pytest
+
+    log = event_log(spark, SF).select(*COLS)
+    store = VersionedStore(spark, f"{tmp_root}/cc", "k", log.schema, buckets=2)
+    assert store.apply(log, epoch=0) == 0
+    with pytest.raises(Exception):      # a second writer racing for version 0 cannot commit it
+        store._write_commit({"version": 0, "epoch": 9, "writer": "other", "buckets": [0], "n_changes": 1,
+                             "committed_at_ms": 0})
+    assert store.commits().count() == 1

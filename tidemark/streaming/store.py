@@ -4,14 +4,17 @@ Layout under ``root`` (a folder in shared storage):
 
 * ``state/v=<version>/bucket=<b>/`` -- copy-on-write state, hash-bucketed by key.
   A version only rewrites the buckets its batch touched.
-* ``commits/`` -- one small row per committed batch: ``version, writer, epoch,
-  buckets (touched), n_changes, committed_at_ms``. ``writer`` identifies the
-  streaming query (its checkpoint location): epoch ids restart when a query
-  gets a new checkpoint, so "already committed" is judged per writer.
-
-A version becomes visible only when its commit row exists, so a batch that dies
-between the data write and the commit leaves nothing visible; its retry writes
-the same version again (overwrite) and commits once. Reading version ``n``
+* ``commits/<version>.json`` -- one small JSON record per committed batch:
+  ``version, writer, epoch, buckets (touched), n_changes, committed_at_ms``.
+  ``writer`` identifies the streaming query (its checkpoint location): epoch
+  ids restart when a query gets a new checkpoint, so "already committed" is
+  judged per writer.
+
+A version becomes visible only when its commit record exists. The record is
+created put-if-absent (``create(overwrite=false)``), so a version can be
+committed once only. A batch that dies between the data write and the commit
+leaves nothing visible; its retry writes the same version again (overwrite)
+and commits once. Reading version ``n``
 takes, per bucket, the newest version ``<= n`` that wrote it (a manifest with
 at most ``buckets`` rows) and reads exactly those folders. State keeps tombstones (``op = 'd'``)
 so a late older upsert cannot resurrect a deleted key; readers filter them.
@@ -19,6 +22,7 @@ so a late older upsert cannot resurrect a deleted key; readers filter them.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
 
@@ -62,17 +66,32 @@ class VersionedStore:
     def commits_path(self) -> str:
         return f"{self.root}/commits"
 
-    def _exists(self, path: str) -> bool:
+    def _fs(self, path: str):
+        """Hadoop FileSystem handle for ``path`` (any scheme the cluster supports)."""
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def _write_commit(self, record: dict) -> None:
+        """Create ``commits/<version>.json`` put-if-absent: if the version is
+        already committed (a concurrent writer), this raises and the batch fails
+        and is retried against the new last version."""
+        fs, p = self._fs(f"{self.commits_path}/{record['version']:020d}.json")
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray(json.dumps(record).encode("utf-8")))
+        finally:
+            out.close()
 
     # -- metadata ------------------------------------------------------------
     def commits(self) -> DataFrame:
         if not self._exists(self.commits_path):
             return self.spark.createDataFrame([], COMMITS_SCHEMA)
-        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
+        return self.spark.read.schema(COMMITS_SCHEMA).json(self.commits_path)
 
     def last_version(self) -> int:
         row = self.commits().agg(F.max("version").alias("v")).first()
@@ -212,9 +231,9 @@ class VersionedStore:
             nxt = latest_state(both, ["bucket", "_w", *self.keys], self.order, keep_deletes=True,
                                op_col=self.op_col).drop("_w")
             nxt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}")
-            row = [(version, int(epoch), writer, touched, int(n),
-                    int(now_ms if now_ms is not None else time.time() * 1000))]
-            self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+            self._write_commit({"version": version, "epoch": int(epoch), "writer": writer, "buckets": touched,
+                                "n_changes": int(n),
+                                "committed_at_ms": int(now_ms if now_ms is not None else time.time() * 1000)})
             return version
         finally:
             compact.unpersist()
@@ -235,6 +254,7 @@ class VersionedStore:
         (cur.withColumn("bucket", self.bucket_of())
          .repartition(self.buckets * self.files_per_bucket, F.col("bucket"), sub)
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
-        row = [(version, epoch, "compact", list(range(self.buckets)), 0, int(time.time() * 1000))]
-        self.spark.createDataFrame(row, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+        self._write_commit({"version": version, "epoch": epoch, "writer": "compact",
+                            "buckets": list(range(self.buckets)), "n_changes": 0,
+                            "committed_at_ms": int(time.time() * 1000)})
         return version
