@@ -25,28 +25,36 @@ def test_hot_key_is_split_across_chunks(spark):
     assert hot_chunks >= 2
 
 
+def test_hot_key_detection(spark):
+    assert ordered.has_hot_key(skewed_log(spark), "k", 8)
+    assert not ordered.has_hot_key(skewed_log(spark, hot_share=0.0), "k", 8)
+
+
 def test_neighbors_match_plain_window(spark):
     log = skewed_log(spark)
     w = Window.partitionBy("k").orderBy("ts_ms", "pos")
-    ref = log.select("pos", F.lag("v").over(w).alias("p"), F.lead("s").over(w).alias("n"))
-    got = ordered.with_neighbors(log, "k", ["ts_ms", "pos"], ["v", "s"], n_chunks=8).select(
-        "pos", F.col("_prev.v").alias("p"), F.col("_next.s").alias("n"))
-    assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, got.collect()))
+    ref = sorted(map(tuple, log.select("pos", F.lag("v").over(w).alias("p"), F.lead("s").over(w).alias("n")).collect()))
+    for mode in ("chunked", "plain", "auto"):
+        got = ordered.with_neighbors(log, "k", ["ts_ms", "pos"], ["v", "s"], n_chunks=8, mode=mode).select(
+            "pos", F.col("_prev.v").alias("p"), F.col("_next.s").alias("n"))
+        assert sorted(map(tuple, got.collect())) == ref, mode
 
 
 def test_running_sum_matches_plain_window(spark):
     log = skewed_log(spark)
     w = Window.partitionBy("k").orderBy("ts_ms", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    ref = log.withColumn("r", F.sum("v").over(w)).withColumn("m", F.min("r").over(w)).select("pos", "r", "m")
-    got = ordered.with_running_sum(log, "k", ["ts_ms", "pos"], "v", n_chunks=8).select(
-        "pos", F.col("_run").alias("r"), F.col("_run_min").alias("m"))
-    assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, got.collect()))
+    ref = sorted(map(tuple, log.withColumn("r", F.sum("v").over(w)).withColumn("m", F.min("r").over(w))
+                     .select("pos", "r", "m").collect()))
+    for mode in ("chunked", "plain"):
+        got = ordered.with_running_sum(log, "k", ["ts_ms", "pos"], "v", n_chunks=8, mode=mode).select(
+            "pos", F.col("_run").alias("r"), F.col("_run_min").alias("m"))
+        assert sorted(map(tuple, got.collect())) == ref, mode
 
 
 def test_clamped_running_equals_sequential_fold(spark):
     log = skewed_log(spark, n=800)
     got = {r.pos: r.level for r in
-           ordered.clamped_running(log, "k", ["ts_ms", "pos"], "v", start=10, n_chunks=6).collect()}
+           ordered.clamped_running(log, "k", ["ts_ms", "pos"], "v", start=10, n_chunks=6, mode="chunked").collect()}
     expected = {}
     by_key = {}
     for r in sorted(log.collect(), key=lambda r: (r.k, r.ts_ms, r.pos)):

@@ -8,6 +8,12 @@ contiguous *chunks* of bounded size. Windows then run per ``(key, chunk)`` and a
 small per-chunk summary (one row per key and chunk) carries values across chunk
 boundaries: the previous chunk's last row, the next chunk's first row, and
 prefix totals for running sums. Results are exact.
+
+The chunked plan costs a checkpoint and a summary join, so it is chosen
+adaptively: one cheap aggregate (per-key counts, partially aggregated; one row
+comes back) measures the largest key first. When no key is bigger than about
+two average partitions, a plain per-key window is already balanced and is used
+instead.
 """
 
 from __future__ import annotations
@@ -44,13 +50,42 @@ def chunked(df: DataFrame, key: str | Sequence[str], order: Sequence[str], n_chu
             .checkpoint(eager=True))
 
 
+def has_hot_key(df: DataFrame, key: str | Sequence[str], n_parts: int | None = None, factor: float = 2.0) -> bool:
+    """True when some key holds more rows than ``factor`` average partitions.
+    One small job: per-key counts (map-side partial aggregation), then a global
+    max/sum; a single row reaches the driver."""
+    keys = _keys(key)
+    n = n_parts or shuffle_partitions(df.sparkSession)
+    st = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+          .agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first())
+    if st is None or st["tot"] is None:
+        return False
+    return st["mx"] > factor * st["tot"] / n
+
+
+def _use_chunks(df: DataFrame, keys: list[str], mode: str, n_chunks: int | None) -> bool:
+    if mode not in ("auto", "chunked", "plain"):
+        raise ValueError("mode must be 'auto', 'chunked' or 'plain'")
+    if mode == "auto":
+        return has_hot_key(df, keys, n_chunks)
+    return mode == "chunked"
+
+
 def with_neighbors(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str], *,
-                   prev: bool = True, nxt: bool = True, n_chunks: int | None = None) -> DataFrame:
+                   prev: bool = True, nxt: bool = True, n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Add ``_prev`` / ``_next``: structs of ``order + cols`` of the previous /
     next row of the same key (NULL at the ends)."""
     keys = _keys(key)
-    ch = chunked(df, keys, order, n_chunks)
     packed = F.struct(*[F.col(c) for c in list(order) + [c for c in cols if c not in order]])
+    if not _use_chunks(df, keys, mode, n_chunks):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        out = df
+        if prev:
+            out = out.withColumn("_prev", F.lag(packed).over(w))
+        if nxt:
+            out = out.withColumn("_next", F.lead(packed).over(w))
+        return out
+    ch = chunked(df, keys, order, n_chunks)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     if prev:
         ch = ch.withColumn("_prev", F.lag(packed).over(w))
@@ -75,10 +110,13 @@ def with_neighbors(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 def with_running_sum(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str, *,
-                     n_chunks: int | None = None) -> DataFrame:
+                     n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Add ``_run`` (inclusive running sum of ``value`` per key) and ``_run_min``
     (running minimum of ``_run``), as a two-level parallel prefix scan."""
     keys = _keys(key)
+    if not _use_chunks(df, keys, mode, n_chunks):
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn("_run", F.sum(value).over(w)).withColumn("_run_min", F.min("_run").over(w))
     ch = chunked(df, keys, order, n_chunks)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ch = ch.withColumn("_ls", F.sum(value).over(w))
@@ -99,40 +137,40 @@ def with_running_sum(df: DataFrame, key: str | Sequence[str], order: Sequence[st
 # ---------------------------------------------------------------------------
 
 def scd2(log: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] = ("ts_ms", "pos"), *,
-         op_col: str = "op", n_chunks: int | None = None) -> DataFrame:
+         op_col: str = "op", n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """SCD type-2 history: one row per version with ``valid_from`` /
     ``valid_to`` (the next change's time, NULL while current). A delete closes
     the open interval and emits no row of its own."""
     t = order[0]
-    n = with_neighbors(log, key, order, [op_col, *cols], prev=False, n_chunks=n_chunks)
+    n = with_neighbors(log, key, order, [op_col, *cols], prev=False, n_chunks=n_chunks, mode=mode)
     return (n.filter(F.col(op_col) != "d")
             .select(key, *cols, F.col(t).alias("valid_from"), F.col(f"_next.{t}").alias("valid_to"),
                     F.col("_next").isNull().alias("is_current"), *[c for c in order if c != t]))
 
 
 def change_delta(log: DataFrame, key: str, col: str, order: Sequence[str] = ("ts_ms", "pos"), *,
-                 n_chunks: int | None = None) -> DataFrame:
+                 n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Previous value of ``col`` for the same key and the difference."""
-    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks)
+    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks, mode=mode)
     return (n.withColumn(f"prev_{col}", F.col(f"_prev.{col}"))
             .withColumn("delta", F.col(col) - F.col(f"prev_{col}"))
             .drop("_prev"))
 
 
 def transitions(log: DataFrame, key: str, col: str, order: Sequence[str] = ("ts_ms", "pos"), *,
-                n_chunks: int | None = None) -> DataFrame:
+                n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Counts of (previous value -> value) transitions of ``col`` per key order."""
-    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks)
+    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks, mode=mode)
     return (n.groupBy(F.col(f"_prev.{col}").alias(f"prev_{col}"), F.col(col).alias(f"next_{col}"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def clamped_running(df: DataFrame, key: str, order: Sequence[str], delta: str, start: int | float = 0, *,
-                    floor: int | float = 0, n_chunks: int | None = None) -> DataFrame:
+                    floor: int | float = 0, n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Sequential ``x = GREATEST(floor, x + delta)`` per key from ``start``, in
     closed form: with P = start + running sum, x = P - min(0, min(P) - floor)
     (clamping resets exactly by the deepest undershoot so far)."""
-    r = with_running_sum(df, key, order, delta, n_chunks=n_chunks)
+    r = with_running_sum(df, key, order, delta, n_chunks=n_chunks, mode=mode)
     p = F.lit(start) + F.col("_run")
     undershoot = F.least(F.lit(0), F.lit(start) + F.col("_run_min") - F.lit(floor))
     return r.withColumn("level", p - undershoot).drop("_run", "_run_min")
