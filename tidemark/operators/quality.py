@@ -5,6 +5,7 @@ All are filters or single aggregations (partial + final), no collect."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,39 +38,76 @@ def dq_unique(df: DataFrame, col: str, tbl: str) -> DataFrame:
     return _v(dup, "unique", tbl, col, F.col(col).cast("string"), F.col("_n"))
 
 
+@dataclass(frozen=True)
+class Check:
+    """A row-level rule: ``bad`` is true on violating rows, ``detail`` is reported."""
+    rule: str
+    col: str
+    bad: Column
+    detail: Column
+
+
+def not_null(col: str) -> Check:
+    return Check("not_null", col, F.col(col).isNull(), F.lit(None).cast("string"))
+
+
+def max_length(col: str, n: int) -> Check:
+    return Check("length", col, F.length(F.col(col)) > n, F.length(F.col(col)))
+
+
+def in_domain(col: str, values: Sequence) -> Check:
+    return Check("domain", col, F.col(col).isNotNull() & ~F.col(col).isin(list(values)), F.col(col))
+
+
+def in_range(col: str, lo=None, hi=None, lo_inclusive: bool = True) -> Check:
+    c = F.col(col)
+    cond = F.lit(False)
+    if lo is not None:
+        cond = cond | ((c < F.lit(lo)) if lo_inclusive else (c <= F.lit(lo)))
+    if hi is not None:
+        cond = cond | (c > F.lit(hi))
+    return Check("range", col, c.isNotNull() & cond, c)
+
+
+def matches(col: str, regex: str) -> Check:
+    return Check("shape", col, F.col(col).isNotNull() & ~F.col(col).rlike(regex), F.col(col))
+
+
+def check_rows(df: DataFrame, tbl: str, key: str | Sequence[str], checks: Sequence[Check]) -> DataFrame:
+    """Evaluate every row-level check in ONE pass over ``df``: each row yields
+    an array of its violations (NULLs compacted away), exploded to one row per
+    violation. N rules cost one scan, not N."""
+    found = F.array(*[F.when(c.bad, F.struct(F.lit(c.rule).alias("rule"), F.lit(c.col).alias("col"),
+                                             c.detail.cast("string").alias("detail")))
+                      for c in checks])
+    return (df.select(_key_str(key).alias("key"), F.explode(F.array_compact(found)).alias("_v"))
+            .select(F.col("_v.rule").alias("rule"), F.lit(tbl).alias("tbl"), F.col("_v.col").alias("col"),
+                    "key", F.col("_v.detail").alias("detail")))
+
+
 def dq_not_null(df: DataFrame, cols: Sequence[str], key: str, tbl: str) -> DataFrame:
     """NOT NULL: one violation per (row, column)."""
-    parts = [_v(df.filter(F.col(c).isNull()), "not_null", tbl, c, _key_str(key), F.lit(None)) for c in cols]
-    return _union(parts)
+    return check_rows(df, tbl, key, [not_null(c) for c in cols])
 
 
 def dq_length(df: DataFrame, limits: dict[str, int], key: str, tbl: str) -> DataFrame:
     """VARCHAR(n): values longer than n characters."""
-    parts = [_v(df.filter(F.length(F.col(c)) > n), "length", tbl, c, _key_str(key), F.length(F.col(c)))
-             for c, n in limits.items()]
-    return _union(parts)
+    return check_rows(df, tbl, key, [max_length(c, n) for c, n in limits.items()])
 
 
 def dq_domain(df: DataFrame, col: str, values: Sequence, key: str, tbl: str) -> DataFrame:
     """Value outside an allowed set (NULL is not checked here, see NOT NULL)."""
-    bad = df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(values)))
-    return _v(bad, "domain", tbl, col, _key_str(key), F.col(col))
+    return check_rows(df, tbl, key, [in_domain(col, values)])
 
 
 def dq_range(df: DataFrame, col: str, key: str, tbl: str, lo=None, hi=None, lo_inclusive: bool = True) -> DataFrame:
     """Numeric range (e.g. stock >= 0, price > 0)."""
-    c = F.col(col)
-    cond = F.lit(False)
-    if lo is not None:
-        cond = cond | ((c < F.lit(lo)) if lo_inclusive else (c <= F.lit(lo)))
-    if hi is not None:
-        cond = cond | (c > F.lit(hi))
-    return _v(df.filter(c.isNotNull() & cond), "range", tbl, col, _key_str(key), c)
+    return check_rows(df, tbl, key, [in_range(col, lo, hi, lo_inclusive)])
 
 
 def dq_shape(df: DataFrame, col: str, regex: str, key: str, tbl: str) -> DataFrame:
     """Value not matching a pattern (key shape, phone format, SKU prefix)."""
-    return _v(df.filter(F.col(col).isNotNull() & ~F.col(col).rlike(regex)), "shape", tbl, col, _key_str(key), F.col(col))
+    return check_rows(df, tbl, key, [matches(col, regex)])
 
 
 def dq_images(parsed: DataFrame, spec: TableSpec) -> DataFrame:

@@ -466,5 +466,19 @@ def q_dq_shape(spark, sf):
         [_DQ_PK_SQL, _DQ_UNIQUE_SQL, _DQ_NN_SQL, _DQ_LEN_SQL, _DQ_DOMAIN_BODY, _DQ_RANGE_SQL]) +
     ") GROUP BY rule, tbl, col"))
 def q_dq_summary(spark, sf):
-    return quality.dq_summary([_dq_pk(spark, sf), _dq_unique(spark, sf), _dq_not_null(spark, sf),
-                               _dq_length(spark, sf), _dq_domain(spark, sf), _dq_range(spark, sf)])
+    """All rules at once: the row-level checks of each table run in ONE scan of
+    that table (``check_rows``); key uniqueness needs its own aggregate."""
+    q = quality
+    per_table = {
+        ("customer", "c_custkey"): [q.not_null("c_name"), q.not_null("c_mktsegment"), q.max_length("c_name", 128),
+                                    q.max_length("c_mktsegment", 16), q.in_range("c_acctbal", lo=0)],
+        ("orders", "o_orderkey"): [q.not_null("o_custkey"), q.not_null("o_totalprice"),
+                                   q.max_length("o_orderpriority", 8), q.in_domain("o_orderstatus", ["F", "O", "P"])],
+        ("part", "p_partkey"): [q.max_length("p_name", 255), q.max_length("p_type", 64), q.in_range("p_size", lo=0),
+                                q.in_range("p_retailprice", lo=0, lo_inclusive=False)],
+        ("lineitem", "l_orderkey"): [q.in_domain("l_returnflag", ["A", "N"])],
+    }
+    parts = [q.check_rows(_t(spark, sf, t), t, k, checks) for (t, k), checks in per_table.items()]
+    lg = event_log(spark, sf).select("pos", "op")
+    parts.append(q.check_rows(lg, "events_log", "pos", [q.in_domain("op", list(OP_DOMAIN))]))
+    return q.dq_summary([_dq_pk(spark, sf), _dq_unique(spark, sf), *parts])
