@@ -110,3 +110,16 @@ def test_snapshot_row_loses_to_later_change(spark):
     # Initial snapshot rows arrive as op 'r' with the lowest order.
     log = spark.createDataFrame([(1, "r", "snap", 0, -1), (1, "u", "live", 5, 3), (2, "r", "only", 0, -1)], SCHEMA)
     assert rows(fold.latest_state(log, "k")) == [(1, "u", "live", 5, 3), (2, "r", "only", 0, -1)]
+
+
+def test_merge_into_needs_row_level_table(spark, tmp_root):
+    import pytest
+
+    # Plain Parquet tables cannot MERGE: the call must fail loudly, never fall
+    # back to appending (which would duplicate updated rows).
+    spark.sql("CREATE TABLE IF NOT EXISTS tm_merge_t (k long, v string, ts_ms long, pos long) USING parquet")
+    changes = spark.createDataFrame([(1, "u", "x", 5, 1)], SCHEMA)
+    with pytest.raises(Exception, match="MERGE"):
+        fold.merge_into("tm_merge_t", changes, "k")
+    assert spark.table("tm_merge_t").count() == 0
+    spark.sql("DROP TABLE tm_merge_t")
