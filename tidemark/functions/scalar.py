@@ -11,7 +11,9 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 def ms_from_ntz(ts: Column) -> Column:
     """Epoch milliseconds of a ``TIMESTAMP_NTZ`` (wall clock read as UTC),
     independent of the session time zone. Floors sub-millisecond parts."""
-    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts) / 1000).cast("long")
+    us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
+    # Floor division made exact: the dividend is a multiple of 1000.
+    return F.try_divide(us - F.pmod(us, F.lit(1000)), F.lit(1000)).cast("long")
 
 
 def event_time(ms: Column) -> Column:
