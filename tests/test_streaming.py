@@ -165,3 +165,20 @@ def test_version_commit_is_put_if_absent(spark, tmp_root):
         store._write_commit({"version": 0, "epoch": 9, "writer": "other", "buckets": [0], "n_changes": 1,
                              "committed_at_ms": 0})
     assert store.commits().count() == 1
+
+
+def test_stream_static_enrichment(spark, tmp_root):
+    from tidemark.operators.analytics import enrich
+    from tidemark.sources.tables import read_table
+
+    path, schema = _stage(spark, tmp_root, 2)
+    dim = read_table(spark, SF, "customer", ["c_custkey", "c_mktsegment"])
+    stream = spark.readStream.schema(schema).parquet(path)
+    out = f"{tmp_root}/enriched"
+    q = (enrich(stream, dim, "k", "c_custkey", ["c_mktsegment"]).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", f"{tmp_root}/ck_enrich").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    batch = enrich(event_log(spark, SF), dim, "k", "c_custkey", ["c_mktsegment"])
+    cols = ["pos", "k", "c_mktsegment"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
