@@ -80,8 +80,10 @@ def spread(df, min_partitions: int | None = None):
     partitions than there are slots (one large row group), so that CPU-heavy
     per-row work (JSON encoding/parsing) runs in parallel. On large inputs the
     scan already has at least that many splits and this returns ``df``
-    unchanged: it never adds a shuffle at scale. ``getNumPartitions`` only
-    plans the scan; it runs no job."""
+    unchanged: it never adds a shuffle at scale. Use it directly on a scan
+    (plus narrow projections): there ``getNumPartitions`` only plans the scan
+    and runs no job; on a plan with exchanges, adaptive execution would have to
+    run them to answer."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
