@@ -70,6 +70,12 @@ def test_replicate_all_tables(spark, tmp_root):
     assert (inv.sku, inv.stock_quantity) == ("SKU-LAP-001", 47)
     it = wh.read(SPECS["order_items"]).first()
     assert (it.item_id, it.quantity, str(it.unit_price)) == (5, 2, "39.99")
+    # The replicas answer plain SQL through views named after the tables.
+    wh.register_views(specs)
+    rows = spark.sql("SELECT o.order_id, o.total_amount, count(i.item_id) AS n_items FROM orders o "
+                     "LEFT JOIN order_items i ON i.order_id = o.order_id GROUP BY o.order_id, o.total_amount").collect()
+    assert [(r.order_id, str(r.total_amount), r.n_items) for r in rows] == [(101, "299.99", 1)]
+    assert spark.sql("SELECT count(*) AS n FROM customers").first().n == 0
 
 
 def test_scale_conf_sizes_partitions():

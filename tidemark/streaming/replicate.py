@@ -46,6 +46,18 @@ class Warehouse:
     def read(self, spec: TableSpec, version: int | None = None) -> DataFrame:
         return self.store(spec).read(version)
 
+    def register_views(self, specs: Iterable[TableSpec], *, as_of_ms: int | None = None) -> list[str]:
+        """Expose the replicas as temp views named after their tables (current
+        state, or the state readers saw at ``as_of_ms``), so plain SQL over
+        ``customers``, ``orders``, ... runs through ``spark.sql``."""
+        names = []
+        for spec in specs:
+            st = self.store(spec)
+            df = st.read() if as_of_ms is None else st.read_as_of(as_of_ms)
+            df.drop("op", "pos").withColumnRenamed("ts_ms", "_ts").createOrReplaceTempView(spec.name)
+            names.append(spec.name)
+        return names
+
 
 def typed_changes(spec: TableSpec) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     """Batch -> (valid typed changes, quarantined rows) for one table."""
