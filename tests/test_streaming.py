@@ -182,3 +182,16 @@ def test_stream_static_enrichment(spark, tmp_root):
     batch = enrich(event_log(spark, SF), dim, "k", "c_custkey", ["c_mktsegment"])
     cols = ["pos", "k", "c_mktsegment"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_commit_log_snapshots_bound_reads(spark, tmp_root):
+    log = event_log(spark, SF).select(*COLS)
+    store = VersionedStore(spark, f"{tmp_root}/snap", "k", log.schema, buckets=2, commit_range=2, snapshot_every=2)
+    for e in range(5):
+        part = log.filter((F.col("pos") >= e * 200) & (F.col("pos") < (e + 1) * 200))
+        assert store.apply(part, epoch=e, now_ms=1000 * (e + 1)) == e
+    assert store._latest_snapshot() == 4
+    assert sorted(r.version for r in store.commits().collect()) == [0, 1, 2, 3, 4]
+    assert store.apply(log.filter(F.col("pos") < 200), epoch=3) is None      # replay still detected
+    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
+    assert _rows(store.read_as_of(2500)) == _rows(fold.latest_state(log.filter(F.col("pos") < 400), "k"))

@@ -4,11 +4,13 @@ Layout under ``root`` (a folder in shared storage):
 
 * ``state/v=<version>/bucket=<b>/`` -- copy-on-write state, hash-bucketed by key.
   A version only rewrites the buckets its batch touched.
-* ``commits/<version>.json`` -- one small JSON record per committed batch:
+* ``commits/r=<range>/<version>.json`` -- one small JSON record per committed batch:
   ``version, writer, epoch, buckets (touched), n_changes, committed_at_ms``.
   ``writer`` identifies the streaming query (its checkpoint location): epoch
   ids restart when a query gets a new checkpoint, so "already committed" is
-  judged per writer.
+  judged per writer. ``commit_snapshots/upto=<v>/`` consolidates all records
+  up to ``v`` every ``snapshot_every`` versions, so reading the commit log costs
+  one snapshot plus the newest range folders, however long the history.
 
 A version becomes visible only when its commit record exists. The record is
 created put-if-absent (``create(overwrite=false)``), so a version can be
@@ -44,7 +46,8 @@ COMMITS_SCHEMA = T.StructType([
 
 class VersionedStore:
     def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str], schema: T.StructType, *,
-                 buckets: int = 64, files_per_bucket: int = 1, order: Sequence[str] = ORDER, op_col: str = "op"):
+                 buckets: int = 64, files_per_bucket: int = 1, order: Sequence[str] = ORDER, op_col: str = "op",
+                 commit_range: int = 1000, snapshot_every: int = 100):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
@@ -56,6 +59,12 @@ class VersionedStore:
         self.files_per_bucket = files_per_bucket
         self.order = tuple(order)
         self.op_col = op_col
+        # Commit records live in range folders of ``commit_range`` versions, and
+        # every ``snapshot_every`` versions all records so far are consolidated
+        # into one Parquet snapshot: a read opens the newest complete snapshot
+        # plus the range folders after it, never the whole commit history.
+        self.commit_range = commit_range
+        self.snapshot_every = snapshot_every
 
     # -- paths -------------------------------------------------------------
     @property
@@ -66,6 +75,10 @@ class VersionedStore:
     def commits_path(self) -> str:
         return f"{self.root}/commits"
 
+    @property
+    def snapshots_path(self) -> str:
+        return f"{self.root}/commit_snapshots"
+
     def _fs(self, path: str):
         """Hadoop FileSystem handle for ``path`` (any scheme the cluster supports)."""
         jvm = self.spark.sparkContext._jvm
@@ -76,11 +89,24 @@ class VersionedStore:
         fs, p = self._fs(path)
         return fs.exists(p)
 
+    def _numbered_dirs(self, path: str, prefix: str) -> list[int]:
+        """Numbers of the ``<prefix>=<n>`` folders directly under ``path``."""
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix + "="):
+                out.append(int(name.split("=", 1)[1]))
+        return out
+
     def _write_commit(self, record: dict) -> None:
         """Create ``commits/<version>.json`` put-if-absent: if the version is
         already committed (a concurrent writer), this raises and the batch fails
         and is retried against the new last version."""
-        fs, p = self._fs(f"{self.commits_path}/{record['version']:020d}.json")
+        v = record["version"]
+        fs, p = self._fs(f"{self.commits_path}/r={v // self.commit_range}/{v:020d}.json")
         out = fs.create(p, False)
         try:
             out.write(bytearray(json.dumps(record).encode("utf-8")))
@@ -88,10 +114,33 @@ class VersionedStore:
             out.close()
 
     # -- metadata ------------------------------------------------------------
+    def _latest_snapshot(self) -> int | None:
+        """Newest snapshot whose write completed (has ``_SUCCESS``)."""
+        for v in sorted(self._numbered_dirs(self.snapshots_path, "upto"), reverse=True):
+            if self._exists(f"{self.snapshots_path}/upto={v}/_SUCCESS"):
+                return v
+        return None
+
     def commits(self) -> DataFrame:
-        if not self._exists(self.commits_path):
+        """All commit records: the newest snapshot plus the records after it."""
+        snap = self._latest_snapshot()
+        ranges = [r for r in self._numbered_dirs(self.commits_path, "r")
+                  if snap is None or r >= snap // self.commit_range]
+        parts = []
+        if snap is not None:
+            parts.append(self.spark.read.schema(COMMITS_SCHEMA).parquet(f"{self.snapshots_path}/upto={snap}"))
+        if ranges:
+            recent = self.spark.read.schema(COMMITS_SCHEMA).json([f"{self.commits_path}/r={r}" for r in ranges])
+            parts.append(recent if snap is None else recent.filter(F.col("version") > F.lit(snap)))
+        if not parts:
             return self.spark.createDataFrame([], COMMITS_SCHEMA)
-        return self.spark.read.schema(COMMITS_SCHEMA).json(self.commits_path)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def snapshot_commits(self, upto: int) -> None:
+        """Consolidate all commit records up to ``upto`` into one Parquet
+        snapshot (readers ignore it until its ``_SUCCESS`` marker exists)."""
+        (self.commits().filter(F.col("version") <= F.lit(upto)).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.snapshots_path}/upto={upto}"))
 
     def last_version(self) -> int:
         row = self.commits().agg(F.max("version").alias("v")).first()
@@ -234,6 +283,8 @@ class VersionedStore:
             self._write_commit({"version": version, "epoch": int(epoch), "writer": writer, "buckets": touched,
                                 "n_changes": int(n),
                                 "committed_at_ms": int(now_ms if now_ms is not None else time.time() * 1000)})
+            if self.snapshot_every and version > 0 and version % self.snapshot_every == 0:
+                self.snapshot_commits(version)
             return version
         finally:
             compact.unpersist()
