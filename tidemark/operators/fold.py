@@ -69,11 +69,10 @@ def latest_by_rank(log: DataFrame, key: str | Sequence[str], order: Sequence[str
     return ranked
 
 
-def split_ops(folded: DataFrame, key: str | Sequence[str], op_col: str = "op") -> tuple[DataFrame, DataFrame]:
-    """(deletes as key set, upserts). A NULL op lands in neither."""
-    keys = _keys(key)
-    return (folded.filter(F.col(op_col) == "d").select(*keys),
-            folded.filter(F.col(op_col) != "d"))
+def split_ops(folded: DataFrame, op_col: str = "op") -> tuple[DataFrame, DataFrame]:
+    """(deletes, upserts) of a folded batch; select the key columns of the
+    first for a delete key set. A NULL op lands in neither."""
+    return folded.filter(F.col(op_col) == "d"), folded.filter(F.col(op_col) != "d")
 
 
 def apply_deletes(state: DataFrame, keys: DataFrame, key: str | Sequence[str]) -> DataFrame:

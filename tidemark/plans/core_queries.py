@@ -61,9 +61,9 @@ def q_live_by_status(spark, sf):
     f"FROM ({latest_sql(keep_deletes=True)})"))
 def q_split_ops(spark, sf):
     folded = fold.latest_state(event_log(spark, sf), "k", keep_deletes=True)
-    deletes, upserts = fold.split_ops(folded.select("k", "op", "ts_ms"), "k")
-    d = folded.join(deletes, "k", "left_semi").select("k", F.lit("delete").alias("kind"), "ts_ms")
-    return d.unionByName(upserts.select("k", F.lit("upsert").alias("kind"), "ts_ms"))
+    deletes, upserts = fold.split_ops(folded)
+    return (deletes.select("k", F.lit("delete").alias("kind"), "ts_ms")
+            .unionByName(upserts.select("k", F.lit("upsert").alias("kind"), "ts_ms")))
 
 
 @register("apply_batch", LATEST_SQL)
