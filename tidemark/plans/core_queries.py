@@ -70,18 +70,16 @@ def q_split_ops(spark, sf):
 def q_apply_batch(spark, sf):
     """State at the fork version (tombstones kept), then every later change
     applied as one batch."""
-    log = event_log(spark, sf)
-    state = fold.latest_state(log.filter(F.col("batch_id") <= FORK_VERSION), "k", keep_deletes=True)
-    nxt = fold.apply_batch(state, log.filter(F.col("batch_id") > FORK_VERSION), "k")
+    state = fold.latest_state(event_log(spark, sf, upto_batch=FORK_VERSION), "k", keep_deletes=True)
+    nxt = fold.apply_batch(state, event_log(spark, sf, after_batch=FORK_VERSION), "k")
     return state_cols(fold.live(nxt))
 
 
 @register("merge_upsert", LATEST_SQL)
 def q_merge_upsert(spark, sf):
     """MERGE of the later changes into the fork-version state (full outer join form)."""
-    log = event_log(spark, sf)
-    state = fold.latest_state(log.filter(F.col("batch_id") <= FORK_VERSION), "k", keep_deletes=True)
-    merged = fold.merge_state(state, log.filter(F.col("batch_id") > FORK_VERSION), "k")
+    state = fold.latest_state(event_log(spark, sf, upto_batch=FORK_VERSION), "k", keep_deletes=True)
+    merged = fold.merge_state(state, event_log(spark, sf, after_batch=FORK_VERSION), "k")
     return state_cols(fold.live(merged))
 
 
@@ -105,7 +103,7 @@ def q_snapshot_plus_changes(spark, sf):
 
 @register("as_of_version", with_log(latest_sql(f"(SELECT * FROM log WHERE batch_id <= {FORK_VERSION})")))
 def q_as_of_version(spark, sf):
-    return state_cols(versions.as_of_version(event_log(spark, sf), "k", FORK_VERSION))
+    return state_cols(versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION))
 
 
 _COMMIT_SQL = "c AS (SELECT batch_id, max(ts_ms) AS committed_at_ms FROM log GROUP BY batch_id)"
@@ -147,9 +145,8 @@ _V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_VERSIO
     "ELSE 'changed' END AS change, a.status AS old_status, a.amount AS old_amount, b.status AS new_status, "
     "b.amount AS new_amount FROM a FULL JOIN b ON a.k = b.k", _V_AB))
 def q_version_diff(spark, sf):
-    log = event_log(spark, sf)
-    old = versions.as_of_version(log, "k", FORK_VERSION)
-    new = fold.latest_state(log, "k")
+    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION)
+    new = fold.latest_state(event_log(spark, sf), "k")
     return versions.diff(old, new, "k", ["status", "amount"])
 
 
@@ -158,9 +155,9 @@ def q_version_diff(spark, sf):
     "SELECT k, status, amount FROM a)) UNION ALL (SELECT k, status, amount, 'removed' AS side FROM "
     "(SELECT k, status, amount FROM a EXCEPT ALL SELECT k, status, amount FROM b))", _V_AB))
 def q_version_except(spark, sf):
-    log = event_log(spark, sf)
-    old = versions.as_of_version(log, "k", FORK_VERSION).select("k", "status", "amount")
-    new = fold.latest_state(log, "k").select("k", "status", "amount")
+    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION) \
+        .select("k", "status", "amount")
+    new = fold.latest_state(event_log(spark, sf), "k").select("k", "status", "amount")
     return versions.version_except(old, new)
 
 
@@ -168,9 +165,9 @@ def q_version_except(spark, sf):
     "SELECT b.k, b.amount - a.amount AS delta FROM b JOIN a USING (k) WHERE b.status = 'purchase'", _V_AB))
 def q_diff_amount(spark, sf):
     """Current vs historical state joined on the key, filtered on current."""
-    log = event_log(spark, sf)
-    old = versions.as_of_version(log, "k", FORK_VERSION).select("k", F.col("amount").alias("old_amount"))
-    new = fold.latest_state(log, "k").filter(F.col("status") == "purchase")
+    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION) \
+        .select("k", F.col("amount").alias("old_amount"))
+    new = fold.latest_state(event_log(spark, sf), "k").filter(F.col("status") == "purchase")
     return new.join(old, "k").select("k", (F.col("amount") - F.col("old_amount")).alias("delta"))
 
 

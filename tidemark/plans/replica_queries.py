@@ -137,9 +137,9 @@ def q_delete_semi(spark, sf):
     "WHERE rn = 1 AND op <> 'd')"))
 def q_reconcile(spark, sf):
     """Source (current truth) vs a replica that has applied commits up to N."""
-    log = event_log(spark, sf)
-    source = fold.latest_by_rank(log, "k")
-    replica = versions.as_of_version(log, "k", RECONCILE_REPLICA_VERSION)
+    source = fold.latest_by_rank(event_log(spark, sf), "k")
+    replica = versions.as_of_version(event_log(spark, sf, upto_batch=RECONCILE_REPLICA_VERSION), "k",
+                                     RECONCILE_REPLICA_VERSION)
     return analytics.reconcile(source, replica, "k", ["status", "amount"])
 
 

@@ -20,10 +20,18 @@ from tidemark.sources.tables import read_table
 BATCH_SIZE = 100
 
 
-def event_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), *,
+              upto_batch: int | None = None, after_batch: int | None = None) -> DataFrame:
     """The derived typed change log; ``extra`` raw event columns ride along
-    from the same scan (no self-join)."""
+    from the same scan (no self-join). ``upto_batch`` restricts the scan to
+    commits ``<= upto_batch`` with a filter on the stored ``event_id`` column,
+    which reaches Parquet (row-group skipping), unlike a filter on the derived
+    ``batch_id``. ``after_batch`` likewise keeps commits ``> after_batch``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", *extra])
+    if upto_batch is not None:
+        ev = ev.filter(F.col("event_id") < F.lit((upto_batch + 1) * BATCH_SIZE))
+    if after_batch is not None:
+        ev = ev.filter(F.col("event_id") >= F.lit((after_batch + 1) * BATCH_SIZE))
     return ev.select(
         F.col("user_id").alias("k"),
         F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d")
