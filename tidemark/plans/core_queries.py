@@ -120,7 +120,7 @@ def q_as_of_time(spark, sf):
 def q_as_of_event_time(spark, sf):
     """Same instant by event time: includes changes that happened but were not
     yet committed then."""
-    return state_cols(versions.as_of(event_log(spark, sf), "k", AS_OF_MS, by="event"))
+    return state_cols(versions.as_of(event_log(spark, sf, upto_ts_ms=AS_OF_MS), "k", AS_OF_MS, by="event"))
 
 
 @register("as_of_minutes_ago", with_log(latest_sql(

@@ -11,6 +11,8 @@ Mapping (fixed so that Spark and the SQL oracle build the identical log):
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +23,24 @@ BATCH_SIZE = 100
 
 
 def event_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), *,
-              upto_batch: int | None = None, after_batch: int | None = None) -> DataFrame:
+              upto_batch: int | None = None, after_batch: int | None = None,
+              upto_ts_ms: int | None = None) -> DataFrame:
     """The derived typed change log; ``extra`` raw event columns ride along
     from the same scan (no self-join). ``upto_batch`` restricts the scan to
     commits ``<= upto_batch`` with a filter on the stored ``event_id`` column,
     which reaches Parquet (row-group skipping), unlike a filter on the derived
-    ``batch_id``. ``after_batch`` likewise keeps commits ``> after_batch``."""
+    ``batch_id``. ``after_batch`` likewise keeps commits ``> after_batch``, and
+    ``upto_ts_ms`` keeps events with ``ts_ms <= upto_ts_ms`` through the stored
+    ``ts`` column."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", *extra])
     if upto_batch is not None:
         ev = ev.filter(F.col("event_id") < F.lit((upto_batch + 1) * BATCH_SIZE))
     if after_batch is not None:
         ev = ev.filter(F.col("event_id") >= F.lit((after_batch + 1) * BATCH_SIZE))
+    if upto_ts_ms is not None:
+        # ts_ms <= T  <=>  ts < epoch + (T + 1) ms   (ts_ms floors sub-millisecond parts)
+        bound = _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=upto_ts_ms + 1)
+        ev = ev.filter(F.col("ts") < F.expr(f"TIMESTAMP_NTZ'{bound.isoformat(sep=' ')}'"))
     return ev.select(
         F.col("user_id").alias("k"),
         F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d")
