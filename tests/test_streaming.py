@@ -195,3 +195,23 @@ def test_commit_log_snapshots_bound_reads(spark, tmp_root):
     assert store.apply(log.filter(F.col("pos") < 200), epoch=3) is None      # replay still detected
     assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
     assert _rows(store.read_as_of(2500)) == _rows(fold.latest_state(log.filter(F.col("pos") < 400), "k"))
+
+
+def test_lost_commit_race_is_retried(spark, tmp_root):
+    log = event_log(spark, SF).select(*COLS)
+    store = VersionedStore(spark, f"{tmp_root}/race", "k", log.schema, buckets=2)
+    assert store.apply(log.filter(F.col("pos") < 500), epoch=0) == 0
+    real = store._try_commit
+    calls = {"n": 0}
+
+    def racing(record):
+        calls["n"] += 1
+        if calls["n"] == 1:             # another writer takes this version first
+            assert real(dict(record, writer="other", epoch=7))
+            return real(record)         # our attempt now loses: put-if-absent
+        return real(record)
+
+    store._try_commit = racing
+    assert store.apply(log.filter(F.col("pos") >= 500), epoch=1) == 2     # re-folded on top of version 1
+    assert sorted(r.version for r in store.commits().collect()) == [0, 1, 2]
+    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))

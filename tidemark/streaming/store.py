@@ -2,8 +2,9 @@
 
 Layout under ``root`` (a folder in shared storage):
 
-* ``state/v=<version>/bucket=<b>/`` -- copy-on-write state, hash-bucketed by key.
-  A version only rewrites the buckets its batch touched.
+* ``state/v=<version>/w=<attempt>/bucket=<b>/`` -- copy-on-write state,
+  hash-bucketed by key. A version only rewrites the buckets its batch touched;
+  each write attempt has its own folder, named in the commit record.
 * ``commits/r=<range>/<version>.json`` -- one small JSON record per committed batch:
   ``version, writer, epoch, buckets (touched), n_changes, committed_at_ms``.
   ``writer`` identifies the streaming query (its checkpoint location): epoch
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +43,11 @@ COMMITS_SCHEMA = T.StructType([
     T.StructField("buckets", T.ArrayType(T.IntegerType()), True),
     T.StructField("n_changes", T.LongType(), True),
     T.StructField("committed_at_ms", T.LongType(), True),
+    T.StructField("data_dir", T.StringType(), True),
 ])
 
+_CONFLICT = object()
+
 
 class VersionedStore:
     def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str], schema: T.StructType, *,
@@ -113,6 +118,16 @@ class VersionedStore:
         finally:
             out.close()
 
+    def _try_commit(self, record: dict) -> bool:
+        """``_write_commit`` that reports a lost race instead of raising."""
+        try:
+            self._write_commit(record)
+            return True
+        except Exception as e:  # py4j wraps FileAlreadyExistsException
+            if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+                return False
+            raise
+
     # -- metadata ------------------------------------------------------------
     def _latest_snapshot(self) -> int | None:
         """Newest snapshot whose write completed (has ``_SUCCESS``)."""
@@ -175,8 +190,9 @@ class VersionedStore:
         c = self.commits()
         if version is not None:
             c = c.filter(F.col("version") <= F.lit(version))
-        return (c.select(F.col("version"), F.explode("buckets").alias("bucket"))
-                .groupBy("bucket").agg(F.max("version").alias("v")))
+        return (c.select("version", "data_dir", F.explode("buckets").alias("bucket"))
+                .groupBy("bucket").agg(F.max("version").alias("v"),
+                                       F.max_by("data_dir", "version").alias("data_dir")))
 
     def _paths(self, version: int | None, buckets: list[int] | None) -> list[str]:
         """Folders that make up ``version``: per bucket, the newest version that
@@ -186,10 +202,10 @@ class VersionedStore:
         m = self.manifest(version)
         if buckets is not None:
             m = m.filter(F.col("bucket").isin(buckets))
-        return [f"{self.state_path}/v={r['v']}/bucket={r['bucket']}" for r in m.collect()]
+        return [f"{self.state_path}/{r['data_dir']}/bucket={r['bucket']}" for r in m.collect()]
 
     def _full_schema(self) -> T.StructType:
-        return T.StructType(self.schema.fields + [T.StructField("v", T.LongType()),
+        return T.StructType(self.schema.fields + [T.StructField("v", T.LongType()), T.StructField("w", T.StringType()),
                                                   T.StructField("bucket", T.IntegerType())])
 
     def read(self, version: int | None = None, *, live: bool = True, buckets: list[int] | None = None) -> DataFrame:
@@ -231,19 +247,31 @@ class VersionedStore:
         cols = [F.col(col)] if col else [F.col(k) for k in self.keys]
         return F.pmod(F.xxhash64(*cols), F.lit(self.buckets)).cast("int")
 
-    def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None, *, writer: str = "") -> int | None:
+    def apply(self, changes: DataFrame, epoch: int, now_ms: int | None = None, *, writer: str = "",
+              max_attempts: int = 3) -> int | None:
         """Fold one micro-batch of typed changes into a new version.
 
         Idempotent per ``(writer, epoch)``: a batch already committed is skipped; the
         fold's (ts, pos) order guard makes re-applying older changes harmless.
-        Returns the committed version (or None when skipped/empty).
+        Returns the committed version (or None when skipped/empty). If another
+        writer commits the same version first, the batch is re-folded on top of
+        it (optimistic concurrency, up to ``max_attempts``).
         """
+        for _ in range(max_attempts):
+            out = self._apply_once(changes, epoch, now_ms, writer)
+            if out is not _CONFLICT:
+                return out
+        raise RuntimeError(f"could not commit epoch {epoch}: version taken {max_attempts} times")
+
+    def _apply_once(self, changes: DataFrame, epoch: int, now_ms: int | None, writer: str):
         # One job over the commit rows (<= buckets + 1 rows back): the newest
         # version per bucket, the last version, and whether this epoch landed.
         c = self.commits()
-        per_bucket = (c.select("version", F.explode("buckets").alias("bucket")).groupBy("bucket")
-                      .agg(F.max("version").alias("v")).withColumn("seen", F.lit(None).cast("int")))
+        per_bucket = (c.select("version", "data_dir", F.explode("buckets").alias("bucket")).groupBy("bucket")
+                      .agg(F.max("version").alias("v"), F.max_by("data_dir", "version").alias("data_dir"))
+                      .withColumn("seen", F.lit(None).cast("int")))
         summary = c.agg(F.lit(-1).alias("bucket"), F.max("version").alias("v"),
+                        F.lit(None).cast("string").alias("data_dir"),
                         F.max(F.when((F.col("epoch") == F.lit(epoch)) & (F.col("writer") == F.lit(writer)), 1))
                         .alias("seen"))
         meta = per_bucket.unionByName(summary).collect()
@@ -251,7 +279,7 @@ class VersionedStore:
         if top["seen"] is not None:
             return None
         last = -1 if top["v"] is None else int(top["v"])
-        newest = {r["bucket"]: r["v"] for r in meta if r["bucket"] != -1}
+        newest = {r["bucket"]: r["data_dir"] for r in meta if r["bucket"] != -1}
         compact = latest_state(changes.select(*self.schema.names), self.key, self.order,
                                keep_deletes=True, op_col=self.op_col).withColumn("bucket", self.bucket_of())
         compact = compact.persist()
@@ -263,7 +291,7 @@ class VersionedStore:
                 return None
             n = sum(r["n"] for r in per_bucket)
             version = last + 1
-            paths = [f"{self.state_path}/v={newest[b]}/bucket={b}" for b in touched if b in newest]
+            paths = [f"{self.state_path}/{newest[b]}/bucket={b}" for b in touched if b in newest]
             if paths:
                 current = (self.spark.read.schema(self._full_schema()).option("basePath", self.state_path)
                            .parquet(*paths).select(*self.schema.names))
@@ -279,10 +307,14 @@ class VersionedStore:
                     .repartition(len(touched) * self.files_per_bucket, F.col("bucket"), F.col("_w")))
             nxt = latest_state(both, ["bucket", "_w", *self.keys], self.order, keep_deletes=True,
                                op_col=self.op_col).drop("_w")
-            nxt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}")
-            self._write_commit({"version": version, "epoch": int(epoch), "writer": writer, "buckets": touched,
-                                "n_changes": int(n),
-                                "committed_at_ms": int(now_ms if now_ms is not None else time.time() * 1000)})
+            # A fresh folder per attempt: a writer that loses the race for this
+            # version never overwrites the winner's data.
+            data_dir = f"v={version}/w={uuid.uuid4().hex}"
+            nxt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/{data_dir}")
+            if not self._try_commit({"version": version, "epoch": int(epoch), "writer": writer, "buckets": touched,
+                                     "n_changes": int(n), "data_dir": data_dir,
+                                     "committed_at_ms": int(now_ms if now_ms is not None else time.time() * 1000)}):
+                return _CONFLICT
             if self.snapshot_every and version > 0 and version % self.snapshot_every == 0:
                 self.snapshot_commits(version)
             return version
@@ -302,10 +334,11 @@ class VersionedStore:
             cur = cur.filter((F.col(self.op_col) != "d") | (F.col(self.order[0]) >= F.lit(tombstone_before_ms)))
         version = last + 1
         sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys], F.lit("file")), F.lit(self.files_per_bucket))
+        data_dir = f"v={version}/w={uuid.uuid4().hex}"
         (cur.withColumn("bucket", self.bucket_of())
          .repartition(self.buckets * self.files_per_bucket, F.col("bucket"), sub)
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/v={version}"))
-        self._write_commit({"version": version, "epoch": epoch, "writer": "compact",
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.state_path}/{data_dir}"))
+        self._write_commit({"version": version, "epoch": epoch, "writer": "compact", "data_dir": data_dir,
                             "buckets": list(range(self.buckets)), "n_changes": 0,
                             "committed_at_ms": int(time.time() * 1000)})
         return version
