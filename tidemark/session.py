@@ -84,10 +84,12 @@ def spread(df, min_partitions: int | None = None):
     (plus narrow projections): there ``getNumPartitions`` only plans the scan
     and runs no job; on a plan with exchanges, adaptive execution would have to
     run them to answer."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def scale_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
