@@ -42,6 +42,10 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert rows_only == {"data_files"}          # file names are not SQL-reproducible
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, duck, name):
     from __spark_entry__ import oracle_sql, queries
@@ -52,6 +56,10 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) >= 0
         return
+    rel = duck.sql(sql)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}     # same column types
     res = duck.execute(sql)
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()

@@ -78,8 +78,8 @@ def q_branch_conflicts(spark, sf):
 
 @register("branch_list", with_log(
     "SELECT r.name, r.base_ref, r.base_commit, coalesce(h.own_head_commit, r.base_commit) AS head_commit, "
-    "coalesce(h.own_changes, 0) AS own_changes FROM (VALUES ('main', NULL, NULL), "
-    f"('{BRANCH}', 'main', {FORK_VERSION})) AS r(name, base_ref, base_commit) LEFT JOIN ("
+    "coalesce(h.own_changes, 0) AS own_changes FROM (VALUES ('main', NULL, CAST(NULL AS BIGINT)), "
+    f"('{BRANCH}', 'main', CAST({FORK_VERSION} AS BIGINT))) AS r(name, base_ref, base_commit) LEFT JOIN ("
     "SELECT ref AS name, max(batch_id) AS own_head_commit, count(*) AS own_changes FROM bl GROUP BY ref) h "
     "USING (name)", _BL))
 def q_branch_list(spark, sf):

@@ -232,7 +232,8 @@ def pipeline_metrics(spark, sf):
     "round((max(ts_ms) - min(ts_ms)) / 1000.0, 3) FROM log GROUP BY batch_id "
     "UNION ALL SELECT 'end_to_end_lag_s', 'commit-' || CAST(batch_id AS VARCHAR), "
     "round((max(committed_at_ms - ts_ms)) / 1000.0, 3) FROM log JOIN c USING (batch_id) GROUP BY batch_id) "
-    "JOIN (VALUES ('consumer_lag_messages', 10000.0), ('batch_duration_s', 30.0), ('end_to_end_lag_s', 60.0)) "
+    "JOIN (VALUES ('consumer_lag_messages', CAST(10000 AS DOUBLE)), ('batch_duration_s', CAST(30 AS DOUBLE)), "
+    "('end_to_end_lag_s', CAST(60 AS DOUBLE))) "
     "AS l(metric, limit_value) USING (metric) WHERE value > limit_value", _C))
 def q_sla_breaches(spark, sf):
     return monitor.sla_breaches(pipeline_metrics(spark, sf), monitor.limits_frame(spark)).select(
