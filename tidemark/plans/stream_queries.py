@@ -114,3 +114,11 @@ def q_data_files(spark, sf):
     """Data files behind the replica's state (``$files``): path, size, rows."""
     store, _ = _run_apply(spark, sf, None)
     return store.files()
+
+
+@register("snapshot_size_trend")
+def q_snapshot_size_trend(spark, sf):
+    """Rows, files and bytes written per committed version of the replica
+    (snapshot size trend), after an admission-controlled apply."""
+    store, _ = _run_apply(spark, sf, 1)
+    return store.size_trend().select("version", "files", "rows", "bytes")
