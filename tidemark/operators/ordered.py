@@ -74,7 +74,12 @@ def _use_chunks(df: DataFrame, keys: list[str], mode: str, n_chunks: int | None)
 def with_neighbors(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str], *,
                    prev: bool = True, nxt: bool = True, n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
     """Add ``_prev`` / ``_next``: structs of ``order + cols`` of the previous /
-    next row of the same key (NULL at the ends)."""
+    next row of the same key (NULL at the ends).
+
+    Keys are expected non-NULL, as everywhere in the library (parsing
+    quarantines keyless changes). The chunk summary joins back on plain key
+    equality so the join reuses the window's ``(key, chunk)`` partitioning; a
+    NULL-safe join would add a full shuffle of the log."""
     keys = _keys(key)
     packed = F.struct(*[F.col(c) for c in list(order) + [c for c in cols if c not in order]])
     if not _use_chunks(df, keys, mode, n_chunks):
