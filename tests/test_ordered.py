@@ -79,3 +79,12 @@ def test_transitions(spark):
                                 "k long, status string, ts_ms long, pos long")
     got = sorted((r.prev_status or "-", r.next_status, r.n) for r in ordered.transitions(log, "k", "status").collect())
     assert got == [("-", "x", 2), ("x", "y", 1), ("y", "x", 1)]
+
+
+def test_probe_on_provided_data(spark):
+    from tidemark.plans.core_queries import hot_key_log
+    from tidemark.plans.testdata import event_log
+
+    sf = "/root/testdata/sf0.01"
+    assert not ordered.has_hot_key(event_log(spark, sf), "k", 8)     # 150 even keys: plain windows
+    assert ordered.has_hot_key(hot_key_log(spark, sf), "k", 8)       # one key with ~40%: chunked
