@@ -24,7 +24,7 @@ def read_source(spark: SparkSession, url: str, table: str, *, partition_column:
 
     With ``partition_column`` the JDBC read is split into ``num_partitions``
     range queries so the scan runs on many executors instead of one
-    connection. ``url`` may also be a Parquet path (the offline twin used in
+    connection; missing bounds are read from the table (min/max). ``url`` may also be a Parquet path (the offline twin used in
     tests, where no database runs): then it is read as Parquet.
     """
     if not url.startswith("jdbc:"):
@@ -34,7 +34,16 @@ def read_source(spark: SparkSession, url: str, table: str, *, partition_column:
         reader = reader.option(k, v)
     if partition_column is not None:
         if lower is None or upper is None:
-            raise ValueError("partitioned JDBC reads need lower and upper bounds")
+            # One tiny query for the split bounds (a single row of metadata).
+            probe = spark.read.format("jdbc").option("url", url).option(
+                "dbtable", f"(SELECT min({partition_column}) AS lo, max({partition_column}) AS hi FROM {table}) b")
+            for k, v in (properties or {}).items():
+                probe = probe.option(k, v)
+            b = probe.load().first()
+            lower = b["lo"] if lower is None else lower
+            upper = b["hi"] if upper is None else upper
+            if lower is None or upper is None:      # empty table: a single unpartitioned read
+                return reader.load()
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower)).option("upperBound", str(upper))
                   .option("numPartitions", str(num_partitions)))
