@@ -86,3 +86,13 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_conf(15 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_apply_conf_respects_cluster_settings(spark):
+    from tidemark.session import apply_conf
+
+    # spark.checkpoint.dir was set at startup (explicit in the SparkConf): never overridden.
+    applied = apply_conf(spark, {"spark.checkpoint.dir": "/elsewhere",
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4"})
+    assert "spark.checkpoint.dir" not in applied
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "4"
