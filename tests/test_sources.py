@@ -68,6 +68,15 @@ def test_replicate_all_tables(spark, tmp_root):
     assert (o.order_id, o.status, str(o.total_amount)) == (101, "pending", "299.99")
     inv = wh.read(INVENTORY_SPEC).first()
     assert (inv.sku, inv.stock_quantity) == ("SKU-LAP-001", 47)
+    # A later delete carrying only the primary key resolves to the sku through
+    # the replica's state (default replica identity).
+    pk_delete = {"before": {"product_id": "1"}, "after": None, "source": {"table": "inventory"}, "op": "d",
+                 "ts_ms": 1782736509000}
+    _land(spark, src, [pk_delete], INVENTORY_SPEC.topic, start=10)
+    qs2 = replicate_all(wh, [INVENTORY_SPEC], lambda spec: read_changes(spark, spec, fmt="parquet", path=src),
+                        trigger="availableNow")
+    await_all(spark, qs2, timeout=300)
+    assert wh.read(INVENTORY_SPEC).count() == 0
     it = wh.read(SPECS["order_items"]).first()
     assert (it.item_id, it.quantity, str(it.unit_price)) == (5, 2, "39.99")
     # The replicas answer plain SQL through views named after the tables.

@@ -59,11 +59,17 @@ class Warehouse:
         return names
 
 
-def typed_changes(spec: TableSpec) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
-    """Batch -> (valid typed changes, quarantined rows) for one table."""
+def typed_changes(spec: TableSpec, store: VersionedStore | None = None
+                  ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
+    """Batch -> (valid typed changes, quarantined rows) for one table. When the
+    business key differs from the source primary key, deletes that carry only
+    the primary key are resolved through the replica's current state."""
     def run(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         p = envelope.parse_envelope(batch, spec)
-        t = envelope.project_typed(p, spec).withColumn("pos", F.col("offset"))
+        state = None
+        if store is not None and spec.pk is not None and spec.pk != spec.key:
+            state = store.read().select(spec.pk, spec.key)
+        t = envelope.project_typed(p, spec, state=state).withColumn("pos", F.col("offset"))
         ok, bad = envelope.split_valid(t)
         return ok, bad.select("op", "ts_ms", "topic", "partition", "offset", "_reason", "_raw")
     return run
@@ -75,7 +81,8 @@ def replicate_all(wh: Warehouse, specs: Iterable[TableSpec], source: Callable[[T
     change stream (e.g. ``read_changes(spark, spec, max_per_trigger=...)``)."""
     out = {}
     for spec in specs:
-        out[spec.name] = start_apply(source(spec), wh.store(spec), wh.checkpoint(spec),
-                                     to_changes=typed_changes(spec), quarantine_path=wh.quarantine_path(spec),
+        store = wh.store(spec)
+        out[spec.name] = start_apply(source(spec), store, wh.checkpoint(spec),
+                                     to_changes=typed_changes(spec, store), quarantine_path=wh.quarantine_path(spec),
                                      trigger=trigger, name=f"replicate_{spec.name}")
     return out
