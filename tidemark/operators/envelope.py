@@ -19,18 +19,24 @@ _PARSE_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("_corrupt_r
 _META = ("key", "topic", "partition", "offset", "timestamp")
 
 
-def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str | None = None) -> DataFrame:
+def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str | None = None,
+                   drop_tombstones: bool = True) -> DataFrame:
     """Kafka-shaped rows -> one row per change with envelope fields projected.
 
     Output: ``table, key, op, ts_ms, topic, partition, offset, before, after,
     _reason, _raw`` (the record text, for quarantine). Tombstones (NULL or empty value, emitted after deletes for log
     compaction) are removed here; they are not changes. The key is taken from
     ``after`` and falls back to ``before`` so deletes keep their identity.
+    ``drop_tombstones=False`` skips that filter for sources known to carry none
+    (it is a filter on ``value``; when ``value`` is itself computed, Catalyst
+    would evaluate that computation once more to apply it).
     """
     key_col = key or (spec.key if spec is not None else None)
     value = F.col("value").cast("string")
     meta = [c for c in _META if c in raw.columns and c != "key"]
-    parsed = (raw.filter(value.isNotNull() & (value != ""))
+    if drop_tombstones:
+        raw = raw.filter(value.isNotNull() & (value != ""))
+    parsed = (raw
               .select(*meta, value.alias("_raw"),
                       F.from_json(value, _PARSE_SCHEMA, {"mode": "PERMISSIVE",
                                                         "columnNameOfCorruptRecord": "_corrupt_record"}).alias("cdc")))

@@ -35,7 +35,7 @@ def envelopes(spark, sf, corrupt: bool = False):
 @register("parse_envelope", with_log(
     "SELECT 'events' AS source_table, CAST(k AS VARCHAR) AS key, op, ts_ms, pos AS \"offset\" FROM log"))
 def q_parse_envelope(spark, sf):
-    p = envelope.parse_envelope(envelopes(spark, sf), EVENTS_SPEC)
+    p = envelope.parse_envelope(envelopes(spark, sf), EVENTS_SPEC, drop_tombstones=False)
     return p.select(F.col("table").alias("source_table"), "key", "op", "ts_ms", "offset")
 
 
@@ -46,7 +46,7 @@ def q_parse_envelope(spark, sf):
 def q_parse_quarantine(spark, sf):
     """Every record comes out: valid ones with ``ok``, damaged ones with their
     quarantine reason (nothing is silently dropped)."""
-    p = envelope.parse_envelope(envelopes(spark, sf, corrupt=True), EVENTS_SPEC)
+    p = envelope.parse_envelope(envelopes(spark, sf, corrupt=True), EVENTS_SPEC, drop_tombstones=False)
     ok, bad = envelope.split_valid(p)
     return (ok.select("key", "op", "ts_ms", "offset", F.lit("ok").alias("reason"))
             .unionByName(bad.select("key", "op", "ts_ms", "offset", F.col("_reason").alias("reason"))))
@@ -54,7 +54,7 @@ def q_parse_quarantine(spark, sf):
 
 @register("typed_projection", with_log("SELECT k, status, amount, op, ts_ms, pos FROM log"))
 def q_typed_projection(spark, sf):
-    p = envelope.parse_envelope(envelopes(spark, sf), EVENTS_SPEC)
+    p = envelope.parse_envelope(envelopes(spark, sf), EVENTS_SPEC, drop_tombstones=False)
     t = envelope.project_typed(p, EVENTS_SPEC)
     return t.filter(F.col("_reason").isNull()).select("k", "status", "amount", "op", "ts_ms",
                                                       F.col("offset").alias("pos"))
@@ -168,7 +168,7 @@ def q_schema_evolve(spark, sf):
     "FROM log WHERE pos % 97 = 0"))
 def q_dq_images(spark, sf):
     """Envelope completeness rules over the damaged stream."""
-    p = envelope.parse_envelope(envelopes(spark, sf, corrupt=True), EVENTS_SPEC)
+    p = envelope.parse_envelope(envelopes(spark, sf, corrupt=True), EVENTS_SPEC, drop_tombstones=False)
     return quality.dq_images(p, EVENTS_SPEC)
 
 
