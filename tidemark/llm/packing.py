@@ -2,13 +2,10 @@
 
 ``pieces`` tokenises whole texts inside tasks and cuts only documents longer than a
 sequence. ``pack`` deals the pieces out at random into groups of about ``GROUP``
-pieces and packs each group on its own: a piece goes where the sum of the squared
-counts of open bins per residual gap becomes smallest, a new bin being one of the
-choices. The groups bound what one task holds whatever the corpus, and cost less
-than one open bin in a thousand.
-
-Within a group, pieces over half a sequence come first (each needs a bin of its
-own), the smallest tenth of a sequence last, longest first, as fill.
+pieces and packs each group on its own, longest piece first: of the open bins with
+room, a piece goes where the sum of the squared counts of open bins per residual gap
+becomes smallest. The groups bound what one task holds whatever the corpus; each
+leaves about one bin partly empty.
 
 Defined results: a null or empty text is the single end token; every input row is a
 document of its own, also when ids repeat or are null; an empty table gives an empty
@@ -149,24 +146,18 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
 
 
 def sum_of_squares(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each size, in arrival order but for the largest and smallest."""
-    big, small = sizes * 2 > length, sizes * 10 < length
-    order = np.concatenate([k[np.argsort(-sizes[k], kind="stable")] if by else k for k, by in (
-        (np.flatnonzero(big), True), (np.flatnonzero(~big & ~small), False), (np.flatnonzero(small & ~big), True))])
+    """(bin, offset) of each size. Longest first; a new bin only where no open one has room."""
     count = np.zeros(length + 1)
     open_bins: list[list[int]] = [[] for _ in range(length + 1)]
     where, offset, bins = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64), 0
-    for item in order:
+    for item in np.argsort(-sizes, kind="stable"):
         s = int(sizes[item])
-        if s >= length:
-            where[item], offset[item], bins = bins, 0, bins + 1
-            continue
         # The change of the sum of squares, halved, for each gap g = s, s + 1, ...; a full bin is not counted.
-        change = count[:length - s] - count[s:length] + 1
+        change = count[:length + 1 - s] - count[s:] + 1
         change[0] -= 0.5
-        change[count[s:length] == 0] = np.inf
+        change[count[s:] == 0] = np.inf
         best = int(change.argmin())
-        if change[best] <= count[length - s] + 0.5:
+        if np.isfinite(change[best]):
             gap = best + s
             count[gap] -= 1
             b = open_bins[gap].pop()
