@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .archives import round_trip
 from .minhash import near_duplicates
 from .packing import pack
 
@@ -32,3 +33,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).drop("url", "record_id")
+
+
+ORACLES["op7_arc_to_warc"] = """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM r
+"""
