@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .archives import round_trip
 from .minhash import near_duplicates
 from .packing import pack
+from .substrings import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +50,8 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM r
 """
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
