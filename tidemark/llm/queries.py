@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .archives import round_trip
+from .extraction import extract
 from .minhash import near_duplicates
 from .packing import pack
 from .substrings import remove_repeats
@@ -55,3 +56,8 @@ FROM r
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
