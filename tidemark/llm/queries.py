@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .archives import round_trip
 from .extraction import extract
+from .lattice import score_texts
 from .minhash import near_duplicates
 from .packing import pack
 from .substrings import remove_repeats
@@ -61,3 +62,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_lattice_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
