@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .archives import round_trip
 from .extraction import extract
+from .language import identify
 from .lattice import score_texts
 from .minhash import near_duplicates
 from .packing import pack
@@ -69,3 +70,8 @@ def op4_lattice_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
