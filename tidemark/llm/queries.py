@@ -13,6 +13,7 @@ from .lattice import score_texts
 from .minhash import near_duplicates
 from .packing import pack
 from .substrings import remove_repeats
+from .toxicity import score_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,8 @@ def op4_lattice_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

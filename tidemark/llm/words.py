@@ -21,6 +21,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+#: bytes.translate table that turns white space between words into spaces.
+SPACES = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
 _rng = np.random.default_rng(20_250_101)
 _LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
