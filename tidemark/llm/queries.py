@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .archives import round_trip
+from .embeddings import near_vectors
 from .extraction import extract
 from .language import identify
 from .lattice import score_texts
@@ -81,3 +82,26 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(u, w) AS (
+    SELECT u, w FROM links UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+n AS (SELECT u, count(*) AS n_links FROM links GROUP BY u),
+c AS (SELECT u, min(w) AS least FROM reach GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
+"""
