@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .archives import round_trip
+from .decontamination import decontaminate
 from .embeddings import near_vectors
 from .extraction import extract
 from .language import identify
@@ -105,3 +106,8 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, ve
        vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
 FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
 """
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -103,10 +103,10 @@ def words_of(data: np.ndarray, text_at: np.ndarray) -> Words:
     return Words(data, text_at, start, end, hash_spans(data, start, end), np.searchsorted(start, text_at, "left"))
 
 
-def word_slices(texts: pa.Array) -> Iterator[tuple[int, int, Words]]:
+def word_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row + 1, their words), a few MB of text at a time."""
     data, at = raw(texts)
-    for i, j in slices(at):
+    for i, j in slices(at, limit):
         yield i, j, words_of(data[at[i]:at[j]], at[i:j + 1] - at[i])
 
 
