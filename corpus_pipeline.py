@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import decontaminate
+from tidemark.llm.ids import one_of_equal, without
 from tidemark.llm.language import identify
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.packing import pack
@@ -18,19 +19,14 @@ from tidemark.llm.scratch import Scratch
 from tidemark.llm.substrings import remove_repeats
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``gone``."""
-    return docs.join(gone.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that read as no language go."""
-    return without(docs, identify(docs).where("not kept"))
+    return without(docs, identify(docs).where("not kept").select("doc_id"), "doc_id")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, and one of equal rows."""
-    return without(docs, near_duplicates(docs).where("not kept")).dropDuplicates(["doc_id", "text"])
+    return without(one_of_equal(docs, "doc_id"), near_duplicates(docs).where("not kept").select("doc_id"), "doc_id")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +37,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without(docs, decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("leaked"))
+    return without(docs, decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("leaked").select("doc_id"), "doc_id")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
