@@ -18,10 +18,10 @@ def test_time_conversions_are_time_zone_free(spark):
 
 
 def test_string_builders_and_json(spark):
-    df = spark.createDataFrame([("Jean Dupont", 42, '{"k": 7}'), ("Alice Martin", 5, "{bad")],
+    df = spark.createDataFrame([("Ada Test", 9, '{"k": 7}'), ("Bo Sample", 14, "{bad")],
                                "name string, id long, props string")
     rows = df.select(scalar.derive_email(F.col("name"), F.col("id")).alias("e"),
                      scalar.phone_format(F.lit(12), F.lit(34), F.lit(5), F.lit(78)).alias("p"),
                      scalar.json_field(F.col("props"), "$.k", "int").alias("k")).collect()
-    assert rows[0].e == "jean.dupont.42@example.com" and rows[0].p == "+33-6-12-34-05-78" and rows[0].k == 7
+    assert rows[0].e == "ada.test.9@example.com" and rows[0].p == "+33-6-12-34-05-78" and rows[0].k == 7
     assert rows[1].k is None                       # malformed JSON -> NULL, not a failure

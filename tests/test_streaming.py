@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import fold
 from tidemark.plans.testdata import event_log
 from tidemark.streaming.apply import await_all, start_apply, stream_latest
-from tidemark.streaming.store import VersionedStore
+from tidemark.streaming.change_table import ChangeTable
 
 SF = "/root/testdata/sf0.001"
 COLS = ["k", "op", "status", "amount", "ts_ms", "pos"]
@@ -19,29 +19,39 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*COLS).collect())
 
 
-def test_store_versions_and_idempotent_epochs(spark, tmp_root):
+def test_epochs_replace_themselves_and_replays_change_nothing(spark, tmp_root):
     log = event_log(spark, SF).select(*COLS)
-    store = VersionedStore(spark, f"{tmp_root}/r", "k", log.schema, buckets=4)
-    first = log.filter(F.col("pos") < 500)
-    rest = log.filter(F.col("pos") >= 500)
-    assert store.apply(first, epoch=0, now_ms=1000) == 0
-    assert store.apply(rest, epoch=1, now_ms=2000) == 1
-    assert store.apply(rest, epoch=1) is None            # replayed epoch: skipped
-    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
-    assert _rows(store.read(0)) == _rows(fold.latest_state(first, "k"))
-    assert _rows(store.read_as_of(1500)) == _rows(store.read(0))        # time travel by commit time
-    assert store.read_as_of(10).count() == 0
-    assert [r.version for r in store.history().collect()] == [1, 0]
-    # Re-applying already-applied changes under a new epoch changes nothing (order guard).
-    store.apply(first, epoch=2, now_ms=3000)
-    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
-    assert store.files().count() >= 1
-    before = _rows(store.read())
-    v = store.compact()
-    assert _rows(store.read()) == before and _rows(store.read(v - 1)) == before
-    assert store.manifest().filter(F.col("v") != v).count() == 0   # reads touch the compacted version only
-    trend = {r.version: r.rows for r in store.size_trend().collect()}
-    assert set(trend) == {0, 1, 2, v} and trend[v] == len(before) + store.read(live=False).filter("op = 'd'").count()
+    table = ChangeTable(spark, f"{tmp_root}/r", "k", log.schema)
+    assert table.read().count() == 0
+    first, rest = log.filter(F.col("pos") < 500), log.filter(F.col("pos") >= 500)
+    table.apply(first, 0)
+    assert _rows(table.read()) == _rows(fold.latest_state(first, "k"))
+    table.apply(rest, 1)
+    stored = table.changes().count()
+    table.apply(rest, 1)                                  # a retried batch
+    table.apply(first, 0, writer="another")               # a replay under a new checkpoint
+    assert _rows(table.read()) == _rows(fold.latest_state(log, "k"))
+    assert table.changes().filter(~F.col("_metadata.file_path").contains("another")).count() == stored
+    trend = {(r.writer, r.version): r.rows for r in table.size_trend().collect()}
+    assert set(trend) == {("batch", 0), ("batch", 1), ("another", 0)} and trend["batch", 0] == trend["another", 0]
+    before, dead = _rows(table.read()), table.read(live=False).count()
+    table.compact()
+    assert table.epochs() == [] and _rows(table.read()) == before and table.read(live=False).count() == dead
+    table.apply(first, 7)                                 # older changes after the compaction: deletes hold
+    assert _rows(table.read()) == before
+    table.compact()
+    assert _rows(table.read()) == before and len(table._bases()) == 1
+
+
+def test_a_batch_writes_only_itself_and_half_written_folders_are_skipped(spark, tmp_root):
+    schema = "k long, op string, ts_ms long, pos long"
+    table = ChangeTable(spark, f"{tmp_root}/big", "k", spark.createDataFrame([], schema).schema)
+    table.apply(spark.range(20_000).selectExpr("id as k", "'c' as op", "1L as ts_ms", "id as pos"), 0)
+    table.apply(spark.range(100).selectExpr("id as k", "'d' as op", "2L as ts_ms", "id as pos"), 1)
+    assert {r.version: r.rows for r in table.size_trend().collect()} == {0: 20_000, 1: 100}
+    spark.range(5).selectExpr("id as k", "'c' as op", "9L as ts_ms", "id as pos").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tmp_root}/big/changes/writer=dead/epoch=0")
+    assert table.read().count() == 19_900
 
 
 def test_compact_log_keeps_every_change(spark, tmp_root):
@@ -59,7 +69,7 @@ def test_compact_log_keeps_every_change(spark, tmp_root):
 
 def test_stream_apply_equals_batch_and_survives_restart(spark, tmp_root):
     path, schema = _stage(spark, tmp_root)
-    store = VersionedStore(spark, f"{tmp_root}/replica", "k", event_log(spark, SF).select(*COLS).schema, buckets=4)
+    store = ChangeTable(spark, f"{tmp_root}/replica", "k", event_log(spark, SF).select(*COLS).schema)
     ckpt = f"{tmp_root}/ckpt"
 
     def run():
@@ -69,17 +79,17 @@ def test_stream_apply_equals_batch_and_survives_restart(spark, tmp_root):
         assert q.exception() is None
 
     run()
-    n_commits = store.commits().count()
-    assert n_commits == 4                                 # one commit per micro-batch
+    n_epochs = len(store.epochs())
+    assert n_epochs == 4                                  # one folder per micro-batch
     run()                                                 # restart from the checkpoint: nothing new
-    assert store.commits().count() == n_commits
+    assert len(store.epochs()) == n_epochs
     assert _rows(store.read()) == _rows(fold.latest_state(event_log(spark, SF), "k"))
     # Checkpoint lost: a new query restarts at epoch 0. Its batches are NOT
     # mistaken for the old query's epochs; the replay is absorbed by the
     # ordering guard and the state does not change.
     ckpt = f"{tmp_root}/ckpt_new"
     run()
-    assert store.commits().count() == 2 * n_commits
+    assert len(store.epochs()) == 2 * n_epochs
     assert _rows(store.read()) == _rows(fold.latest_state(event_log(spark, SF), "k"))
 
 
@@ -90,25 +100,48 @@ def test_quarantine_path_in_stream(spark, tmp_root):
 
     src = f"{tmp_root}/raw"
     raw_frame(spark, [INSERT, "{broken", UPDATE]).write.parquet(src)
-    store = VersionedStore(spark, f"{tmp_root}/cust", "customer_id",
-                           spark.createDataFrame([], "customer_id int, name string, email string, phone string, "
-                                                     "loyalty_tier string, op string, ts_ms long, pos long").schema,
-                           buckets=2)
+    store = ChangeTable(spark, f"{tmp_root}/cust", "customer_id",
+                        spark.createDataFrame([], "customer_id int, name string, email string, phone string, "
+                                                     "loyalty_tier string, op string, ts_ms long, pos long").schema)
 
     def to_changes(batch):
         p = envelope.parse_envelope(batch, CUSTOMERS_SPEC)
-        t = envelope.project_typed(p, CUSTOMERS_SPEC).withColumn("pos", F.col("offset"))
-        ok, bad = envelope.split_valid(t)
-        return ok, bad.select("op", "offset", "_reason")
+        return envelope.project_typed(p, CUSTOMERS_SPEC).withColumn("pos", F.col("offset"))
 
     s = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     q = start_apply(s, store, f"{tmp_root}/ckpt2", to_changes=to_changes, quarantine_path=f"{tmp_root}/quarantine",
                     trigger="availableNow")
     q.awaitTermination()
-    assert [(r.customer_id, r.loyalty_tier) for r in store.read().collect()] == [(42, "platinum")]
+    assert [(r.customer_id, r.loyalty_tier) for r in store.read().collect()] == [(7311, "gold")]
     assert spark.read.parquet(f"{tmp_root}/quarantine").count() == 1
 
 
+def test_a_retried_batch_quarantines_once(spark, tmp_root):
+    from conftest import INSERT, raw_frame
+    from tidemark.spec import CUSTOMERS_SPEC
+    from tidemark.streaming.replicate import Warehouse, typed_changes
+
+    src, wh, fail = f"{tmp_root}/raw", Warehouse(spark, f"{tmp_root}/wh"), [True]
+    raw_frame(spark, [INSERT, "{broken"]).write.parquet(src)
+    table = wh.table(CUSTOMERS_SPEC)
+    apply = table.apply
+
+    def flaky(*args, **kw):
+        apply(*args, **kw)
+        if fail.pop() if fail else False:
+            raise RuntimeError("lost after writing")
+
+    table.apply = flaky
+    for _ in range(2):
+        q = start_apply(spark.readStream.schema(spark.read.parquet(src).schema).parquet(src), table, f"{tmp_root}/ck_retry",
+                        to_changes=typed_changes(CUSTOMERS_SPEC), quarantine_path=wh.quarantine_path(CUSTOMERS_SPEC), trigger="availableNow")
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+    assert not fail and spark.read.parquet(wh.quarantine_path(CUSTOMERS_SPEC)).count() == 1 and table.changes().count() == 1
+
+
 def test_stream_latest_equals_batch(spark, tmp_root):
     path, schema = _stage(spark, tmp_root)
     agg = stream_latest(spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
@@ -155,18 +188,6 @@ def test_stream_rate_watermark_drops_only_too_late_events(spark, tmp_root):
     assert got[60_000] == 2 and got[7_200_000] == 1 and got[7_260_000] == 1
 
 
-def test_version_commit_is_put_if_absent(spark, tmp_root):
-    import pytest
-
-    log = event_log(spark, SF).select(*COLS)
-    store = VersionedStore(spark, f"{tmp_root}/cc", "k", log.schema, buckets=2)
-    assert store.apply(log, epoch=0) == 0
-    with pytest.raises(Exception):      # a second writer racing for version 0 cannot commit it
-        store._write_commit({"version": 0, "epoch": 9, "writer": "other", "buckets": [0], "n_changes": 1,
-                             "committed_at_ms": 0})
-    assert store.commits().count() == 1
-
-
 def test_stream_static_enrichment(spark, tmp_root):
     from tidemark.operators.analytics import enrich
     from tidemark.sources.tables import read_table
@@ -182,36 +203,3 @@ def test_stream_static_enrichment(spark, tmp_root):
     batch = enrich(event_log(spark, SF), dim, "k", "c_custkey", ["c_mktsegment"])
     cols = ["pos", "k", "c_mktsegment"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
-
-
-def test_commit_log_snapshots_bound_reads(spark, tmp_root):
-    log = event_log(spark, SF).select(*COLS)
-    store = VersionedStore(spark, f"{tmp_root}/snap", "k", log.schema, buckets=2, commit_range=2, snapshot_every=2)
-    for e in range(5):
-        part = log.filter((F.col("pos") >= e * 200) & (F.col("pos") < (e + 1) * 200))
-        assert store.apply(part, epoch=e, now_ms=1000 * (e + 1)) == e
-    assert store._latest_snapshot() == 4
-    assert sorted(r.version for r in store.commits().collect()) == [0, 1, 2, 3, 4]
-    assert store.apply(log.filter(F.col("pos") < 200), epoch=3) is None      # replay still detected
-    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))
-    assert _rows(store.read_as_of(2500)) == _rows(fold.latest_state(log.filter(F.col("pos") < 400), "k"))
-
-
-def test_lost_commit_race_is_retried(spark, tmp_root):
-    log = event_log(spark, SF).select(*COLS)
-    store = VersionedStore(spark, f"{tmp_root}/race", "k", log.schema, buckets=2)
-    assert store.apply(log.filter(F.col("pos") < 500), epoch=0) == 0
-    real = store._try_commit
-    calls = {"n": 0}
-
-    def racing(record):
-        calls["n"] += 1
-        if calls["n"] == 1:             # another writer takes this version first
-            assert real(dict(record, writer="other", epoch=7))
-            return real(record)         # our attempt now loses: put-if-absent
-        return real(record)
-
-    store._try_commit = racing
-    assert store.apply(log.filter(F.col("pos") >= 500), epoch=1) == 2     # re-folded on top of version 1
-    assert sorted(r.version for r in store.commits().collect()) == [0, 1, 2]
-    assert _rows(store.read()) == _rows(fold.latest_state(log, "k"))

@@ -8,7 +8,7 @@ resolution join. Bad records are never silently dropped: every row leaves
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,7 +64,7 @@ def _reason(spec: TableSpec | None) -> Column:
          .when(op.isNull() | ~op.isin(*OP_DOMAIN), F.lit("bad_op"))
          .when(F.col("cdc.ts_ms").isNull(), F.lit("bad_ts")))
     if spec is not None:
-        r = r.when(F.col("cdc.source.table").isNotNull() & (F.col("cdc.source.table") != spec.name),
+        r = r.when(F.col("cdc.source.table").isNull() | (F.col("cdc.source.table") != spec.name),
                    F.lit("unknown_table"))
         pk_present = F.coalesce(F.col("cdc.after")[spec.pk_col], F.col("cdc.before")[spec.pk_col]).isNotNull()
         key_present = F.coalesce(F.col("cdc.after")[spec.key], F.col("cdc.before")[spec.key]).isNotNull()
@@ -78,45 +78,76 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(F.col("_reason").isNull()), parsed.filter(F.col("_reason").isNotNull())
 
 
-def project_typed(parsed: DataFrame, spec: TableSpec, *, state: DataFrame | None = None) -> DataFrame:
+def project_typed(parsed: DataFrame, spec: TableSpec, *, state: DataFrame | None = None, resolve_keys: bool = True) -> DataFrame:
     """Map row images -> typed columns from the spec.
 
     Values come from ``after`` (``before`` for deletes). ``try_cast`` never
     raises under ANSI; a value that is present but does not cast sets
     ``_reason = 'bad_cast:<col>'`` so the row is quarantined instead of failing
-    the batch. When the key is missing but the source primary key is present
-    (delete with a PK-only ``before``), the key is resolved from ``state``
+    the batch. A missing key is looked up by the source primary key in ``state``
     (a replica with both columns); unresolved rows get ``no_key``.
+
+    The casts are computed once, in one struct behind ``inline``: a filter on ``_reason`` can't
+    be pushed through it and repeat the parse.
     """
     cols = spec.typed_columns()
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    typed = []
-    bad = F.lit(None).cast("string")
-    for f in reversed(cols.fields):
-        raw = image[f.name]
-        bad = F.when(raw.isNotNull() & raw.try_cast(f.dataType).isNull(), F.lit(f"bad_cast:{f.name}")).otherwise(bad)
-    for f in cols.fields:
-        typed.append(image[f.name].try_cast(f.dataType).alias(f.name))
-    out = parsed.select(
-        *typed,
-        "op", "ts_ms",
-        *[c for c in ("table", "topic", "partition", "offset", "_raw") if c in parsed.columns],
-        F.coalesce(F.col("_reason"), bad).alias("_reason"),
-    )
-    if spec.pk is not None and spec.pk != spec.key:
-        if state is not None:
-            # Only rows without a key take part in the lookup join; the rest
-            # stay narrow.
-            lookup = state.select(F.col(spec.pk).alias("_pk"), F.col(spec.key).alias("_key_from_state"))
-            keyed = out.filter(F.col(spec.key).isNotNull())
-            unkeyed = (out.filter(F.col(spec.key).isNull())
-                       .join(lookup, F.col(spec.pk) == F.col("_pk"), "left")
-                       .withColumn(spec.key, F.col("_key_from_state"))
-                       .drop("_pk", "_key_from_state"))
-            out = keyed.unionByName(unkeyed)
-    out = out.withColumn("_reason", F.when(F.col("_reason").isNull() & F.col(spec.key).isNull(), F.lit("no_key"))
-                         .otherwise(F.col("_reason")))
-    return out
+    two_keys = spec.pk is not None and spec.pk != spec.key
+    old = [F.col("before")[spec.key].try_cast(cols[spec.key].dataType).alias("_old_key")] if two_keys else []
+    cast = F.struct(*[image[f.name].try_cast(f.dataType).alias(f.name) for f in cols.fields],
+                    *[image[f.name].isNotNull().alias(f"_has_{f.name}") for f in cols.fields], *old)
+    meta = [c for c in ("table", "topic", "partition", "offset", "_raw") if c in parsed.columns]
+    rows = parsed.select("op", "ts_ms", *meta, F.col("_reason").alias("_parse_reason"), F.inline(F.array(cast)))
+    bad = F.coalesce(F.col("_parse_reason"), *[F.when(F.col(f"_has_{f.name}") & F.col(f.name).isNull(), F.lit(f"bad_cast:{f.name}")) for f in cols.fields])
+    out = rows.select(*[f.name for f in cols.fields], "op", "ts_ms", *meta, bad.alias("_reason"), *(["_old_key"] if two_keys else []))
+    if two_keys and not resolve_keys:
+        return out
+    out = out.drop("_old_key")
+    if two_keys and state is not None:
+        # Only rows without a key take part in the lookup join; the rest
+        # stay narrow.
+        lookup = state.select(F.col(spec.pk).alias("_pk"), F.col(spec.key).alias("_key_from_state"))
+        keyed = out.filter(F.col(spec.key).isNotNull())
+        unkeyed = (out.filter(F.col(spec.key).isNull())
+                   .join(lookup, F.col(spec.pk) == F.col("_pk"), "left")
+                   .withColumn(spec.key, F.col("_key_from_state"))
+                   .drop("_pk", "_key_from_state"))
+        out = keyed.unionByName(unkeyed)
+    return _without_key(out, spec)
+
+
+def _without_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    return rows.withColumn("_reason", F.when(F.col("_reason").isNull() & F.col(spec.key).isNull(), F.lit("no_key")).otherwise(F.col("_reason")))
+
+
+def with_key_changes(typed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Add a delete of the old key for every change whose ``before`` holds another key. Expects ``_old_key``."""
+    moved = typed.filter(F.col("_reason").isNull() & (F.col("op") != "d") & F.col("_old_key").isNotNull() & ~F.col("_old_key").eqNullSafe(F.col(spec.key)))
+    gone = moved.withColumns({spec.key: F.col("_old_key"), "op": F.lit("d")})
+    return typed.unionByName(gone).drop("_old_key")
+
+
+def resolve_keys(typed: DataFrame, spec: TableSpec, state: DataFrame | None, order: tuple[str, ...] = ("ts_ms", "pos")) -> DataFrame:
+    """Business keys by the source primary key, for a batch whose key differs from it.
+
+    A row without a key takes the key its primary key had last: in an earlier row of the batch, else in ``state``.
+    A row whose primary key had another key before also deletes that key, so that a renamed row isn't left under
+    its old name. One shuffle of the batch and the state's key columns by the primary key.
+    """
+    pk, key = spec.pk, spec.key
+    good = typed.filter(F.col("_reason").isNull() & F.col(pk).isNotNull())
+    rest = typed.filter(F.col("_reason").isNotNull() | F.col(pk).isNull())
+    known = good.withColumn("_known", F.lit(False))
+    if state is not None:
+        base = state.select(*[F.col(c) if c in (pk, key, *order) else F.lit(None).cast(t).alias(c) for c, t in good.dtypes])
+        known = known.unionByName(base.select(*good.columns).withColumn("_known", F.lit(True)))
+    by_pk = Window.partitionBy(pk).orderBy(F.col("_known").desc(), *order).rowsBetween(Window.unboundedPreceding, -1)
+    # A delete ends a key's life, but a late PK-only delete of the same row still means that key.
+    last = F.last(F.when(F.col("op").isNull() | (F.col("op") != "d"), F.col(key)), ignorenulls=True).over(by_pk)
+    seen = known.withColumn("_last", last).filter(~F.col("_known")).drop("_known")
+    resolved = seen.withColumn(key, F.coalesce(key, "_last"))
+    moved = resolved.filter((F.col("op") != "d") & F.col("_last").isNotNull() & (F.col("_last") != F.col(key))).withColumns({key: F.col("_last"), "op": F.lit("d")})
+    return _without_key(resolved.unionByName(moved).drop("_last").unionByName(rest), spec)
 
 
 def route(log: DataFrame, tables: list[str], col: str = "table") -> DataFrame:
@@ -125,12 +156,15 @@ def route(log: DataFrame, tables: list[str], col: str = "table") -> DataFrame:
 
 
 def replay_dedup(log: DataFrame, ids: tuple[str, ...] = ("topic", "partition", "offset"),
-                 *, watermark_col: str | None = None) -> DataFrame:
+                 *, watermark_col: str | None = None, delay: str = "10 minutes") -> DataFrame:
     """Drop re-delivered copies of the same record (at-least-once replays).
 
-    Batch: ``dropDuplicates`` on the replay identity. Streaming: pass the event
-    time column to bound state with ``dropDuplicatesWithinWatermark``.
+    Batch: ``dropDuplicates`` on the replay identity. Streaming: ``watermark_col`` is the column of
+    event times in milliseconds, ``delay`` how late a copy may come; they bound the state.
     """
-    if log.isStreaming and watermark_col is not None:
-        return log.dropDuplicatesWithinWatermark(list(ids))
-    return log.dropDuplicates(list(ids))
+    if not log.isStreaming:
+        return log.dropDuplicates(list(ids))
+    if watermark_col is None:
+        raise ValueError("a stream needs watermark_col, else its state grows without bound")
+    timed = log.withColumn("_event_time", F.timestamp_millis(F.col(watermark_col))).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(ids)).drop("_event_time")

@@ -24,7 +24,7 @@ def envelopes(spark, sf, corrupt: bool = False):
     """Kafka-shaped JSON envelopes built from the derived log. With
     ``corrupt``, every record whose offset is a multiple of 97 is truncated by 3
     characters (a deterministic stand-in for damaged records)."""
-    raw = to_envelopes(spread(event_log(spark, sf)), EVENTS_SPEC)
+    raw = to_envelopes(spread(event_log(spark, sf), spark.sparkContext.defaultParallelism), EVENTS_SPEC)
     if corrupt:
         raw = raw.withColumn("value", F.when(F.col("offset") % 97 == 0,
                                              F.expr("substring(value, 1, length(value) - 3)"))

@@ -13,18 +13,17 @@ from tidemark.plans.core_queries import LATEST_SQL, STATE_COLS
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, with_log
 from tidemark.session import work_dir
-from tidemark.streaming.apply import start_apply, start_latest, start_rate
-from tidemark.streaming.store import VersionedStore
+from tidemark.streaming.apply import RATE_ORDER, start_apply, start_latest, start_rate
+from tidemark.streaming.change_table import ChangeTable
 
-N_FILES = 5
 LOG_COLS = ["k", "op", "status", "amount", "ts_ms", "pos", "batch_id"]
 
 
 def stage_log_files(spark, sf, root: str) -> tuple[str, DataFrame]:
-    """Write the log as N_FILES files, each a contiguous range of positions
-    (the order a capture connector would have produced them)."""
+    """Write the log as files that each hold a contiguous range of positions
+    (the order a capture connector would have produced them); their number follows the shuffle setting."""
     path = f"{root}/incoming"
-    event_log(spark, sf).repartitionByRange(N_FILES, "pos").write.mode("overwrite").parquet(path)
+    event_log(spark, sf).repartitionByRange("pos").write.mode("overwrite").parquet(path)
     return path, spark.read.parquet(path)
 
 
@@ -35,65 +34,64 @@ def _stream(spark, path: str, schema, max_files: int | None = None) -> DataFrame
     return r.parquet(path)
 
 
-def _run_apply(spark, sf, max_files: int | None) -> tuple[VersionedStore, object]:
+def _run_apply(spark, sf, max_files: int | None) -> tuple[ChangeTable, object]:
     root = work_dir(spark, "stream-apply")
     path, static = stage_log_files(spark, sf, root)
-    store = VersionedStore(spark, f"{root}/replica", "k", static.select(*STATE_COLS).schema, buckets=8)
-    q = start_apply(_stream(spark, path, static.schema, max_files).select(*STATE_COLS), store,
+    table = ChangeTable(spark, f"{root}/replica", "k", static.select(*STATE_COLS).schema)
+    q = start_apply(_stream(spark, path, static.schema, max_files).select(*STATE_COLS), table,
                     f"{root}/_checkpoint", trigger="availableNow", name=None)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return store, q
+    return table, q
 
 
 @register("stream_upsert", LATEST_SQL)
 def q_stream_upsert(spark, sf):
-    """``foreachBatch`` apply: one versioned commit per micro-batch."""
-    store, _ = _run_apply(spark, sf, None)
-    return store.read().select(*STATE_COLS)
+    """``foreachBatch`` apply: one folder of folded changes per micro-batch."""
+    table, _ = _run_apply(spark, sf, None)
+    return table.read().select(*STATE_COLS)
 
 
 @register("stream_rate_limited", LATEST_SQL)
 def q_stream_rate_limited(spark, sf):
-    """Same apply with admission control (one file per trigger -> N_FILES
-    micro-batches, N_FILES commits); the final state is unchanged."""
-    store, _ = _run_apply(spark, sf, 1)
-    return store.read().select(*STATE_COLS)
+    """Same apply with admission control (one file per trigger); the final state is unchanged."""
+    table, _ = _run_apply(spark, sf, 1)
+    return table.read().select(*STATE_COLS)
 
 
 @register("stream_latest", LATEST_SQL)
 def q_stream_latest(spark, sf):
     """Stateful streaming aggregation (latest row per key) in update mode,
-    folded into a versioned store."""
+    written as changes."""
     root = work_dir(spark, "stream-latest")
     path, static = stage_log_files(spark, sf, root)
-    store = VersionedStore(spark, f"{root}/replica", "k", static.select(*STATE_COLS).schema, buckets=8)
-    q = start_latest(_stream(spark, path, static.schema).select(*STATE_COLS), "k", store,
+    table = ChangeTable(spark, f"{root}/replica", "k", static.select(*STATE_COLS).schema)
+    q = start_latest(_stream(spark, path, static.schema).select(*STATE_COLS), "k", table,
                      f"{root}/_checkpoint", trigger="availableNow")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return store.read().select(*STATE_COLS)
+    return table.read().select(*STATE_COLS)
 
 
 @register("stream_rate", with_log(
     "SELECT (ts_ms // 60000) * 60000 AS window_start_ms, status, count(*) AS n_changes FROM log GROUP BY 1, status"))
 def q_stream_rate(spark, sf):
     """Windowed change counts per minute: update mode with a watermark (closed
-    windows leave the state store), counts upserted into a versioned table."""
+    windows leave the state store), the newest count of each window."""
     root = work_dir(spark, "stream-rate")
     path, static = stage_log_files(spark, sf, root)
     schema = T.StructType([T.StructField("window_start_ms", T.LongType()), T.StructField("status", T.StringType()),
-                           T.StructField("n_changes", T.LongType()), T.StructField("op", T.StringType())])
-    store = VersionedStore(spark, f"{root}/rates", ["window_start_ms", "status"], schema, buckets=8,
-                           order=("n_changes",))
-    q = start_rate(_stream(spark, path, static.schema), store, f"{root}/_checkpoint", "1 minute",
+                           T.StructField("n_changes", T.LongType()), T.StructField("op", T.StringType()),
+                           T.StructField("generation", T.IntegerType()), T.StructField("epoch_id", T.LongType())])
+    table = ChangeTable(spark, f"{root}/rates", ["window_start_ms", "status"], schema, order=RATE_ORDER)
+    q = start_rate(_stream(spark, path, static.schema), table, f"{root}/_checkpoint", "1 minute",
                    watermark="1 hour", by=["status"], trigger="availableNow")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return store.read().select("window_start_ms", "status", "n_changes")
+    return table.read().select("window_start_ms", "status", "n_changes")
 
 
 @register("append_log", with_log("SELECT k, op, status, amount, ts_ms, pos, batch_id FROM log"))
@@ -112,13 +110,13 @@ def q_append_log(spark, sf):
 @register("data_files")
 def q_data_files(spark, sf):
     """Data files behind the replica's state (``$files``): path, size, rows."""
-    store, _ = _run_apply(spark, sf, None)
-    return store.files()
+    table, _ = _run_apply(spark, sf, None)
+    return table.files()
 
 
 @register("snapshot_size_trend")
 def q_snapshot_size_trend(spark, sf):
-    """Rows, files and bytes written per committed version of the replica
-    (snapshot size trend), after an admission-controlled apply."""
-    store, _ = _run_apply(spark, sf, 1)
-    return store.size_trend().select("version", "files", "rows", "bytes")
+    """Rows, files and bytes written per micro-batch of the replica
+    (size trend), after an admission-controlled apply."""
+    table, _ = _run_apply(spark, sf, 1)
+    return table.size_trend().select("version", "files", "rows", "bytes")

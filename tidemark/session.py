@@ -53,7 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    # Unset: only happens in local runs and tests.
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -63,8 +64,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one job."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(made)
     return path
 
 
@@ -75,21 +76,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return 200
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame over the task slots when its scan yields fewer
-    partitions than there are slots (one large row group), so that CPU-heavy
-    per-row work (JSON encoding/parsing) runs in parallel. On large inputs the
-    scan already has at least that many splits and this returns ``df``
-    unchanged: it never adds a shuffle at scale. Use it directly on a scan
-    (plus narrow projections): there ``getNumPartitions`` only plans the scan
-    and runs no job; on a plan with exchanges, adaptive execution would have to
-    run them to answer."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    return df if have >= want else df.repartition(want)
+def spread(df, partitions: int):
+    """Deal rows out evenly over ``partitions`` tasks, for CPU-heavy per-row work
+    (JSON encoding/parsing) on a scan of few large splits. One shuffle; leave it out where the scan
+    has as many splits as there are slots."""
+    return df.repartition(partitions)
 
 
 def scale_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
@@ -105,8 +96,8 @@ def scale_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: in
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(min(parts, 100_000)),
-        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 1 << 30)),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
     }
     if large_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = (

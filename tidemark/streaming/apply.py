@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: apply changes to a versioned replica, stateful
+"""Structured Streaming jobs: apply changes to a replica, stateful
 latest-row-per-key, windowed change rates; plus start/await helpers."""
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.fold import ORDER
-from tidemark.streaming.store import VersionedStore
+from tidemark.streaming.change_table import ChangeTable, writer_id
 
 
 def _trigger(writer, trigger: str | None):
@@ -22,37 +22,50 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def start_apply(stream: DataFrame, store: VersionedStore, checkpoint: str, *,
-                to_changes: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]] | None = None,
+def start_apply(stream: DataFrame, table: ChangeTable, checkpoint: str, *,
+                to_changes: Callable[[DataFrame], DataFrame] | None = None,
                 quarantine_path: str | None = None, trigger: str | None = "5 seconds",
                 name: str | None = None) -> StreamingQuery:
-    """``foreachBatch`` apply: each micro-batch is (optionally) parsed and split
-    into valid changes and quarantine, compacted to one change per key, and
-    folded into the store as ONE new version (one commit per batch).
+    """``foreachBatch`` apply: each micro-batch is (optionally) parsed once, its bad
+    rows go to quarantine and the rest, one change per key, to the table.
 
-    ``to_changes(batch) -> (valid, bad)`` runs on the batch DataFrame, whose own
-    ``sparkSession`` is the one to use inside the callback. A failed batch fails
-    the query (no silent fallback); its retry is idempotent per epoch.
+    ``to_changes(batch)`` returns typed rows with a ``_reason`` (null: valid); the parsed batch
+    is kept while both parts are written. Both writes replace the
+    folder of their (writer, epoch), so a retried batch leaves nothing twice.
     """
-    def upsert_batch(batch_df: DataFrame, epoch_id: int) -> None:
-        batch_df = batch_df.persist()
+    writer = writer_id(checkpoint)
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        parsed = (batch if to_changes is None else to_changes(batch)).persist()
         try:
             if to_changes is None:
-                valid, bad = batch_df, None
+                valid = parsed
             else:
-                valid, bad = to_changes(batch_df)
-            if bad is not None and quarantine_path is not None:
-                bad.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path)
-            store.apply(valid, epoch_id, writer=checkpoint)
+                valid = parsed.filter(F.col("_reason").isNull())
+                if quarantine_path is not None:
+                    bad = parsed.filter(F.col("_reason").isNotNull())
+                    bad.write.mode("overwrite").parquet(f"{quarantine_path}/writer={writer}/epoch={epoch}")
+            table.apply(valid, epoch, writer=writer)
         finally:
-            batch_df.unpersist()
+            parsed.unpersist()
 
-    w = stream.writeStream.foreachBatch(upsert_batch).outputMode("update").option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(write_batch).outputMode("update").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     return _trigger(w, trigger).start()
 
 
+def _start_stateful(agg: DataFrame, table: ChangeTable, checkpoint: str, trigger: str | None, generation: int | None = None) -> StreamingQuery:
+    """Write what each trigger of a stateful aggregation changed."""
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        if generation is not None:
+            batch = batch.withColumns({"generation": F.lit(generation), "epoch_id": F.lit(epoch).cast("long")})
+        table.apply(batch, epoch, writer=writer_id(checkpoint))
+
+    w = agg.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def stream_latest(stream: DataFrame, key: str, order: Sequence[str] = ORDER) -> DataFrame:
     """Stateful latest row per key: streaming ``groupBy(key).agg(max_by)``.
     State holds one row per key (use the RocksDB state store provider for large
@@ -63,19 +76,11 @@ def stream_latest(stream: DataFrame, key: str, order: Sequence[str] = ORDER) ->
             .select("_r.*"))
 
 
-def start_latest(stream: DataFrame, key: str, store: VersionedStore, checkpoint: str, *,
+def start_latest(stream: DataFrame, key: str, table: ChangeTable, checkpoint: str, *,
                  order: Sequence[str] = ORDER, trigger: str | None = "5 seconds") -> StreamingQuery:
-    """Stateful latest-row stream in ``update`` mode: each trigger emits only the
-    keys whose latest row changed, and folds them into the versioned store
-    (touched buckets only). Nothing proportional to the whole key set is
-    rewritten per trigger, unlike ``complete`` mode."""
-    agg = stream_latest(stream, key, order)
-
-    def upsert(batch_df: DataFrame, epoch_id: int) -> None:
-        store.apply(batch_df, epoch_id, writer=checkpoint)
-
-    w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    """Stateful latest-row stream in ``update`` mode: each trigger writes only the
+    keys whose latest row changed."""
+    return _start_stateful(stream_latest(stream, key, order), table, checkpoint, trigger)
 
 
 def stream_rate(stream: DataFrame, window: str, slide: str | None = None, watermark: str = "10 minutes",
@@ -87,25 +92,19 @@ def stream_rate(stream: DataFrame, window: str, slide: str | None = None, waterm
             .select(F.unix_millis(F.col("w.start")).alias("window_start_ms"), *by, "n_changes"))
 
 
-def start_rate(stream: DataFrame, store: VersionedStore, checkpoint: str, window: str, *, slide: str | None = None,
+RATE_ORDER = ("generation", "epoch_id")
+
+
+def start_rate(stream: DataFrame, table: ChangeTable, checkpoint: str, window: str, *, slide: str | None = None,
                watermark: str = "10 minutes", by: Sequence[str] = (), ts: str = "ts_ms",
-               trigger: str | None = "5 seconds") -> StreamingQuery:
+               trigger: str | None = "5 seconds", generation: int = 0) -> StreamingQuery:
     """Windowed change counts in ``update`` mode: the watermark lets Spark drop
-    the state of closed windows, and every trigger upserts the changed window
-    counts into the store keyed by ``(window_start_ms, *by)``. A window's count
-    only grows, so the store keeps the largest count seen (its fold order)."""
+    the state of closed windows, and every trigger writes the changed window
+    counts, keyed by ``(window_start_ms, *by)``. The table's order is ``RATE_ORDER``: the newest epoch of
+    the newest generation holds a window's count. After a lost checkpoint pass a higher ``generation``:
+    its counts replace the old ones window by window."""
     agg = stream_rate(stream, window, slide, watermark, by, ts).withColumn("op", F.lit("u"))
-
-    def upsert(batch_df: DataFrame, epoch_id: int) -> None:
-        store.apply(batch_df, epoch_id, writer=checkpoint)
-
-    w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
-
-
-def start_all(spark: SparkSession, builders: dict[str, Callable[[], StreamingQuery]]) -> dict[str, StreamingQuery]:
-    """One independent query per table (own checkpoint each)."""
-    return {name: b() for name, b in builders.items()}
+    return _start_stateful(agg, table, checkpoint, trigger, generation)
 
 
 def await_all(spark: SparkSession, queries: dict[str, StreamingQuery] | Sequence[StreamingQuery],

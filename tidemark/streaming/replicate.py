@@ -1,9 +1,8 @@
 """Replicate every captured table into a warehouse: one independent streaming
-query per table spec, each with its own checkpoint, quarantine and versioned
-replica (the reference's per-table streams, driven by specs instead of code).
+query per table spec, each with its own checkpoint, quarantine and replica.
 
 Layout under ``root`` (shared storage, e.g. an object-store bucket path):
-``<table>/replica/`` (VersionedStore), ``<table>/quarantine/``,
+``<table>/replica/`` (ChangeTable), ``<table>/quarantine/``,
 ``_checkpoints/<table>/``.
 """
 
@@ -19,23 +18,22 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import envelope
 from tidemark.spec import TableSpec
 from tidemark.streaming.apply import start_apply
-from tidemark.streaming.store import VersionedStore
+from tidemark.streaming.change_table import ChangeTable
 
 STATE_META = [T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType()),
               T.StructField("pos", T.LongType())]
 
 
 class Warehouse:
-    """Paths and versioned stores of the replicated tables under one root."""
+    """Paths and change tables of the replicated tables under one root."""
 
-    def __init__(self, spark: SparkSession, root: str, *, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
 
-    def store(self, spec: TableSpec) -> VersionedStore:
+    def table(self, spec: TableSpec) -> ChangeTable:
         schema = T.StructType(list(spec.typed_columns().fields) + STATE_META)
-        return VersionedStore(self.spark, f"{self.root}/{spec.name}/replica", spec.key, schema, buckets=self.buckets)
+        return ChangeTable(self.spark, f"{self.root}/{spec.name}/replica", spec.key, schema)
 
     def quarantine_path(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}/quarantine"
@@ -43,35 +41,29 @@ class Warehouse:
     def checkpoint(self, spec: TableSpec) -> str:
         return f"{self.root}/_checkpoints/{spec.name}"
 
-    def read(self, spec: TableSpec, version: int | None = None) -> DataFrame:
-        return self.store(spec).read(version)
+    def read(self, spec: TableSpec) -> DataFrame:
+        return self.table(spec).read()
 
-    def register_views(self, specs: Iterable[TableSpec], *, as_of_ms: int | None = None) -> list[str]:
-        """Expose the replicas as temp views named after their tables (current
-        state, or the state readers saw at ``as_of_ms``), so plain SQL over
-        ``customers``, ``orders``, ... runs through ``spark.sql``."""
+    def register_views(self, specs: Iterable[TableSpec]) -> list[str]:
+        """Expose the replicas' current state as temp views named after their tables,
+        so plain SQL over ``customers``, ``orders``, ... runs through ``spark.sql``."""
         names = []
         for spec in specs:
-            st = self.store(spec)
-            df = st.read() if as_of_ms is None else st.read_as_of(as_of_ms)
-            df.drop("op", "pos").withColumnRenamed("ts_ms", "_ts").createOrReplaceTempView(spec.name)
+            self.read(spec).drop("op", "pos").withColumnRenamed("ts_ms", "_ts").createOrReplaceTempView(spec.name)
             names.append(spec.name)
         return names
 
 
-def typed_changes(spec: TableSpec, store: VersionedStore | None = None
-                  ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
-    """Batch -> (valid typed changes, quarantined rows) for one table. When the
-    business key differs from the source primary key, deletes that carry only
-    the primary key are resolved through the replica's current state."""
-    def run(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+def typed_changes(spec: TableSpec, table: ChangeTable | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Batch -> typed changes of one table with their ``_reason``. When the business key differs from the source primary key,
+    a changed key also deletes the old one, and changes that carry only the primary key
+    find their key in the replica's state and in the batch itself."""
+    def run(batch: DataFrame) -> DataFrame:
         p = envelope.parse_envelope(batch, spec)
-        state = None
-        if store is not None and spec.pk is not None and spec.pk != spec.key:
-            state = store.read().select(spec.pk, spec.key)
-        t = envelope.project_typed(p, spec, state=state).withColumn("pos", F.col("offset"))
-        ok, bad = envelope.split_valid(t)
-        return ok, bad.select("op", "ts_ms", "topic", "partition", "offset", "_reason", "_raw")
+        if spec.pk is None or spec.pk == spec.key:
+            return envelope.project_typed(p, spec).withColumn("pos", F.col("offset"))
+        t = envelope.with_key_changes(envelope.project_typed(p, spec, resolve_keys=False).withColumn("pos", F.col("offset")), spec)
+        return envelope.resolve_keys(t, spec, table.read() if table is not None else None)
     return run
 
 
@@ -81,8 +73,8 @@ def replicate_all(wh: Warehouse, specs: Iterable[TableSpec], source: Callable[[T
     change stream (e.g. ``read_changes(spark, spec, max_per_trigger=...)``)."""
     out = {}
     for spec in specs:
-        store = wh.store(spec)
-        out[spec.name] = start_apply(source(spec), store, wh.checkpoint(spec),
-                                     to_changes=typed_changes(spec, store), quarantine_path=wh.quarantine_path(spec),
+        table = wh.table(spec)
+        out[spec.name] = start_apply(source(spec), table, wh.checkpoint(spec),
+                                     to_changes=typed_changes(spec, table), quarantine_path=wh.quarantine_path(spec),
                                      trigger=trigger, name=f"replicate_{spec.name}")
     return out
