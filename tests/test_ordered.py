@@ -18,43 +18,51 @@ def skewed_log(spark, n=3000, hot_share=0.34, seed=7):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_hot_key_is_split_across_chunks(spark):
-    log = skewed_log(spark)
-    ch = ordered.chunked(log, "k", ["ts_ms", "pos"], n_chunks=8)
-    hot_chunks = ch.filter(F.col("k") == 0).select(ordered.CHUNK).distinct().count()
-    assert hot_chunks >= 2
+def with_nulls(spark):
+    """NULL deltas (also as the first rows of a chunk), NULL order times, ties and rows without a key."""
+    log = skewed_log(spark, n=1500)
+    return log.select(F.when(F.col("pos") % 41 != 0, F.col("k")).alias("k"), F.when(F.col("pos") % 97 != 0, F.col("ts_ms")).alias("ts_ms"), "pos",
+                      F.when((F.col("ts_ms") % 60 > 12) & (F.col("pos") % 3 > 0), F.col("v")).alias("v"), "s")
 
 
-def test_hot_key_detection(spark):
-    assert ordered.has_hot_key(skewed_log(spark), "k", 8)
-    assert not ordered.has_hot_key(skewed_log(spark, hot_share=0.0), "k", 8)
+def test_hot_key_is_split_across_chunks(spark):
+    ch = ordered.chunked(skewed_log(spark), "k", ["ts_ms", "pos"], 60)
+    assert ch.filter(F.col("k") == 0).select(ordered.CHUNK).distinct().count() == 9
 
 
 def test_neighbors_match_plain_window(spark):
-    log = skewed_log(spark)
     w = Window.partitionBy("k").orderBy("ts_ms", "pos")
-    ref = sorted(map(tuple, log.select("pos", F.lag("v").over(w).alias("p"), F.lead("s").over(w).alias("n")).collect()))
-    for mode in ("chunked", "plain", "auto"):
-        got = ordered.with_neighbors(log, "k", ["ts_ms", "pos"], ["v", "s"], n_chunks=8, mode=mode).select(
-            "pos", F.col("_prev.v").alias("p"), F.col("_next.s").alias("n"))
-        assert sorted(map(tuple, got.collect())) == ref, mode
+    for log in (skewed_log(spark), with_nulls(spark)):
+        ref = sorted(map(tuple, log.filter("k is not null").select("pos", F.lag("v").over(w).alias("p"), F.lead("s").over(w).alias("n")).collect()), key=str)
+        for width in (7, 60, 10**6):
+            got = ordered.with_neighbors(log, "k", ["ts_ms", "pos"], ["v", "s"], width=width).select("pos", F.col("_prev.v").alias("p"), F.col("_next.s").alias("n"))
+            assert sorted(map(tuple, got.collect()), key=str) == ref, width
 
 
 def test_running_sum_matches_plain_window(spark):
-    log = skewed_log(spark)
     w = Window.partitionBy("k").orderBy("ts_ms", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    ref = sorted(map(tuple, log.withColumn("r", F.sum("v").over(w)).withColumn("m", F.min("r").over(w))
-                     .select("pos", "r", "m").collect()))
-    for mode in ("chunked", "plain"):
-        got = ordered.with_running_sum(log, "k", ["ts_ms", "pos"], "v", n_chunks=8, mode=mode).select(
-            "pos", F.col("_run").alias("r"), F.col("_run_min").alias("m"))
-        assert sorted(map(tuple, got.collect())) == ref, mode
+    for log in (skewed_log(spark), with_nulls(spark)):
+        ref = sorted(map(tuple, log.filter("k is not null").withColumn("r", F.sum("v").over(w)).withColumn("m", F.min("r").over(w)).select("pos", "r", "m").collect()), key=str)
+        for width in (7, 60, 10**6):
+            got = ordered.with_running_sum(log, "k", ["ts_ms", "pos"], "v", width=width).select("pos", F.col("_run").alias("r"), F.col("_run_min").alias("m"))
+            assert sorted(map(tuple, got.collect()), key=str) == ref, width
+
+
+def test_the_log_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ordered.with_neighbors(skewed_log(spark), "k", ["ts_ms", "pos"], ["v"], width=60)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 4 and "rangepartitioning" not in plan  # the log, the combined summary, its window, its way back
 
 
 def test_clamped_running_equals_sequential_fold(spark):
     log = skewed_log(spark, n=800)
     got = {r.pos: r.level for r in
-           ordered.clamped_running(log, "k", ["ts_ms", "pos"], "v", start=10, n_chunks=6, mode="chunked").collect()}
+           ordered.clamped_running(log, "k", ["ts_ms", "pos"], "v", start=10, width=60).collect()}
     expected = {}
     by_key = {}
     for r in sorted(log.collect(), key=lambda r: (r.k, r.ts_ms, r.pos)):
@@ -79,12 +87,3 @@ def test_transitions(spark):
                                 "k long, status string, ts_ms long, pos long")
     got = sorted((r.prev_status or "-", r.next_status, r.n) for r in ordered.transitions(log, "k", "status").collect())
     assert got == [("-", "x", 2), ("x", "y", 1), ("y", "x", 1)]
-
-
-def test_probe_on_provided_data(spark):
-    from tidemark.plans.core_queries import hot_key_log
-    from tidemark.plans.testdata import event_log
-
-    sf = "/root/testdata/sf0.01"
-    assert not ordered.has_hot_key(event_log(spark, sf), "k", 8)     # 150 even keys: plain windows
-    assert ordered.has_hot_key(hot_key_log(spark, sf), "k", 8)       # one key with ~40%: chunked

@@ -2,11 +2,15 @@
 
 A branch is one row in a ``refs`` DataFrame (``name, base_ref, base_commit,
 created_at_ms``); creating it copies no data. Every log row carries the ``ref``
-it was written on. Reading a branch = base rows up to the fork commit plus the
-branch's own rows, folded with the branch rows ranked above base rows
-(``_depth``), so a branch write always shadows the base regardless of event
-time. ``refs`` holds one row per branch (catalog metadata, not data), so it
-is broadcast.
+it was written on. Reading a branch = the rows of all its ancestors up to the
+commits at which they were forked, plus the branch's own rows, folded with nearer
+refs ranked above farther ones (``_depth``), so a branch write always shadows its base
+regardless of event time. ``refs`` holds one row per branch (catalog metadata,
+not data); the chain of one branch, a row per ancestor, is broadcast.
+
+A merge re-emits the source's net changes on the target with ``merge_commit`` set. On the
+target they outrank every row of an earlier commit and give way to every
+later one: a row's rank is its own merge, or the last merge before its commit.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.fold import latest_state
 
+MERGED = "merge_commit"
+
 REFS_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), False),
     T.StructField("base_ref", T.StringType(), True),
@@ -37,26 +43,45 @@ def create_branch(refs: DataFrame, name: str, from_ref: str, at_commit: int, cre
     return refs.unionByName(row)
 
 
+def write_ref(changes: DataFrame, name: str, *, ref_col: str = "ref") -> DataFrame:
+    """Changes as rows written on ``name``; append them to the log."""
+    return changes.withColumn(ref_col, F.lit(name))
+
+
+def ancestors(refs: DataFrame, name: str) -> list[tuple[str, int, int | None]]:
+    """(ref, depth, last visible commit) of a branch and all it was forked from, nearest first with the highest depth."""
+    chain: list[tuple[str, int | None]] = []
+    upto = None
+    while name is not None:
+        row = refs.filter(F.col("name") == name).first()
+        if row is None or name in [c[0] for c in chain]:
+            raise ValueError(f"no branch {name!r}, or one that is its own ancestor")
+        chain.append((name, upto))
+        bound = row["base_commit"]
+        upto = bound if upto is None else upto if bound is None else min(upto, bound)
+        name = row["base_ref"]
+    return [(ref, len(chain) - 1 - k, bound) for k, (ref, bound) in enumerate(chain)]
+
+
 def _visible(log: DataFrame, refs: DataFrame, name: str, commit: str, ref_col: str) -> DataFrame:
-    """Rows visible on ``name`` in ONE pass over the log: a visibility table
-    (the branch itself at depth 1 with no commit bound, its base at depth 0 up
-    to the fork commit; at most 2 rows, broadcast) inner-joined on ``ref``."""
-    me = refs.filter(F.col("name") == name)
-    own = me.select(F.col("name").alias("_vref"), F.lit(1).alias("_depth"),
-                    F.lit(None).cast("long").alias("_upto"))
-    base = me.filter(F.col("base_ref").isNotNull()).select(
-        F.col("base_ref").alias("_vref"), F.lit(0).alias("_depth"), F.col("base_commit").cast("long").alias("_upto"))
-    vis = F.broadcast(own.unionByName(base))
+    """Rows visible on ``name`` in ONE pass over the log: its chain of refs (one row per ancestor,
+    broadcast) inner-joined on ``ref``."""
+    vis = F.broadcast(refs.sparkSession.createDataFrame(ancestors(refs, name), "_vref string, _depth int, _upto long"))
     return (log.join(vis, F.col(ref_col) == F.col("_vref"), "inner")
             .filter(F.col("_upto").isNull() | (F.col(commit) <= F.col("_upto")))
             .drop("_vref", "_upto"))
 
 
-def read_ref(log: DataFrame, refs: DataFrame, name: str, key: str, *, commit: str = "batch_id",
+def read_ref(log: DataFrame, refs: DataFrame, name: str, key: str, *, merges: Sequence[int] = (), commit: str = "batch_id",
              ref_col: str = "ref", order: Sequence[str] = ("ts_ms", "pos"), keep_deletes: bool = False) -> DataFrame:
-    """State of table on branch ``name`` (``SET SESSION ref = name``)."""
+    """State of table on branch ``name`` (``SET SESSION ref = name``). ``merges``: the commits of the merges
+    into it or its ancestors."""
     vis = _visible(log, refs, name, commit, ref_col)
-    return latest_state(vis, key, ("_depth", *order), keep_deletes=keep_deletes).drop("_depth")
+    before = F.array_max(F.filter(F.array(*[F.lit(int(m)) for m in merges]), lambda m: m < F.col(commit))) if merges else F.lit(None)
+    own = F.col(MERGED) if MERGED in log.columns else F.lit(None)
+    ranked = vis.withColumn("_merge", F.coalesce(own.cast("long"), before.cast("long"), F.lit(-1)))
+    out = latest_state(ranked, key, ("_depth", "_merge", *order), keep_deletes=keep_deletes).drop("_depth", "_merge")
+    return out.drop(MERGED)
 
 
 def changed_keys(log: DataFrame, refs: DataFrame, name: str, key: str, *, since_commit: int | None = None,
@@ -78,23 +103,18 @@ def conflicts(log: DataFrame, refs: DataFrame, source: str, target: str, key: st
 
 
 def merge_rows(log: DataFrame, source: str, target: str, key: str, merge_commit: int, *, ref_col: str = "ref",
-               commit: str = "batch_id", order: Sequence[str] = ("ts_ms", "pos"), seq_col: str = "seq") -> DataFrame:
-    """Net change per key on ``source`` (its latest row, deletes included),
-    re-emitted on ``target`` in commit ``merge_commit`` with a higher ``seq`` so
-    it outranks every earlier target row. Append these to the log to merge."""
-    net = latest_state(log.filter(F.col(ref_col) == source), key, order, keep_deletes=True)
-    out = net.withColumn(ref_col, F.lit(target)).withColumn(commit, F.lit(merge_commit).cast("long"))
-    if seq_col in log.columns:
-        out = out.withColumn(seq_col, F.col(seq_col) + F.lit(1))
-    else:
-        out = out.withColumn(seq_col, F.lit(1))
-    return out
+               commit: str = "batch_id", order: Sequence[str] = ("ts_ms", "pos")) -> DataFrame:
+    """Net change per key on ``source`` (its latest row, deletes included), re-emitted on ``target`` in
+    commit ``merge_commit``. Append these to the log to merge."""
+    net = latest_state(log.filter(F.col(ref_col) == source).drop(MERGED), key, order, keep_deletes=True)
+    at = F.lit(merge_commit).cast("long")
+    return net.withColumn(ref_col, F.lit(target)).withColumn(commit, at).withColumn(MERGED, at)
 
 
-def merge_branch(log: DataFrame, refs: DataFrame, source: str, target: str, key: str, merge_commit: int, *,
-                 fork_commit: int, policy: str = "fail", commit: str = "batch_id", ref_col: str = "ref",
-                 order: Sequence[str] = ("ts_ms", "pos")) -> DataFrame:
-    """``CALL merge_branch(source, target)``: the target state after the merge.
+def merge_log(log: DataFrame, refs: DataFrame, source: str, target: str, key: str, merge_commit: int, *,
+              fork_commit: int, policy: str = "fail", commit: str = "batch_id", ref_col: str = "ref",
+              order: Sequence[str] = ("ts_ms", "pos")) -> DataFrame:
+    """``CALL merge_branch(source, target)``: the log after the merge, to read, write and merge on.
 
     ``policy``: ``fail`` raises when keys changed on both sides since the fork
     (one small distributed check), ``source_wins`` applies the branch's net
@@ -109,9 +129,18 @@ def merge_branch(log: DataFrame, refs: DataFrame, source: str, target: str, key:
                 raise ValueError(f"merge {source} -> {target}: keys changed on both refs since the fork")
         else:
             incoming = incoming.join(c, key, "left_anti")
-    base = log if "seq" in log.columns else log.withColumn("seq", F.lit(0))
-    merged_log = base.unionByName(incoming)
-    return read_ref(merged_log, refs, target, key, commit=commit, ref_col=ref_col, order=("seq", *order)).drop("seq")
+    elif policy != "source_wins":
+        raise ValueError("policy must be 'fail', 'source_wins' or 'target_wins'")
+    base = log if MERGED in log.columns else log.withColumn(MERGED, F.lit(None).cast("long"))
+    return base.unionByName(incoming)
+
+
+def merge_branch(log: DataFrame, refs: DataFrame, source: str, target: str, key: str, merge_commit: int, *,
+                 merges: Sequence[int] = (), **how) -> DataFrame:
+    """The target's state after ``merge_log``; ``merges``: commits of earlier merges into it."""
+    after = merge_log(log, refs, source, target, key, merge_commit, **how)
+    names = {k: v for k, v in how.items() if k in ("commit", "ref_col", "order")}
+    return read_ref(after, refs, target, key, merges=(*merges, merge_commit), **names)
 
 
 def branches(refs: DataFrame, log: DataFrame, *, commit: str = "batch_id", ref_col: str = "ref") -> DataFrame:

@@ -1,19 +1,17 @@
 """Per-key ordered scans (previous/next row, running sums) that survive hot keys.
 
 A plain ``Window.partitionBy(key)`` sends every change of a key to one task; if
-one key holds a third of the log, one task does a third of the work. Here the
-log is first range-partitioned on ``(key, order...)`` -- the same sampled range
-partitioning Spark uses for a global sort, so a hot key is cut into several
-contiguous *chunks* of bounded size. Windows then run per ``(key, chunk)`` and a
-small per-chunk summary (one row per key and chunk) carries values across chunk
-boundaries: the previous chunk's last row, the next chunk's first row, and
-prefix totals for running sums. Results are exact.
-
-The chunked plan costs a checkpoint and a summary join, so it is chosen
-adaptively: one cheap aggregate (per-key counts, partially aggregated; one row
-comes back) measures the largest key first. When no key is bigger than about
-two average partitions, a plain per-key window is already balanced and is used
-instead.
+one key holds a third of the log, one task does a third of the work. Here every
+key is cut into *chunks* by its order: the chunk of a row is the time slice
+``floor(order[0] / width)``. Windows run per ``(key, chunk)`` and a
+per-chunk summary carries values across chunk boundaries: the previous chunk's
+last row, the next chunk's first row, and prefix totals for running sums. Only
+chunks that have a neighbour get a carry. Results are exact, for NULL
+values and ties as for a window over the whole key.
+
+There is one plan for all sizes: one shuffle of the log on ``(key, chunk)``. ``width`` should
+hold what one task can sort of the busiest key. Rows with a NULL key have no order
+among themselves and are left out, as the fold does.
 """
 
 from __future__ import annotations
@@ -23,117 +21,70 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_root, shuffle_partitions
-
 CHUNK = "_chunk"
+#: Default time slice: a day of milliseconds.
+WIDTH = 86_400_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def chunked(df: DataFrame, key: str | Sequence[str], order: Sequence[str], n_chunks: int | None = None) -> DataFrame:
-    """Range-partition on (key, order) and tag each row with its chunk id.
-
-    The tagged data is checkpointed (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``): the chunk ids come from sampled range bounds,
-    and the per-row windows and the per-chunk summary must see the *same*
-    bounds. Two separately planned range exchanges would sample differently;
-    the checkpoint pins one assignment, and also cuts the lineage so a lost
-    executor never re-samples.
-    """
-    keys = _keys(key)
-    n = n_chunks or shuffle_partitions(df.sparkSession)
-    checkpoint_root(df.sparkSession)
-    return (df.repartitionByRange(n, *[F.col(c) for c in keys + list(order)])
-            .withColumn(CHUNK, F.spark_partition_id())
-            .checkpoint(eager=True))
-
-
-def has_hot_key(df: DataFrame, key: str | Sequence[str], n_parts: int | None = None, factor: float = 2.0) -> bool:
-    """True when some key holds more rows than ``factor`` average partitions.
-    One small job: per-key counts (map-side partial aggregation), then a global
-    max/sum; a single row reaches the driver."""
-    keys = _keys(key)
-    n = n_parts or shuffle_partitions(df.sparkSession)
-    st = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-          .agg(F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first())
-    if st is None or st["tot"] is None:
-        return False
-    return st["mx"] > factor * st["tot"] / n
-
-
-def _use_chunks(df: DataFrame, keys: list[str], mode: str, n_chunks: int | None) -> bool:
-    if mode not in ("auto", "chunked", "plain"):
-        raise ValueError("mode must be 'auto', 'chunked' or 'plain'")
-    if mode == "auto":
-        return has_hot_key(df, keys, n_chunks)
-    return mode == "chunked"
+def chunked(df: DataFrame, key: str | Sequence[str], order: Sequence[str], width: int = WIDTH) -> DataFrame:
+    """Rows with a key, tagged with their chunk. ``order[0]`` is a number; NULLs sort first and so are the first chunk."""
+    keyed = df
+    for k in _keys(key):
+        keyed = keyed.filter(F.col(k).isNotNull())
+    return keyed.withColumn(CHUNK, F.coalesce(F.floor(F.col(order[0]) / F.lit(width)), F.lit(-(2**62))))
 
 
 def with_neighbors(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str], *,
-                   prev: bool = True, nxt: bool = True, n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
+                   prev: bool = True, nxt: bool = True, width: int = WIDTH) -> DataFrame:
     """Add ``_prev`` / ``_next``: structs of ``order + cols`` of the previous /
-    next row of the same key (NULL at the ends).
-
-    Keys are expected non-NULL, as everywhere in the library (parsing
-    quarantines keyless changes). The chunk summary joins back on plain key
-    equality so the join reuses the window's ``(key, chunk)`` partitioning; a
-    NULL-safe join would add a full shuffle of the log."""
+    next row of the same key (NULL at the ends)."""
     keys = _keys(key)
     packed = F.struct(*[F.col(c) for c in list(order) + [c for c in cols if c not in order]])
-    if not _use_chunks(df, keys, mode, n_chunks):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df
-        if prev:
-            out = out.withColumn("_prev", F.lag(packed).over(w))
-        if nxt:
-            out = out.withColumn("_next", F.lead(packed).over(w))
-        return out
-    ch = chunked(df, keys, order, n_chunks)
+    ch = chunked(df, keys, order, width)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    if prev:
-        ch = ch.withColumn("_prev", F.lag(packed).over(w))
-    if nxt:
-        ch = ch.withColumn("_next", F.lead(packed).over(w))
-    # One row per (key, chunk): first and last row of the chunk. The window
-    # over key on this summary sees at most n_chunks rows per key.
+    # The summary is of the log itself, so it is combined before its (small) shuffle.
     summ = ch.groupBy(*keys, CHUNK).agg(F.min(packed).alias("_first"), F.max(packed).alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(CHUNK)
-    sel = [*keys, CHUNK]
+    carry = []
     if prev:
-        sel.append(F.lag("_last").over(ws).alias("_prev_carry"))
-    if nxt:
-        sel.append(F.lead("_first").over(ws).alias("_next_carry"))
-    summ = summ.select(*sel)
-    out = ch.join(summ, keys + [CHUNK], "left")
-    if prev:
-        out = out.withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_prev_carry"))).drop("_prev_carry")
+        ch = ch.withColumn("_prev", F.lag(packed).over(w))
+        carry.append(F.lag("_last").over(ws).alias("_prev_carry"))
     if nxt:
-        out = out.withColumn("_next", F.coalesce(F.col("_next"), F.col("_next_carry"))).drop("_next_carry")
-    return out.drop(CHUNK)
+        ch = ch.withColumn("_next", F.lead(packed).over(w))
+        carry.append(F.lead("_first").over(ws).alias("_next_carry"))
+    summ = summ.select(*keys, CHUNK, *carry)
+    names = [c for c, on in (("_prev_carry", prev), ("_next_carry", nxt)) if on]
+    if names:
+        summ = summ.filter(" OR ".join(f"{c} IS NOT NULL" for c in names))
+        ch = ch.join(summ, [*keys, CHUNK], "left")
+    for c in names:
+        own = c.removesuffix("_carry")
+        ch = ch.withColumn(own, F.coalesce(F.col(own), F.col(c))).drop(c)
+    return ch.drop(CHUNK)
 
 
 def with_running_sum(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str, *,
-                     n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
-    """Add ``_run`` (inclusive running sum of ``value`` per key) and ``_run_min``
+                     width: int = WIDTH) -> DataFrame:
+    """Add ``_run`` (inclusive running sum of ``value`` per key, NULL until a value came) and ``_run_min``
     (running minimum of ``_run``), as a two-level parallel prefix scan."""
     keys = _keys(key)
-    if not _use_chunks(df, keys, mode, n_chunks):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn("_run", F.sum(value).over(w)).withColumn("_run_min", F.min("_run").over(w))
-    ch = chunked(df, keys, order, n_chunks)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ch = ch.withColumn("_ls", F.sum(value).over(w))
+    ch = chunked(df, keys, order, width).withColumn("_ls", F.sum(value).over(w))
     ch = ch.withColumn("_lmin", F.min("_ls").over(w))
     summ = ch.groupBy(*keys, CHUNK).agg(F.sum(value).alias("_tot"), F.min("_ls").alias("_cmin"))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-    summ = summ.withColumn("_prior_min", F.min(F.col("_off") + F.col("_cmin")).over(before))
-    summ = summ.select(*keys, CHUNK, "_off", "_prior_min")
-    out = ch.join(summ, keys + [CHUNK], "left")
-    return (out.withColumn("_run", F.col("_off") + F.col("_ls"))
-            .withColumn("_run_min", F.least(F.col("_prior_min"), F.col("_off") + F.col("_lmin")))
+    # A total of NULL: no value came in any earlier chunk.
+    summ = summ.withColumn("_off", F.sum("_tot").over(before))
+    summ = summ.withColumn("_prior_min", F.min(F.coalesce("_off", F.lit(0)) + F.col("_cmin")).over(before))
+    summ = summ.filter(F.col("_off").isNotNull()).select(*keys, CHUNK, "_off", "_prior_min")
+    out = ch.join(summ, [*keys, CHUNK], "left")
+    run = F.when(F.col("_off").isNotNull() | F.col("_ls").isNotNull(), F.coalesce("_off", F.lit(0)) + F.coalesce("_ls", F.lit(0)))
+    return (out.withColumn("_run", run)
+            .withColumn("_run_min", F.least(F.col("_prior_min"), F.coalesce("_off", F.lit(0)) + F.col("_lmin")))
             .drop(CHUNK, "_ls", "_lmin", "_off", "_prior_min"))
 
 
@@ -142,40 +93,40 @@ def with_running_sum(df: DataFrame, key: str | Sequence[str], order: Sequence[st
 # ---------------------------------------------------------------------------
 
 def scd2(log: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] = ("ts_ms", "pos"), *,
-         op_col: str = "op", n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
+         op_col: str = "op", width: int = WIDTH) -> DataFrame:
     """SCD type-2 history: one row per version with ``valid_from`` /
     ``valid_to`` (the next change's time, NULL while current). A delete closes
     the open interval and emits no row of its own."""
     t = order[0]
-    n = with_neighbors(log, key, order, [op_col, *cols], prev=False, n_chunks=n_chunks, mode=mode)
+    n = with_neighbors(log, key, order, [op_col, *cols], prev=False, width=width)
     return (n.filter(F.col(op_col) != "d")
             .select(key, *cols, F.col(t).alias("valid_from"), F.col(f"_next.{t}").alias("valid_to"),
                     F.col("_next").isNull().alias("is_current"), *[c for c in order if c != t]))
 
 
 def change_delta(log: DataFrame, key: str, col: str, order: Sequence[str] = ("ts_ms", "pos"), *,
-                 n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
+                 width: int = WIDTH) -> DataFrame:
     """Previous value of ``col`` for the same key and the difference."""
-    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks, mode=mode)
+    n = with_neighbors(log, key, order, [col], nxt=False, width=width)
     return (n.withColumn(f"prev_{col}", F.col(f"_prev.{col}"))
             .withColumn("delta", F.col(col) - F.col(f"prev_{col}"))
             .drop("_prev"))
 
 
 def transitions(log: DataFrame, key: str, col: str, order: Sequence[str] = ("ts_ms", "pos"), *,
-                n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
+                width: int = WIDTH) -> DataFrame:
     """Counts of (previous value -> value) transitions of ``col`` per key order."""
-    n = with_neighbors(log, key, order, [col], nxt=False, n_chunks=n_chunks, mode=mode)
+    n = with_neighbors(log, key, order, [col], nxt=False, width=width)
     return (n.groupBy(F.col(f"_prev.{col}").alias(f"prev_{col}"), F.col(col).alias(f"next_{col}"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def clamped_running(df: DataFrame, key: str, order: Sequence[str], delta: str, start: int | float = 0, *,
-                    floor: int | float = 0, n_chunks: int | None = None, mode: str = "auto") -> DataFrame:
+                    floor: int | float = 0, width: int = WIDTH) -> DataFrame:
     """Sequential ``x = GREATEST(floor, x + delta)`` per key from ``start``, in
     closed form: with P = start + running sum, x = P - min(0, min(P) - floor)
     (clamping resets exactly by the deepest undershoot so far)."""
-    r = with_running_sum(df, key, order, delta, n_chunks=n_chunks, mode=mode)
+    r = with_running_sum(df, key, order, delta, width=width)
     p = F.lit(start) + F.col("_run")
     undershoot = F.least(F.lit(0), F.lit(start) + F.col("_run_min") - F.lit(floor))
     return r.withColumn("level", p - undershoot).drop("_run", "_run_min")

@@ -75,10 +75,32 @@ def diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataF
     return j.select(key, change.alias("change"), *[f"old_{c}" for c in cols], *[f"new_{c}" for c in cols])
 
 
-def version_except(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows only in one of two states (multiset ``EXCEPT ALL`` both ways)."""
-    return (new.exceptAll(old).withColumn("side", F.lit("added"))
-            .unionByName(old.exceptAll(new).withColumn("side", F.lit("removed"))))
+def two_states(log: DataFrame, key: str, version: int, cols: Sequence[str], *, commit: str = "batch_id",
+               order: Sequence[str] = ORDER, op: str = "op") -> DataFrame:
+    """The state as of ``version`` and the current one side by side, from one scan and one shuffle:
+    key, ``_old`` and ``_new`` structs of ``cols`` (NULL where the key isn't live)."""
+    row, rank = F.struct(F.col(op).alias("_op"), *cols), F.struct(*order)
+    old = F.col(commit) <= F.lit(version)
+    both = (log.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.max_by(F.when(old, row), F.when(old, rank)).alias("_old"), F.max_by(row, rank).alias("_new")))
+    live = lambda c: F.when(F.col(f"{c}._op") != "d", F.struct(*[F.col(f"{c}.{x}").alias(x) for x in cols]))
+    return both.select(key, live("_old").alias("_old"), live("_new").alias("_new")).filter("_old IS NOT NULL OR _new IS NOT NULL")
+
+
+def version_diff(log: DataFrame, key: str, version: int, cols: Sequence[str], **how) -> DataFrame:
+    """``diff`` of the state as of ``version`` and the current state of one log."""
+    both = two_states(log, key, version, cols, **how)
+    change = (F.when(F.col("_new").isNull(), "removed").when(F.col("_old").isNull(), "added")
+              .when(F.col("_old").eqNullSafe(F.col("_new")), "same").otherwise("changed"))
+    return both.select(key, change.alias("change"), *[F.col(f"_old.{c}").alias(f"old_{c}") for c in cols], *[F.col(f"_new.{c}").alias(f"new_{c}") for c in cols])
+
+
+def version_except(log: DataFrame, key: str, version: int, cols: Sequence[str], **how) -> DataFrame:
+    """Rows (key and ``cols``) only in one of the two states: ``side`` is added or removed. Keys are unique in a
+    state, so both ``EXCEPT ALL`` are a comparison per key."""
+    both = two_states(log, key, version, cols, **how).filter(~F.col("_old").eqNullSafe(F.col("_new")))
+    sides = F.explode(F.array(F.struct(F.col("_new").alias("row"), F.lit("added").alias("side")), F.struct(F.col("_old").alias("row"), F.lit("removed").alias("side"))))
+    return both.select(key, sides.alias("x")).filter("x.row IS NOT NULL").select(key, *[F.col(f"x.row.{c}").alias(c) for c in cols], F.col("x.side").alias("side"))
 
 
 def history(log: DataFrame, commit: str = "batch_id", ts: str = "ts_ms", op: str = "op") -> DataFrame:

@@ -1,7 +1,7 @@
 """Branch queries.
 
 The log is split at the fork commit: after commit ``FORK_VERSION``, changes
-of type ``purchase`` were written on branch ``ds_experiment`` (an experiment
+of type ``purchase`` were written on branch ``purchase_trial`` (an experiment
 replaying purchases), everything else stays on ``main``. The refs table has
 one row per branch.
 """
@@ -15,7 +15,7 @@ from tidemark.plans.core_queries import FORK_VERSION, STATE_COLS
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, with_log
 
-BRANCH = "ds_experiment"
+BRANCH = "purchase_trial"
 MERGE_COMMIT = 1_000_000_000
 
 
@@ -44,7 +44,7 @@ def _latest(src: str, order: str) -> str:
     f"SELECT *, 0 AS depth FROM bl WHERE ref = 'main' AND batch_id <= {FORK_VERSION})",
     "depth DESC, ts_ms DESC, pos DESC"), _BL))
 def q_branch_read(spark, sf):
-    """``SET SESSION ref = 'ds_experiment'``: base up to the fork + branch writes."""
+    """``SET SESSION ref = 'purchase_trial'``: base up to the fork + branch writes."""
     return branches.read_ref(branch_log(spark, sf), refs(spark), BRANCH, "k").select(*STATE_COLS)
 
 
@@ -60,12 +60,48 @@ def q_branch_isolation(spark, sf):
     f"ORDER BY ts_ms DESC, pos DESC) AS _r FROM bl WHERE ref = '{BRANCH}') WHERE _r = 1))",
     "seq DESC, ts_ms DESC, pos DESC"), _BL))
 def q_branch_merge(spark, sf):
-    """``CALL merge_branch('ds_experiment', 'main')`` with the branch winning
+    """``CALL merge_branch('purchase_trial', 'main')`` with the branch winning
     conflicting keys; returns main's state after the merge."""
     return branches.merge_branch(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT,
                                  fork_commit=FORK_VERSION, policy="source_wins").select(*STATE_COLS)
 
 
+_NET = (f"(SELECT k, op, status, amount, ts_ms, pos FROM (SELECT *, row_number() OVER (PARTITION BY k "
+        f"ORDER BY ts_ms DESC, pos DESC) AS _r FROM bl WHERE ref = '{BRANCH}') WHERE _r = 1)")
+_BOTH = (f"(SELECT k FROM bl WHERE ref = '{BRANCH}' INTERSECT SELECT k FROM bl WHERE ref = 'main' AND batch_id > {FORK_VERSION})")
+
+
+@register("branch_merge_target_wins", with_log(_latest(
+    f"(SELECT *, 0 AS seq FROM bl WHERE ref = 'main' UNION ALL SELECT k, op, status, amount, ts_ms, pos, 0 AS batch_id, 'main' AS ref, 1 AS seq FROM {_NET} "
+    f"WHERE k NOT IN {_BOTH})", "seq DESC, ts_ms DESC, pos DESC").replace("SELECT *, 0 AS seq FROM bl", f"SELECT {_S}, batch_id, ref, 0 AS seq FROM bl"), _BL))
+def q_branch_merge_target_wins(spark, sf):
+    """The merge that keeps keys changed on both sides as they are on ``main``."""
+    return branches.merge_branch(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT,
+                                 fork_commit=FORK_VERSION, policy="target_wins").select(*STATE_COLS)
+
+
+@register("branch_merge_then_write", with_log(_latest(
+    f"(SELECT {_S}, 0 AS seq, 0 AS late FROM bl WHERE ref = 'main' UNION ALL SELECT {_S}, 1 AS seq, 0 AS late FROM {_NET} UNION ALL "
+    f"SELECT {_S}, 1 AS seq, 1 AS late FROM log WHERE pos % 11 = 0)", "seq DESC, late DESC, ts_ms DESC, pos DESC"), _BL))
+def q_branch_merge_then_write(spark, sf):
+    """Writes on ``main`` after a merge win over what the merge brought, though their events are older."""
+    merged = branches.merge_log(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT, fork_commit=FORK_VERSION, policy="source_wins")
+    later = event_log(spark, sf).filter("pos % 11 = 0").withColumn("batch_id", F.lit(MERGE_COMMIT + 2).cast("long"))
+    again = branches.merge_log(merged.unionByName(branches.write_ref(later, "trial_2"), allowMissingColumns=True), refs(spark), "trial_2", "main", "k",
+                               MERGE_COMMIT + 3, fork_commit=MERGE_COMMIT, policy="source_wins")
+    return branches.read_ref(again, refs(spark), "main", "k", merges=(MERGE_COMMIT, MERGE_COMMIT + 3)).select(*STATE_COLS)
+
+
+@register("branch_nested", with_log(_latest(
+    f"(SELECT {_S}, 2 AS depth FROM log WHERE pos % 13 = 0 UNION ALL SELECT {_S}, 1 AS depth FROM bl WHERE ref = '{BRANCH}' AND batch_id <= {FORK_VERSION + 20} UNION ALL "
+    f"SELECT {_S}, 0 AS depth FROM bl WHERE ref = 'main' AND batch_id <= {FORK_VERSION})", "depth DESC, ts_ms DESC, pos DESC"), _BL))
+def q_branch_nested(spark, sf):
+    """A branch of a branch: its own writes, the trial's up to the second fork, ``main`` up to the first."""
+    two = branches.create_branch(refs(spark), "nested", BRANCH, FORK_VERSION + 20)
+    own = branches.write_ref(event_log(spark, sf).filter("pos % 13 = 0"), "nested")
+    return branches.read_ref(branch_log(spark, sf).unionByName(own), two, "nested", "k").select(*STATE_COLS)
+
+
 @register("branch_conflicts", with_log(
     "SELECT a.k, a.source_changes, b.target_changes FROM "
     f"(SELECT k, count(*) AS source_changes FROM bl WHERE ref = '{BRANCH}' GROUP BY k) a JOIN "

@@ -145,9 +145,7 @@ _V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_VERSIO
     "ELSE 'changed' END AS change, a.status AS old_status, a.amount AS old_amount, b.status AS new_status, "
     "b.amount AS new_amount FROM a FULL JOIN b ON a.k = b.k", _V_AB))
 def q_version_diff(spark, sf):
-    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION)
-    new = fold.latest_state(event_log(spark, sf), "k")
-    return versions.diff(old, new, "k", ["status", "amount"])
+    return versions.version_diff(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
 
 
 @register("version_except", with_log(
@@ -155,20 +153,16 @@ def q_version_diff(spark, sf):
     "SELECT k, status, amount FROM a)) UNION ALL (SELECT k, status, amount, 'removed' AS side FROM "
     "(SELECT k, status, amount FROM a EXCEPT ALL SELECT k, status, amount FROM b))", _V_AB))
 def q_version_except(spark, sf):
-    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION) \
-        .select("k", "status", "amount")
-    new = fold.latest_state(event_log(spark, sf), "k").select("k", "status", "amount")
-    return versions.version_except(old, new)
+    return versions.version_except(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
 
 
 @register("diff_amount", with_log(
     "SELECT b.k, b.amount - a.amount AS delta FROM b JOIN a USING (k) WHERE b.status = 'purchase'", _V_AB))
 def q_diff_amount(spark, sf):
-    """Current vs historical state joined on the key, filtered on current."""
-    old = versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION) \
-        .select("k", F.col("amount").alias("old_amount"))
-    new = fold.latest_state(event_log(spark, sf), "k").filter(F.col("status") == "purchase")
-    return new.join(old, "k").select("k", (F.col("amount") - F.col("old_amount")).alias("delta"))
+    """Current vs historical state of the same keys, filtered on current; one scan."""
+    both = versions.two_states(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
+    return (both.filter("_old IS NOT NULL AND _new.status = 'purchase'")
+            .select("k", (F.col("_new.amount") - F.col("_old.amount")).alias("delta")))
 
 
 @register("snapshot_history", with_log(
