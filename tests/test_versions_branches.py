@@ -16,6 +16,34 @@ def test_diff_of_a_version_with_itself_is_all_same(spark):
     assert versions.version_except(s, s).count() == 0
 
 
+def test_one_scan_diff_equals_the_diff_of_two_folds(spark):
+    from tidemark.plans.testdata import event_log
+
+    log = event_log(spark, "/root/testdata/sf0.01").withColumn("k", F.col("k") % 400)
+    cols = ["status", "amount"]
+    old, new = versions.as_of_version(log, "k", 40), fold.latest_state(log, "k")
+    rows = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=str)
+    one = versions.version_diff(log, "k", 40, cols)
+    assert rows(one) == rows(versions.diff(old, new, "k", cols))
+    assert rows(versions.log_except(log, "k", 40, cols)) == rows(versions.version_except(old.select("k", *cols), new.select("k", *cols)))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_branch_of_a_branch_and_writes_after_a_merge(spark):
+    log, refs = _branch_setup(spark)
+    refs = branches.create_branch(refs, "deep", "ds", 2)
+    more = branches.write_ref(spark.createDataFrame([(3, "c", "new", 1, 9, 4)], "k long, op string, status string, ts_ms long, pos long, batch_id long"), "deep")
+    deep = {r.k: r.status for r in branches.read_ref(log.unionByName(more), refs, "deep", "k").collect()}
+    assert deep == {1: "platinum", 2: "silver", 3: "new", 999: "gold"}
+    merged = branches.merge_log(log, refs, "ds", "main", "k", 50, fork_commit=1)
+    late = branches.write_ref(spark.createDataFrame([(1, "u", "after", 5, 10, 51)], "k long, op string, status string, ts_ms long, pos long, batch_id long"), "main")
+    state = branches.read_ref(merged.unionByName(late, allowMissingColumns=True), refs, "main", "k", merges=[50])
+    assert {r.k: r.status for r in state.collect()} == {1: "after", 2: "gold", 999: "gold"}
+    with pytest.raises(ValueError, match="no branch"):
+        branches.ancestors(refs, "absent")
+
+
 def test_commit_time_and_event_time_differ_for_late_events(spark):
     # The change with ts 50 arrives late, in batch 2 (committed at ts 300).
     log = spark.createDataFrame([(1, "c", "a", 10, 1, 1, "main"), (1, "u", "b", 100, 2, 1, "main"),

@@ -75,6 +75,13 @@ def diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataF
     return j.select(key, change.alias("change"), *[f"old_{c}" for c in cols], *[f"new_{c}" for c in cols])
 
 
+def version_except(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows only in one of two states (multiset ``EXCEPT ALL`` both ways). For two versions of one log, ``log_except``
+    gives the same from one scan."""
+    return (new.exceptAll(old).withColumn("side", F.lit("added"))
+            .unionByName(old.exceptAll(new).withColumn("side", F.lit("removed"))))
+
+
 def two_states(log: DataFrame, key: str, version: int, cols: Sequence[str], *, commit: str = "batch_id",
                order: Sequence[str] = ORDER, op: str = "op") -> DataFrame:
     """The state as of ``version`` and the current one side by side, from one scan and one shuffle:
@@ -95,7 +102,7 @@ def version_diff(log: DataFrame, key: str, version: int, cols: Sequence[str], **
     return both.select(key, change.alias("change"), *[F.col(f"_old.{c}").alias(f"old_{c}") for c in cols], *[F.col(f"_new.{c}").alias(f"new_{c}") for c in cols])
 
 
-def version_except(log: DataFrame, key: str, version: int, cols: Sequence[str], **how) -> DataFrame:
+def log_except(log: DataFrame, key: str, version: int, cols: Sequence[str], **how) -> DataFrame:
     """Rows (key and ``cols``) only in one of the two states: ``side`` is added or removed. Keys are unique in a
     state, so both ``EXCEPT ALL`` are a comparison per key."""
     both = two_states(log, key, version, cols, **how).filter(~F.col("_old").eqNullSafe(F.col("_new")))

@@ -153,7 +153,7 @@ def q_version_diff(spark, sf):
     "SELECT k, status, amount FROM a)) UNION ALL (SELECT k, status, amount, 'removed' AS side FROM "
     "(SELECT k, status, amount FROM a EXCEPT ALL SELECT k, status, amount FROM b))", _V_AB))
 def q_version_except(spark, sf):
-    return versions.version_except(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
+    return versions.log_except(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
 
 
 @register("diff_amount", with_log(
