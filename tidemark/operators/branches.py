@@ -79,7 +79,8 @@ def read_ref(log: DataFrame, refs: DataFrame, name: str, key: str, *, merges: Se
     vis = _visible(log, refs, name, commit, ref_col)
     before = F.array_max(F.filter(F.array(*[F.lit(int(m)) for m in merges]), lambda m: m < F.col(commit))) if merges else F.lit(None)
     own = F.col(MERGED) if MERGED in log.columns else F.lit(None)
-    ranked = vis.withColumn("_merge", F.coalesce(own.cast("long"), before.cast("long"), F.lit(-1)))
+    # A merge's rows stand between all rows before it and all after it.
+    ranked = vis.withColumn("_merge", F.coalesce(own.cast("long") * 2, before.cast("long") * 2 + 1, F.lit(-1)))
     out = latest_state(ranked, key, ("_depth", "_merge", *order), keep_deletes=keep_deletes).drop("_depth", "_merge")
     return out.drop(MERGED)
 
