@@ -9,9 +9,10 @@ Stages, each a Spark job over all rows:
 3. In every band bucket the smallest id is paired with the others (a star, never all
    pairs). Pairs that the set sizes or the signature estimate rule out are dropped, the
    rest is confirmed on the full shingle sets with integer arithmetic.
-4. Buckets whose members are not yet in one component get further pivots, and at the
-   end every remaining pair of members in different components is compared, so a
-   bucket never loses a link that would join two components.
+4. Buckets whose members are not yet in one component are joined to groups, and a group's
+   components are compared block by block, each pair of blocks a task of its own that
+   gives a spanning forest of its links. So no link that would join two components is lost, and no
+   pairs are written out.
 
 Defined results: null or empty text has no shingles and links with nothing; fewer than
 five words make one shingle; rows that repeat an id or a null id are kept as they are
@@ -26,18 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .ids import maybe_in
 from .scratch import Scratch
 from .words import mix, sequence_key, shingles, word_slices
 
 BANDS, ROWS = 32, 4
 N_HASH = BANDS * ROWS
-#: Estimates below this (out of N_HASH equal bytes) are ruled out: 6 standard deviations under 0.75.
-LEAST_EQUAL = 66
-EXTRA_PIVOTS = 4
+#: Estimates below this (out of N_HASH equal bytes) are ruled out: 4.9 standard deviations under 0.75.
+LEAST_EQUAL = 72
+#: A block of documents that may lie in one task.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 
 _rng = np.random.default_rng(77_001)
 _A = (_rng.integers(1, 2**32, N_HASH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -137,14 +140,85 @@ def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     side = lambda n: reps.select(F.col("doc_id").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("sig").alias(f"s{n}"))
     likely = (pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "nu", "nv", "su", "sv")
               .mapInArrow(_likely, "u long, v long"))
-    text = lambda n: texts.select(F.col("doc_id").alias(n), F.col("text").alias(f"t{n}"))
+    text = lambda n: texts.select(F.col("doc_id").alias(n), F.col("text").alias(f"t{n}")).hint("merge")
     return (likely.join(text("v"), "v").join(text("u"), "u").select("u", "v", "tu", "tv")
             .mapInArrow(_confirm, "u long, v long"))
 
 
-def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    got = comps.select(F.col("node").alias("doc_id"), F.col("component").alias("_c"))
-    return members.join(got, "doc_id", "left").select("h", "doc_id", F.coalesce("_c", "doc_id").alias("c"))
+def _block_pair(t: pa.Table) -> pa.Table:
+    """Documents of two blocks of a group (or of one) -> links that join components: a spanning forest of them."""
+    first, doc, comp = (t[c].to_numpy() for c in ("first", "doc_id", "c"))
+    sets = [np.frombuffer(x, np.uint64) for x in t["shingles"].to_pylist()]
+    sig, size = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, N_HASH), np.array([len(x) for x in sets])
+    left, right = np.flatnonzero(first), np.flatnonzero(~first)
+    one = not len(right)
+    right = left if one else right
+    pairs, equal = [], []
+    for i in left:
+        n = (sig[i] == sig[right]).sum(1)
+        ok = (n >= LEAST_EQUAL) & (comp[i] != comp[right]) & (100 * np.minimum(size[i], size[right]) >= 75 * np.maximum(size[i], size[right]))
+        if one:
+            ok &= right > i
+        pairs.append(np.stack([np.full(int(ok.sum()), i), right[ok]], 1))
+        equal.append(n[ok])
+    root = {c: c for c in comp.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    us, vs = [], []
+    order = np.argsort(-np.concatenate(equal), kind="stable") if equal else []
+    for i, j in (np.concatenate(pairs)[order].tolist() if pairs else ()):
+        a, b = find(comp[i]), find(comp[j])
+        if a != b:
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= 75 * (size[i] + size[j] - both):
+                root[max(a, b)] = min(a, b)
+                us.append(doc[i])
+                vs.append(doc[j])
+    return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 256):
+            part = b.slice(lo, 256)
+            yield pa.record_batch([part.column(0), pa.array([x.tobytes() for x in _sets(part.column(1))], pa.binary())], names=["doc_id", "shingles"])
+
+
+def links_left(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, s: Scratch) -> DataFrame:
+    """Links between different components within the buckets of ``members`` (h, u = its first member, doc_id).
+
+    Buckets with several components are joined to groups, and a group is dealt out to blocks of at most about
+    ``BLOCK`` documents. Its largest component is compared with the others only, block by block.
+    """
+    own = (members.join(comps.select(F.col("node").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left")
+           .select("h", "u", "doc_id", F.coalesce("c", "doc_id").alias("c")))
+    mixed = own.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
+    left = s.save(own.join(mixed, "h").select("u", "doc_id", "c").distinct(), "mixed")
+    groups = components(left.select("u", F.col("doc_id").alias("v")), s)
+    docs = (left.select("doc_id", "c").distinct().join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("g")), "doc_id", "left")
+            .withColumn("g", F.coalesce("g", "doc_id")).join(reps.select("doc_id", "n_shingles", "sig"), "doc_id"))
+    docs = s.save(docs, "mixed")
+    blocks_for = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("n")
+    largest = (docs.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g")
+               .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps"))
+    docs = docs.join(largest, "g").withColumn("main", F.col("c") == F.col("main"))
+    counts = (docs.groupBy("g", "main").agg(blocks_for).groupBy("g")
+              .agg(F.max(F.when(F.col("main"), F.col("n"))).alias("n_main"), F.max(F.when(~F.col("main"), F.col("n"))).alias("n_rest")))
+    # Blocks 0 .. n_rest - 1 hold the other components, those from n_rest on the largest; pairs (i, j) have i < n_rest and i <= j.
+    docs = docs.join(counts, "g").withColumn("block", F.when(F.col("main"), F.col("n_rest") + F.pmod(F.xxhash64("doc_id"), F.col("n_main")))
+                                             .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("n_rest"))))
+    sets = s.save(texts.join(docs.select("doc_id"), "doc_id", "left_semi").mapInArrow(_shingle_sets, "doc_id long, shingles binary"), "sets")
+    ends = F.when(F.col("main"), F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_rest") - 1), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))) \
+        .otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_rest") + F.col("n_main") - 1),
+                               lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j"))))
+    dealt = (docs.withColumn("x", F.explode(ends)).select("g", "x.i", "x.j", (F.col("block") == F.col("x.i")).alias("first"), "doc_id", "c", "sig")
+             .join(sets, "doc_id"))
+    return dealt.groupBy("g", "i", "j").applyInArrow(_block_pair, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,25 +238,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = rows.groupBy("h").agg(F.min("doc_id").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = s.save(rows.join(shared, "h").select("h", "u", "doc_id"), "members")
     pairs = members.where("u <> doc_id").select("u", F.col("doc_id").alias("v")).distinct()
+    # Only texts that some comparison may need move.
+    texts = s.save(texts.where(maybe_in(members.select("doc_id"), "doc_id")("doc_id")).dropDuplicates(["doc_id"]), "texts")
     links = s.save(confirmed(pairs, reps, texts), "confirmed")
     comps = components(links, s)
 
-    # Buckets that hold several components: more pivots, then whatever pairs are left.
-    for last in (False, True):
-        own = _labelled(members.select("h", "doc_id"), comps)
-        mixed = own.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h")
-        left = s.save(own.join(mixed, "h"), "mixed")
-        if left.isEmpty():
-            break
-        one = left.select("h", F.col("doc_id").alias("u"), F.col("c").alias("cu"))
-        if not last:
-            order = Window.partitionBy("h").orderBy(F.xxhash64("u"), "u")
-            one = one.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= EXTRA_PIVOTS).drop("_r")
-        other = left.select("h", F.col("doc_id").alias("v"), F.col("c").alias("cv"))
-        more = (one.join(other, "h").where("cu <> cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-                .distinct().join(pairs, ["u", "v"], "left_anti"))
-        links = s.save(links.union(confirmed(more, reps, texts)).distinct(), "confirmed")
-        comps = components(links, s)
+    links = s.save(links.union(links_left(members, comps, reps, texts, s)), "confirmed")
+    comps = components(links, s)
 
     same = copies.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left") \
         .select("doc_id", F.coalesce("component", "rep").alias("component"))
