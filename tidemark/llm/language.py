@@ -97,14 +97,17 @@ def address_parts(address: Column) -> tuple[Column, Column, Column]:
 
 
 def fit(rows: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram log probabilities (bucket x language), and each language's own mean per trigram."""
+    """Trigram log probabilities (bucket x language), and the mean per trigram below which a text reads as no language."""
     number = F.coalesce(*(F.when(F.col("declared") == name, F.lit(k)) for k, name in enumerate(languages)))
     got = (rows.select(number.cast("int").alias("k"), "text").where("k is not null").mapInArrow(_count, "k int, g int, c double")
            .groupBy("k", "g").agg(F.sum("c").alias("c")).toArrow())  # at most languages x buckets rows
     c = np.full((1 << BITS, len(languages)), SMOOTHING)
     c[got["g"].to_numpy(), got["k"].to_numpy()] += got["c"].to_numpy()
     p = c / c.sum(0)
-    return np.log(p).astype(np.float32), (np.where(c > SMOOTHING, p, 0) * np.log(p)).sum(0)
+    seen = np.where(c > SMOOTHING, p, 0)
+    mean = (seen * np.log(p)).sum(0) / np.maximum(seen.sum(0), 1e-12)
+    # Not below the middle between a language's own mean and trigrams that it never showed.
+    return np.log(p).astype(np.float32), np.maximum(mean - JUNK_NATS, (mean + np.log(p).min(0)) / 2)
 
 
 def _likelihoods(held, languages: int):
@@ -141,7 +144,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     floor = 0.002 * sum(r["count"] for r in found)
     languages = sorted(r["declared"] for r in found if r["count"] >= floor) or ["und"]
     k = len(languages)
-    log_p, own_mean = fit(sampled, languages)
+    log_p, least_mean = fit(sampled, languages)
     held = spark.sparkContext.broadcast(log_p)
 
     base = ["doc_id", "declared", "host", "domain", "suffix"]
@@ -180,7 +183,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     names = F.array(*[F.lit(x) for x in languages])
     at = (F.array_position("_f", F.col("_top")) - 1).cast("int")
     mean = F.get(F.col("t"), F.col("best")) / F.col("n")
-    reads = F.coalesce((F.col("n") < LEAST_TRIGRAMS) | (mean >= F.get(F.array(*[F.lit(float(m) - JUNK_NATS) for m in own_mean]), F.col("best"))), F.lit(False))
+    reads = F.coalesce((F.col("n") < LEAST_TRIGRAMS) | (mean >= F.get(F.array(*[F.lit(float(m)) for m in least_mean]), F.col("best"))), F.lit(False))
     return out.select("doc_id", F.get(names, at).alias("language"),
                       (1 / add(F.transform("_f", lambda x: F.exp(x - F.col("_top"))))).alias("probability"),
                       F.get(names, F.col("best")).alias("text_language"), "declared", mean.alias("mean_nats"), reads.alias("kept"))

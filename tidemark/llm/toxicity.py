@@ -33,6 +33,8 @@ TOXIC_DOCS, ORDINARY_DOCS = 3000, 6000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 WINDOW_BYTES = 120
+PAD_BYTES = 192
+TAIL = 16
 BEGINNING = 5
 #: Share of toxic texts among those that hold a telling beginning, at least.
 PURITY = 0.6
@@ -42,15 +44,20 @@ ROUNDS = 50
 
 
 def windows(text: bytes) -> list[bytes]:
-    """Lower-cased windows of about ``WINDOW_BYTES``, cut where white space follows a word; each starts with a space."""
+    """Lower-cased windows of about ``WINDOW_BYTES``, cut where white space follows a word; each starts with a space.
+
+    Each runs ``TAIL`` bytes into the next one: zstandard starts no match in the last bytes of its input.
+    """
     data = b" " + text.lower().translate(SPACES).strip()
-    out, at = [], 0
+    if len(data) == 1:
+        return []
+    padded, out, at = data + b" " * TAIL, [], 0
     while at < len(data):
         end = data.find(b" ", at + WINDOW_BYTES)
         end = len(data) if end < 0 else end
-        out.append(data[at:end])
+        out.append(padded[at:end + TAIL])
         at = end
-    return out if len(data) > 1 else []
+    return out
 
 
 class Distance:
@@ -63,10 +70,13 @@ class Distance:
                                             write_content_size=False, write_checksum=False, write_dict_id=False)
         kind = lambda data: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=shape)
         self.plain, self.toxic = kind(ordinary), kind(toxic + ordinary)
+        # Both dictionaries end with this, so it costs one match; without it a window that hardly shrinks
+        # would be stored as it is, and what the toxic words save would not show.
+        self.pad = ordinary[-PAD_BYTES:]
 
     def savings(self, text: bytes) -> list[int]:
         a, b = self.plain.compress, self.toxic.compress
-        return [len(a(w)) - len(b(w)) for w in windows(text)]
+        return [len(a(self.pad + w)) - len(b(self.pad + w)) for w in windows(text)]
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         s = self.savings((text or "").encode())
