@@ -85,5 +85,8 @@ def test_monitor_rates_lag_and_sla(spark):
                                     "metric string, subject string, value double")
     assert [x.subject for x in monitor.sla_breaches(metrics, monitor.limits_frame(spark)).collect()] == ["b1"]
     kl = log.withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0)).withColumn("offset", F.col("pos"))
-    c = monitor.consumer_lag(kl, 1).first()
+    read = spark.createDataFrame([("t", 0, 2)], "topic string, partition int, committed_offset long")
+    c = monitor.consumer_lag(kl, read).first()
     assert (c.end_offset, c.committed_offset, c.lag_messages) == (3, 2, 1)
+    none = monitor.consumer_lag(kl, read.limit(0)).first()
+    assert (none.end_offset, none.committed_offset, none.lag_messages) == (3, None, 3)

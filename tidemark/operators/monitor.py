@@ -3,6 +3,7 @@ and SLA checks, computed from the change log itself."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,25 @@ def change_rate(log: DataFrame, window_ms: int, by: Sequence[str] = (), ts: str
             .withColumn("per_second", F.round(F.col("n_changes") / F.lit(window_ms / 1000.0), 6)))
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+
+
+def _seconds(interval: str) -> int | None:
+    found = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day)s?\s*", interval)
+    return int(found[1]) * _UNITS[found[2]] if found else None
+
+
 def sliding_rate(log: DataFrame, window: str, slide: str, by: Sequence[str] = (), ts: str = "ts_ms") -> DataFrame:
-    """Sliding-window counts with Spark's ``window`` (each change lands in
-    window/slide windows)."""
-    t = F.timestamp_millis(F.col(ts))
-    w = F.window(t, window, slide)
-    return (log.groupBy(w.alias("w"), *by).agg(F.count(F.lit(1)).alias("n_changes"))
+    """Sliding-window counts. Changes are counted once per slide step, and the counts are spread over the windows that
+    hold the step, so rows aren't multiplied by window/slide. (Steps that don't divide the window: every change is spread.)"""
+    t, n = F.timestamp_millis(F.col(ts)), F.count(F.lit(1))
+    whole, step = _seconds(window), _seconds(slide)
+    counted = log
+    if whole and step and whole % step == 0:
+        counted = (log.groupBy(F.window(t, slide).alias("_step"), *by).agg(n.alias("_n"))
+                   .select(F.col("_step.start").alias("_t"), *by, "_n"))
+        t, n = F.col("_t"), F.sum("_n")
+    return (counted.groupBy(F.window(t, window, slide).alias("w"), *by).agg(n.alias("n_changes"))
             .select(F.unix_millis(F.col("w.start")).alias("window_start_ms"),
                     F.unix_millis(F.col("w.end")).alias("window_end_ms"), *by, "n_changes"))
 
@@ -42,14 +56,15 @@ def replication_lag(log_with_commit: DataFrame, by: Sequence[str] = (), ts: str
     return log_with_commit.groupBy(*by).agg(*aggs)
 
 
-def consumer_lag(log: DataFrame, committed_commit: int, *, commit: str = "batch_id",
-                 topic: str = "topic", partition: str = "partition", offset: str = "offset") -> DataFrame:
+def consumer_lag(log: DataFrame, committed: DataFrame, *, topic: str = "topic", partition: str = "partition",
+                 offset: str = "offset") -> DataFrame:
     """Per topic partition: end offset, last committed offset and the number of
-    records not yet committed by a consumer positioned at ``committed_commit``."""
-    pending = F.col(commit) > F.lit(committed_commit)
-    return (log.groupBy(topic, partition)
-            .agg(F.max(offset).alias("end_offset"),
-                 F.max(F.when(~pending, F.col(offset))).alias("committed_offset"),
+    records after it. ``committed``: a consumer's positions (topic, partition, committed_offset);
+    a partition without one has everything pending."""
+    j = log.join(committed.select(topic, partition, "committed_offset"), [topic, partition], "left")
+    pending = F.col("committed_offset").isNull() | (F.col(offset) > F.col("committed_offset"))
+    return (j.groupBy(topic, partition)
+            .agg(F.max(offset).alias("end_offset"), F.max("committed_offset").alias("committed_offset"),
                  F.count(F.when(pending, 1)).alias("lag_messages")))
 
 
@@ -66,16 +81,18 @@ def limits_frame(spark: SparkSession, limits=None) -> DataFrame:
 
 
 def sla_breaches(metrics: DataFrame, limits: DataFrame, only_breaches: bool = True) -> DataFrame:
-    """``metrics(metric, subject, value)`` joined to ``limits(metric, limit_value)``
-    (a handful of rows, broadcast); flags values above their limit."""
-    j = metrics.join(F.broadcast(limits), "metric", "inner").withColumn(
+    """``metrics(metric, subject, value)`` joined to ``limits(metric, limit_value)``; flags values above their limit."""
+    j = metrics.join(limits, "metric", "inner").withColumn(
         "breach", F.col("value") > F.col("limit_value"))
     return j.filter(F.col("breach")) if only_breaches else j
 
 
 def progress_frame(spark: SparkSession, query) -> DataFrame:
-    """A streaming query's recent progress reports as a DataFrame (small:
-    bounded by ``spark.sql.streaming.numRecentProgressUpdates``)."""
+    """A streaming query's progress reports as a DataFrame, bounded by
+    ``spark.sql.streaming.numRecentProgressUpdates``; raises once Spark may have dropped older ones."""
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(query.recentProgress) >= kept:
+        raise ValueError(f"{kept} reports are kept: raise spark.sql.streaming.numRecentProgressUpdates for this query")
     rows = [(p.get("batchId"), p.get("numInputRows"), p.get("inputRowsPerSecond"), p.get("processedRowsPerSecond"),
              (p.get("durationMs") or {}).get("triggerExecution"))
             for p in (pp if isinstance(pp, dict) else pp.jsonValue() if hasattr(pp, "jsonValue") else dict(pp)

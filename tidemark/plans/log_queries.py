@@ -198,19 +198,25 @@ def kafka_log(spark, sf):
             .withColumn("partition", F.pmod(F.col("k"), F.lit(4)).cast("int")).withColumn("offset", F.col("pos")))
 
 
+def consumer_positions(spark, sf):
+    """A consumer that has read all commits up to ``CONSUMER_POSITION``: its committed offset per partition."""
+    return (kafka_log(spark, sf).filter(F.col("batch_id") <= CONSUMER_POSITION).groupBy("topic", "partition")
+            .agg(F.max("offset").alias("committed_offset")))
+
+
 @register("consumer_lag", with_log(
     "SELECT 'cdc.sales.events' AS topic, CAST(k % 4 AS INTEGER) AS partition, max(pos) AS end_offset, "
     f"max(pos) FILTER (WHERE batch_id <= {CONSUMER_POSITION}) AS committed_offset, "
     f"count(*) FILTER (WHERE batch_id > {CONSUMER_POSITION}) AS lag_messages FROM log GROUP BY 2"))
 def q_consumer_lag(spark, sf):
-    return monitor.consumer_lag(kafka_log(spark, sf), CONSUMER_POSITION)
+    return monitor.consumer_lag(kafka_log(spark, sf), consumer_positions(spark, sf))
 
 
 def pipeline_metrics(spark, sf):
     """``(metric, subject, value)`` rows: consumer lag per partition, batch
     duration and end-to-end lag per commit, all derived from the log."""
     log = event_log(spark, sf)
-    lag = monitor.consumer_lag(kafka_log(spark, sf), CONSUMER_POSITION).select(
+    lag = monitor.consumer_lag(kafka_log(spark, sf), consumer_positions(spark, sf)).select(
         F.lit("consumer_lag_messages").alias("metric"), F.concat(F.lit("partition-"), F.col("partition")).alias("subject"),
         F.col("lag_messages").cast("double").alias("value"))
     per_batch = versions.with_commit_time(log).groupBy("batch_id").agg(
