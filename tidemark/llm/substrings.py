@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .ids import maybe_in
 from .scratch import Scratch
 from .words import SHINGLE, Words, mix, word_slices
 
@@ -207,13 +208,16 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [np.array([(x["pos"], x["rpos"]) for x in v], "<i8").tobytes() for v in b.column(2).to_pylist()], pa.binary())], names=["doc", "rdoc", "at"])
 
 
-def verified(seeds: DataFrame, texts: DataFrame) -> DataFrame:
-    """Seeds (doc, pos, rdoc, rpos) with their stretches in both texts, or nulls and the paragraph's exact key."""
+def verified(seeds: DataFrame, texts: DataFrame, s: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Seeds (doc, pos, rdoc, rpos) with their stretches in both texts, or nulls and the paragraph's exact key; and the texts used."""
     pairs = (seeds.groupBy("doc", "rdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "rpos"))).alias("at"))
              .mapInArrow(_pack, "doc long, rdoc long, at binary"))
-    return (pairs.join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
-            .join(texts.select(F.col("doc_id").alias("rdoc"), F.col("text").alias("rtext")), "rdoc")
-            .select("doc", "rdoc", "at", "text", "rtext").mapInArrow(_verify, ", ".join(f"{c} long" for c in _LINK)))
+    pairs = s.save(pairs, "pairs")
+    needed = maybe_in(pairs.select("doc").union(pairs.select("rdoc")), "doc")
+    texts = s.save(texts.where(needed("doc_id")).dropDuplicates(["doc_id"]), "texts")
+    both = (pairs.join(texts.select(F.col("doc_id").alias("doc"), "text").hint("merge"), "doc")
+            .join(texts.select(F.col("doc_id").alias("rdoc"), F.col("text").alias("rtext")).hint("merge"), "rdoc"))
+    return s.save(both.select("doc", "rdoc", "at", "text", "rtext").mapInArrow(_verify, ", ".join(f"{c} long" for c in _LINK)), "verified"), texts
 
 
 def repeated_spans(docs: DataFrame, s: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,13 +229,13 @@ def repeated_spans(docs: DataFrame, s: Scratch, id_col: str = "doc_id", text_col
                .where("n > 1 or others is not null")
                .select("doc", "pos", "others", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos"))
                .mapInArrow(_star, "doc long, pos long, rdoc long, rpos long"))
-    first = s.save(verified(starred, texts), "verified")
+    first, texts = verified(starred, texts, s)
     # What the first member didn't confirm: once more by the exact words of the paragraph.
     failed = first.where("s is null").join(first.where("s is not null").select("doc", "pos").distinct(), ["doc", "pos"], "left_anti")
     again = (failed.groupBy("window").agg(F.min(F.struct("doc", "pos")).alias("r"), F.count("*").alias("n")).where("n > 1")
              .join(failed.select("window", "doc", "pos").distinct(), "window").where("doc <> r.doc")
              .select("doc", "pos", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos")))
-    second = s.save(verified(again, texts), "verified")
+    second, _ = verified(again, texts, s)
     links = first.union(second).where("s is not null")
     node = lambda d, p: F.xxhash64(d, p)
     comps = components(links.select(node("doc", "pos").alias("u"), node("rdoc", "rpos").alias("v")), s)
@@ -263,9 +267,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     s = Scratch(docs.sparkSession, "substrings")
     spans = s.save(repeated_spans(docs, s, id_col, text_col), "spans")
     columns = docs.columns
-    flat = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)])
     i, t = columns.index(id_col), columns.index(text_col)
-    joined = flat.join(spans.withColumnRenamed("doc_id", "_id"), F.col(f"c{i}").cast("long") == F.col("_id"), "left").drop("_id")
+    flat = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)])
+    maybe = maybe_in(spans, "doc_id")(f"c{i}")
+    joined = flat.where(maybe).join(spans.withColumnRenamed("doc_id", "_id"), F.col(f"c{i}").cast("long") == F.col("_id"), "left").drop("_id")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -284,5 +289,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                   names=[*b.schema.names[:-1], "n_removed_words"])
 
     schema = "".join(f"c{k} {docs.schema[k].dataType.simpleString()}, " for k in range(len(columns)))
-    done = joined.mapInArrow(apply, schema + "n_removed_words long")
+    done = joined.mapInArrow(apply, schema + "n_removed_words long").union(flat.where(~maybe).withColumn("n_removed_words", F.lit(0).cast("long")))
     return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "n_removed_words")
