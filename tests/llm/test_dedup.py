@@ -189,7 +189,7 @@ def test_id_filter_is_exact_after_the_join(spark):
     gone = spark.createDataFrame([(i,) for i in range(0, 50, 5)] + [(None,)], "k long")
     assert sorted(r["k"] or -1 for r in without(rows, gone, "k").collect()) == sorted([-1, 3, 4, *(i for i in range(50) if i % 5)])
     assert rows.where(maybe_in(gone, "k")("k")).where(F.col("k") % 5 == 0).count() == 10
-    assert sorted((r["k"] or -1, r["v"]) for r in one_of_equal(rows, "k").collect()) == sorted([(-1, "x"), (4, "y"), *((i, "x") for i in range(50))])
+    assert sorted((-1 if r["k"] is None else r["k"], r["v"]) for r in one_of_equal(rows, "k").collect()) == sorted([(-1, "x"), (4, "y"), *((i, "x") for i in range(50))])
 
 
 @pytest.mark.parametrize("n", [0, 1])

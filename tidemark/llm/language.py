@@ -11,8 +11,9 @@ Four kinds of evidence are summed as logarithms, one number per language:
 * the host's prior: how often the host's other texts read as L, smoothed towards its
   domain and that towards all texts.
 
-The last three come from grouped counts over all rows. A text is rejected when it reads
-as none of the languages: empty, or far below what its best language's text scores per trigram.
+The last three come from grouped counts over all rows. Only trigrams of letters and spaces are read, so numbers, keys
+and markup in a text say nothing. A text is rejected when it reads as none of the languages: it has no letters, or
+less than ``LEAST_SHARE`` of its trigrams are usual ones in its best language.
 
 Defined results: null or empty text has no likelihood and is rejected, its language being the most
 probable one by the other evidence; a null declaration or address is no evidence; a row without a host has
@@ -39,21 +40,27 @@ TEMPER = 3.0
 HOST_WEIGHT, DOMAIN_WEIGHT = 20.0, 50.0
 SMOOTHING = 0.5
 MAX_LANGUAGES = 32
-#: A text this many nats per trigram below its language's own mean reads as no language.
+#: A trigram this many nats below its language's own mean is an unusual one.
 JUNK_NATS = 3.5
+LEAST_SHARE = 0.3
 LEAST_TRIGRAMS = 30
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Letters (any byte beyond ASCII counts) and white space.
+_TEXT = np.zeros(256, bool)
+_TEXT[97:123] = _TEXT[128:] = _TEXT[32] = _TEXT[9:14] = True
 
 
 def trigrams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every byte trigram that lies in one text, and the texts' bounds among them."""
-    d = _LOWER[data].astype(np.uint32)
+    """Bucket of every byte trigram of letters and spaces that lies in one text, and the texts' bounds among them."""
+    d = _LOWER[data]
+    plain = _TEXT[d]
+    d = d.astype(np.uint32)
     if len(d) < 3:
         return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
     g = ((d[:-2] | d[1:-1] << np.uint32(8) | d[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-    inside = np.ones(len(g), bool)
+    inside = plain[:-2] & plain[1:-1] & plain[2:]
     ends = at[1:-1]
     for back in (1, 2):
         cut = ends[(ends >= back) & (ends - back < len(g))] - back
@@ -97,7 +104,7 @@ def address_parts(address: Column) -> tuple[Column, Column, Column]:
 
 
 def fit(rows: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram log probabilities (bucket x language), and the mean per trigram below which a text reads as no language."""
+    """Trigram log probabilities (bucket x language), and the least one of a usual trigram per language."""
     number = F.coalesce(*(F.when(F.col("declared") == name, F.lit(k)) for k, name in enumerate(languages)))
     got = (rows.select(number.cast("int").alias("k"), "text").where("k is not null").mapInArrow(_count, "k int, g int, c double")
            .groupBy("k", "g").agg(F.sum("c").alias("c")).toArrow())  # at most languages x buckets rows
@@ -106,25 +113,27 @@ def fit(rows: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     p = c / c.sum(0)
     seen = np.where(c > SMOOTHING, p, 0)
     mean = (seen * np.log(p)).sum(0) / np.maximum(seen.sum(0), 1e-12)
-    # Not below the middle between a language's own mean and trigrams that it never showed.
+    # A usual one isn't below the middle between a language's own mean and trigrams that it never showed.
     return np.log(p).astype(np.float32), np.maximum(mean - JUNK_NATS, (mean + np.log(p).min(0)) / 2)
 
 
 def _likelihoods(held, languages: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p = held.value
+        log_p, least = held.value
         for b in batches:
             data, at = raw(b.column(b.num_columns - 1))
             for i, j in slices(at):
                 g, bound = trigrams(data[at[i]:at[j]], at[i:j + 1] - at[i])
                 n = np.diff(bound)
-                out = np.zeros((j - i, languages))
+                out, usual = np.zeros((j - i, languages)), np.zeros(j - i, np.int64)
                 some = np.flatnonzero(n)
                 if len(some):
-                    out[some] = np.add.reduceat(log_p[g], bound[:-1][some], dtype=np.float64)
-                yield pa.record_batch([*(b.column(c).slice(i, j - i) for c in range(b.num_columns - 1)), pa.array(n.astype(np.int64)),
+                    each, cut = log_p[g], bound[:-1][some]
+                    out[some] = np.add.reduceat(each, cut, dtype=np.float64)
+                    usual[some] = np.add.reduceat(each >= least, cut, dtype=np.int64)[np.arange(len(some)), out[some].argmax(1)]
+                yield pa.record_batch([*(b.column(c).slice(i, j - i) for c in range(b.num_columns - 1)), pa.array(n.astype(np.int64)), pa.array(usual),
                                        *(pa.array(out[:, k]) for k in range(languages))],
-                                      names=[*b.schema.names[:-1], "n", *(f"t{k}" for k in range(languages))])
+                                      names=[*b.schema.names[:-1], "n", "usual", *(f"t{k}" for k in range(languages))])
     return score
 
 
@@ -144,15 +153,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     floor = 0.002 * sum(r["count"] for r in found)
     languages = sorted(r["declared"] for r in found if r["count"] >= floor) or ["und"]
     k = len(languages)
-    log_p, least_mean = fit(sampled, languages)
-    held = spark.sparkContext.broadcast(log_p)
+    log_p, least = fit(sampled, languages)
+    held = spark.sparkContext.broadcast((log_p, least.astype(np.float32)))
 
     base = ["doc_id", "declared", "host", "domain", "suffix"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in base) + ", n long, " + ", ".join(f"t{i} double" for i in range(k))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in base) + ", n long, usual long, " + ", ".join(f"t{i} double" for i in range(k))
     scored = rows.select(*base, "text").mapInArrow(_likelihoods(held, k), schema)
     texts = F.array(*(F.col(f"t{i}") for i in range(k)))
-    scored = s.save(scored.select(*base, "n", texts.alias("t"), F.when(F.col("n") > 0, F.array_position(texts, F.array_max(texts)).cast("int") - 1).alias("best")), "scored")
+    scored = s.save(scored.select(*base, "n", "usual", texts.alias("t"), F.when(F.col("n") > 0, F.array_position(texts, F.array_max(texts)).cast("int") - 1).alias("best")), "scored")
 
     # Grouped counts of what texts read as, over all rows: by host, domain, declaration and suffix.
     ones = [F.sum((F.col("best") == i).cast("double")).alias(f"c{i}") for i in range(k)]
@@ -183,7 +192,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     names = F.array(*[F.lit(x) for x in languages])
     at = (F.array_position("_f", F.col("_top")) - 1).cast("int")
     mean = F.get(F.col("t"), F.col("best")) / F.col("n")
-    reads = F.coalesce((F.col("n") < LEAST_TRIGRAMS) | (mean >= F.get(F.array(*[F.lit(float(m)) for m in least_mean]), F.col("best"))), F.lit(False))
+    reads = (F.col("n") > 0) & ((F.col("n") < LEAST_TRIGRAMS) | (F.col("usual") >= LEAST_SHARE * F.col("n")))
     return out.select("doc_id", F.get(names, at).alias("language"),
                       (1 / add(F.transform("_f", lambda x: F.exp(x - F.col("_top"))))).alias("probability"),
                       F.get(names, F.col("best")).alias("text_language"), "declared", mean.alias("mean_nats"), reads.alias("kept"))
