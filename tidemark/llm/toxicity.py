@@ -66,7 +66,7 @@ class Distance:
     def __init__(self, ordinary: bytes, toxic: bytes):
         import zstandard as z
 
-        shape = z.ZstdCompressionParameters(window_log=18, hash_log=17, chain_log=17, search_log=6, min_match=5, target_length=32, strategy=z.STRATEGY_LAZY2,
+        shape = z.ZstdCompressionParameters(window_log=18, hash_log=17, chain_log=17, search_log=6, min_match=5, target_length=32, strategy=z.STRATEGY_BTLAZY2,
                                             write_content_size=False, write_checksum=False, write_dict_id=False)
         kind = lambda data: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=shape)
         self.plain, self.toxic = kind(ordinary), kind(toxic + ordinary)
