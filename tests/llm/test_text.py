@@ -136,6 +136,25 @@ def test_language_evidence_and_edge_cases(spark):
     assert language.identify(spark.createDataFrame([], EXTRA)).count() == 0
 
 
+def test_rare_and_undeclared_languages_are_kept(spark):
+    rng = random.Random(4)
+    en, el = "the of and to in that with this from".split(), "και το να του της με για που δεν από είναι στην".split()
+    say = lambda words, n=60: " ".join(rng.choice(words) for _ in range(n))
+    tags = [f"{a}{b}" for a in "jq" for b in "abcdefghijklmnopqrst"]
+    own = {t: ["".join(rng.choice("bcdfghklmnprstv") + rng.choice("aeiou") for _ in range(3)) + t for _ in range(12)] for t in tags}
+    rows = [(i, say(en), "en", "http://a.example.com/x", "x", 1) for i in range(3000)]
+    rows += [(4000 + i, say(el), "el", None, "x", 1) for i in range(3)]
+    rows += [(5000 + 10 * k + i, say(own[t]), t, None, "x", 1) for k, t in enumerate(tags) for i in range(8)]
+    rows += [(6000, say("и в не на что как это его она они был было для".split()), None, None, "x", 1),
+             (6001, "".join(rng.choices([chr(0x4E00 + 7 * i) for i in range(600)], [1 / (i + 1) for i in range(600)], k=300)), None, None, "x", 1),
+             (6002, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300)), None, None, "x", 1)]
+    by = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(rows, EXTRA)).collect()}
+    assert all(by[r[0]]["kept"] and by[r[0]]["language"] == r[2] for r in rows if r[0] < 6000)
+    assert all(by[k]["kept"] and by[k]["language"] == "und" and by[k]["text_language"] is None for k in (6000, 6001)) and not by[6002]["kept"]
+    nobody = language.identify(spark.createDataFrame([(r[0], r[1], None, None, "x", 1) for r in rows[:200]], EXTRA)).collect()
+    assert all(r["kept"] and r["language"] == "und" for r in nobody)
+
+
 # Scoring
 
 def test_lattice_sums_all_segmentations_and_expectations():

@@ -2,9 +2,9 @@
 
 Four kinds of evidence are summed as logarithms, one number per language:
 
-* the text's likelihood under byte trigram models, tempered as trigrams overlap. The models
-  are fitted on a hash sample of about ``SAMPLE`` labelled rows, the label being
-  the declared language;
+* the text's likelihood under byte trigram models, tempered as trigrams overlap. Every declared
+  language has a model, fitted on a hash sample of at most about ``SAMPLE`` of its rows (all of them where there are
+  fewer); without any declaration one model ('und') is fitted on all rows alike;
 * the declared language (a column, or the markup's lang attribute), by how often
   texts that read as L declare d;
 * the suffix of the address, the same way;
@@ -13,10 +13,11 @@ Four kinds of evidence are summed as logarithms, one number per language:
 
 The last three come from grouped counts over all rows. Only trigrams of letters and spaces are read, so numbers, keys
 and markup in a text say nothing. A text is rejected when it reads as none of the languages: it has no letters, or
-less than ``LEAST_SHARE`` of its trigrams are usual ones in its best language.
+less than ``LEAST_SHARE`` of its trigrams are usual ones in its best language. A text in letters beyond ASCII isn't
+rejected for that if its letters repeat as those of languages do: its language is one that nobody declares, 'und'.
 
 Defined results: null or empty text has no likelihood and is rejected, its language being the most
-probable one by the other evidence; a null declaration or address is no evidence; a row without a host has
+probable one by the other evidence; a text of an undeclared language has no probability and no text_language; a null declaration or address is no evidence; a row without a host has
 the global prior; every input row gives one row, also when ids repeat; an empty
 table gives an empty result. Only the named columns are read.
 """
@@ -24,6 +25,8 @@ table gives an empty result. Only the named columns are read.
 from __future__ import annotations
 
 import math
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +42,13 @@ BITS = 16
 TEMPER = 3.0
 HOST_WEIGHT, DOMAIN_WEIGHT = 20.0, 50.0
 SMOOTHING = 0.5
-MAX_LANGUAGES = 32
 #: A trigram this many nats below its language's own mean is an unusual one.
 JUNK_NATS = 3.5
 LEAST_SHARE = 0.3
 LEAST_TRIGRAMS = 30
+#: Chance that two letters of a text are equal: about 0.005 in Chinese, 0.02 in Korean, 0.04 to 0.1 in alphabets, 1e-4 in random Han.
+COINCIDENCE = (0.002, 0.2)
+LEAST_LETTERS = 45
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -103,18 +108,36 @@ def address_parts(address: Column) -> tuple[Column, Column, Column]:
     return host, F.array_join(F.slice(label, F.greatest(F.lit(1), F.size(label) - 1), 2), "."), F.when(F.size(label) > 1, F.element_at(label, -1))
 
 
+def undeclared_language(text: bytes) -> bool:
+    """Whether a text that no model knows is language all the same: mostly letters beyond ASCII that repeat as a language's do."""
+    count = Counter(text.decode(errors="replace").lower())
+    plain = sum(n for c, n in count.items() if "a" <= c <= "z")
+    other = [n for c, n in count.items() if ord(c) > 127 and unicodedata.category(c)[0] in "LM"]
+    total = sum(other)
+    if total <= plain or total < LEAST_LETTERS:  # too few letters say nothing against it
+        return total > plain
+    return COINCIDENCE[0] <= sum(n * (n - 1) for n in other) / (total * (total - 1)) <= COINCIDENCE[1]
+
+
+def number_of(languages: list[str]) -> Column:
+    """The declared language's place in ``languages``, null if it isn't there."""
+    return F.nullif(F.array_position(F.array(*map(F.lit, languages)), F.col("declared")), F.lit(0)).cast("int") - 1
+
+
 def fit(rows: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram log probabilities (bucket x language), and the least one of a usual trigram per language."""
-    number = F.coalesce(*(F.when(F.col("declared") == name, F.lit(k)) for k, name in enumerate(languages)))
-    got = (rows.select(number.cast("int").alias("k"), "text").where("k is not null").mapInArrow(_count, "k int, g int, c double")
+    """Trigram log probabilities (language x bucket), and the least one of a usual trigram per language."""
+    got = (rows.select(number_of(languages).alias("k"), "text").where("k is not null").mapInArrow(_count, "k int, g int, c double")
            .groupBy("k", "g").agg(F.sum("c").alias("c")).toArrow())  # at most languages x buckets rows
-    c = np.full((1 << BITS, len(languages)), SMOOTHING)
-    c[got["g"].to_numpy(), got["k"].to_numpy()] += got["c"].to_numpy()
-    p = c / c.sum(0)
-    seen = np.where(c > SMOOTHING, p, 0)
-    mean = (seen * np.log(p)).sum(0) / np.maximum(seen.sum(0), 1e-12)
-    # A usual one isn't below the middle between a language's own mean and trigrams that it never showed.
-    return np.log(p).astype(np.float32), np.maximum(mean - JUNK_NATS, (mean + np.log(p).min(0)) / 2)
+    c = np.full((len(languages), 1 << BITS), SMOOTHING)
+    c[got["k"].to_numpy(), got["g"].to_numpy()] += got["c"].to_numpy()
+    log_p, least = np.empty(c.shape, np.float32), np.empty(len(languages))
+    for k in range(len(languages)):
+        p = c[k] / c[k].sum()
+        seen = np.where(c[k] > SMOOTHING, p, 0)
+        mean = (seen * np.log(p)).sum() / max(seen.sum(), 1e-12)
+        # A usual one isn't below the middle between a language's own mean and trigrams that it never showed.
+        log_p[k], least[k] = np.log(p), max(mean - JUNK_NATS, (mean + np.log(p).min()) / 2)
+    return log_p, least
 
 
 def _likelihoods(held, languages: int):
@@ -128,12 +151,19 @@ def _likelihoods(held, languages: int):
                 out, usual = np.zeros((j - i, languages)), np.zeros(j - i, np.int64)
                 some = np.flatnonzero(n)
                 if len(some):
-                    each, cut = log_p[g], bound[:-1][some]
-                    out[some] = np.add.reduceat(each, cut, dtype=np.float64)
-                    usual[some] = np.add.reduceat(each >= least, cut, dtype=np.int64)[np.arange(len(some)), out[some].argmax(1)]
-                yield pa.record_batch([*(b.column(c).slice(i, j - i) for c in range(b.num_columns - 1)), pa.array(n.astype(np.int64)), pa.array(usual),
-                                       *(pa.array(out[:, k]) for k in range(languages))],
-                                      names=[*b.schema.names[:-1], "n", "usual", *(f"t{k}" for k in range(languages))])
+                    cut, most = bound[:-1][some], np.full(len(some), -np.inf)
+                    for k in range(languages):  # one language at a time, so that memory doesn't grow with their number
+                        each = log_p[k][g]
+                        total = np.add.reduceat(each, cut, dtype=np.float64)
+                        better = total > most
+                        out[some, k] = total
+                        if better.any():
+                            most[better] = total[better]
+                            usual[some[better]] = np.add.reduceat(each >= least[k], cut, dtype=np.int64)[better]
+                strange = [bool(n[t] >= LEAST_TRIGRAMS and usual[t] < LEAST_SHARE * n[t] and undeclared_language(data[at[i + t]:at[i + t + 1]].tobytes())) for t in range(j - i)]
+                yield pa.record_batch([*(b.column(c).slice(i, j - i) for c in range(b.num_columns - 1)), pa.array(n.astype(np.int64)), pa.array(usual), pa.array(strange, pa.bool_()),
+                                       pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * languages, pa.int32()), pa.array(out.ravel()))],
+                                      names=[*b.schema.names[:-1], "n", "usual", "strange", "t"])
     return score
 
 
@@ -147,21 +177,23 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     rows = docs.select(F.col(id_col).alias("doc_id"), primary(column(declared_col)).alias("declared"), host.alias("host"),
                        domain.alias("domain"), suffix.alias("suffix"), F.col(text_col).cast("string").alias("text"))
 
-    step = max(1, math.ceil(rows.where("text is not null").count() / sample))
-    sampled = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(step)) == 0)
-    found = sampled.where("declared is not null").groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
-    floor = 0.002 * sum(r["count"] for r in found)
-    languages = sorted(r["declared"] for r in found if r["count"] >= floor) or ["und"]
+    # Every declared language gets a model; the rows it is fitted on are drawn language by language.
+    found = {r["declared"]: r["count"] for r in rows.where("text is not null and declared is not null").groupBy("declared").count().collect()}
+    languages = sorted(found) or ["und"]
+    labelled = rows if found else rows.withColumn("declared", F.lit("und"))
+    sizes = [found[x] for x in languages] if found else [rows.where("text is not null").count()]
+    steps = F.array(*(F.lit(max(1, math.ceil(n / sample))).cast("long") for n in sizes))
+    sampled = labelled.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.get(steps, number_of(languages))) == 0)
     k = len(languages)
     log_p, least = fit(sampled, languages)
     held = spark.sparkContext.broadcast((log_p, least.astype(np.float32)))
 
     base = ["doc_id", "declared", "host", "domain", "suffix"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in base) + ", n long, usual long, " + ", ".join(f"t{i} double" for i in range(k))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in base) + ", n long, usual long, strange boolean, t array<double>"
     scored = rows.select(*base, "text").mapInArrow(_likelihoods(held, k), schema)
-    texts = F.array(*(F.col(f"t{i}") for i in range(k)))
-    scored = s.save(scored.select(*base, "n", "usual", texts.alias("t"), F.when(F.col("n") > 0, F.array_position(texts, F.array_max(texts)).cast("int") - 1).alias("best")), "scored")
+    best = F.when((F.col("n") > 0) & ~F.col("strange"), F.array_position("t", F.array_max("t")).cast("int") - 1)
+    scored = s.save(scored.withColumn("best", best), "scored")
 
     # Grouped counts of what texts read as, over all rows: by host, domain, declaration and suffix.
     ones = [F.sum((F.col("best") == i).cast("double")).alias(f"c{i}") for i in range(k)]
@@ -192,7 +224,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     names = F.array(*[F.lit(x) for x in languages])
     at = (F.array_position("_f", F.col("_top")) - 1).cast("int")
     mean = F.get(F.col("t"), F.col("best")) / F.col("n")
-    reads = (F.col("n") > 0) & ((F.col("n") < LEAST_TRIGRAMS) | (F.col("usual") >= LEAST_SHARE * F.col("n")))
-    return out.select("doc_id", F.get(names, at).alias("language"),
-                      (1 / add(F.transform("_f", lambda x: F.exp(x - F.col("_top"))))).alias("probability"),
+    reads = (F.col("n") > 0) & (F.col("strange") | (F.col("n") < LEAST_TRIGRAMS) | (F.col("usual") >= LEAST_SHARE * F.col("n")))
+    known = ~F.col("strange")
+    return out.select("doc_id", F.when(known, F.get(names, at)).otherwise("und").alias("language"),
+                      F.when(known, 1 / add(F.transform("_f", lambda x: F.exp(x - F.col("_top"))))).alias("probability"),
                       F.get(names, F.col("best")).alias("text_language"), "declared", mean.alias("mean_nats"), reads.alias("kept"))
