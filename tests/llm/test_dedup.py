@@ -124,6 +124,22 @@ def test_small_edits_within_a_passage_are_bridged(spark):
     assert got == {1: 0, 2: 120}
 
 
+def test_a_cut_passage_stays_in_one_document(spark):
+    """Document 1 of each group holds an excerpt with an edit of the passage that 2 and 3 hold in full; so bands differ in who is first."""
+    rng = random.Random(8)
+    rows, passages = [], []
+    for g in range(12):
+        words = text_of(rng, 200).split()
+        part = words[70:130]
+        part[30] = "changed"
+        passages.append(words)
+        rows += [(10 * g + k, f"{text_of(rng, 40)} {' '.join(x)} {text_of(rng, 40)}") for k, x in ((1, part), (2, words), (3, words))]
+    got = [f" {r['text']} " for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    for words in passages:
+        for k in [*range(0, 65, 5), *range(135, 195, 5)]:
+            assert sum(f" {' '.join(words[k:k + 5])} " in t for t in got) == 1
+
+
 def test_substring_edge_cases(spark):
     rng = random.Random(7)
     long_text, inside = text_of(rng, 30_000), text_of(rng, 70)

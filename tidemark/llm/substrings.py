@@ -1,4 +1,4 @@
-"""Substring deduplication: paragraphs found by MinHash banding, verified on the words, cut by component.
+"""Substring deduplication: paragraphs found by MinHash banding, verified on the words, cut link by link.
 
 A passage may sit anywhere in a line, so paragraphs are cut by content: every word pair
 whose hash is the least within ``RADIUS`` words is an anchor, and the ``WIDTH`` words
@@ -12,8 +12,9 @@ around it are a paragraph. Two texts that share a passage share its anchors.
    words, bridging small edits. Stretches of ``MIN_WORDS`` words or more that agree
    in 75 % of their words are links. Members that the first one doesn't confirm are paired once
    more among themselves by the exact words of their paragraph.
-3. Links between paragraphs are unioned to components. In each component the paragraph of
-   the smallest document id stays; the stretches of all others are removed.
+3. Every link points to a document with a smaller id, and its stretch goes from the larger one only. So a word
+   goes only where a smaller document has it, and the smallest that has it keeps it; only the few words by which a bridged
+   edit differs go without being held elsewhere.
 
 Defined results: null text stays null, an empty or short text stays as it is; rows with a
 null id are kept as they are; repeated rows with the same id are one document, and all
@@ -32,7 +33,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
 from .ids import maybe_in
 from .scratch import Scratch
 from .words import SHINGLE, Words, mix, word_slices
@@ -237,14 +237,7 @@ def repeated_spans(docs: DataFrame, s: Scratch, id_col: str = "doc_id", text_col
              .select("doc", "pos", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos")))
     second, _ = verified(again, texts, s)
     links = first.union(second).where("s is not null")
-    node = lambda d, p: F.xxhash64(d, p)
-    comps = components(links.select(node("doc", "pos").alias("u"), node("rdoc", "rpos").alias("v")), s)
-    nodes = links.select("doc", "pos", "s", "e").union(links.select("rdoc", "rpos", "rs", "re"))
-    nodes = (nodes.groupBy("doc", "pos").agg(F.collect_set(F.struct("s", "e")).alias("spans")).withColumn("node", node("doc", "pos"))
-             .join(comps, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    keeps = nodes.groupBy("component").agg(F.min("doc").alias("keeper"))
-    return (nodes.join(keeps, "component").where("doc <> keeper").select(F.col("doc").alias("doc_id"), F.explode("spans").alias("x"))
-            .groupBy("doc_id").agg(F.sort_array(F.collect_set("x")).alias("spans")))
+    return links.select(F.col("doc").alias("doc_id"), F.struct("s", "e").alias("x")).groupBy("doc_id").agg(F.sort_array(F.collect_set("x")).alias("spans"))
 
 
 def cut(text: str | None, spans: list[tuple[int, int]], w: Words, k: int) -> tuple[str | None, int]:
