@@ -140,6 +140,29 @@ def test_a_cut_passage_stays_in_one_document(spark):
             assert sum(f" {' '.join(words[k:k + 5])} " in t for t in got) == 1
 
 
+def test_passages_around_a_frequent_line_are_found(spark):
+    """The line of 40 words is in eight documents of each group, six words more on each side in two that aren't first."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(40):
+        line, left, right = (text_of(rng, n) for n in (40, 6, 6))
+        rows += [(100 * g + k, f"{text_of(rng, 40)} {f'{left} {line} {right}' if k in (6, 8) else line} {text_of(rng, 40)}") for k in range(1, 9)]
+    got = {r["doc_id"]: r["n_removed_words"] for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: n for i, n in got.items() if n} == {100 * g + 8: 52 for g in range(40)}
+
+
+def test_edited_copies_behind_a_shorter_excerpt_are_found(spark):
+    rng = random.Random(10)
+    rows = []
+    for g in range(40):
+        words = text_of(rng, 60).split()
+        edited = [*words[:30], "changed", *words[31:]]
+        rows += [(10 * g + k, f"{text_of(rng, 40)} {' '.join(x)} {text_of(rng, 40)}") for k, x in ((1, words[10:50]), (2, words), (3, edited))]
+    found = lambda rows: {r["doc_id"] for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["n_removed_words"]}
+    alone = found([r for r in rows if r[0] % 10 > 1])
+    assert len(alone) >= 28 and found(rows) >= alone
+
+
 def test_substring_edge_cases(spark):
     rng = random.Random(7)
     long_text, inside = text_of(rng, 30_000), text_of(rng, 70)

@@ -10,8 +10,11 @@ around it are a paragraph. Two texts that share a passage share its anchors.
 2. Per key, all members are paired with the first one (a star). Both texts are joined to
    the pairs, and the common stretch is followed from each pair to both sides along equal
    words, bridging small edits. Stretches of ``MIN_WORDS`` words or more that agree
-   in 75 % of their words are links. Members that the first one doesn't confirm are paired once
-   more among themselves by the exact words of their paragraph.
+   in 75 % of their words are links. Where the first one doesn't confirm all members, the members share
+   less with it than they may share with each other. Their ``MIN_WORDS``-word windows around the paragraph, but those
+   within a stretch found, are compared by all their words, which finds every exact repeat, and by their first and last
+   words, which finds copies with edits between them. A line of less than ``MIN_WORDS`` words is in no such window alone,
+   so a frequent one makes no pairs.
 3. Every link points to a document with a smaller id, and its stretch goes from the larger one only. So a word
    goes only where a smaller document has it, and the smallest that has it keeps it; only the few words by which a bridged
    edit differs go without being held elsewhere.
@@ -47,6 +50,7 @@ _rng = np.random.default_rng(4_242)
 _PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _SEED = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
 _KEY = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)
+_BASE = 0xD1342543DE82EF95
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -171,7 +175,7 @@ def _hashes(texts: pa.Array) -> list[np.ndarray]:
     return [w.text(k).copy() for i, j, w in word_slices(texts) for k in range(j - i)]
 
 
-_LINK = ["doc", "pos", "s", "e", "rdoc", "rpos", "rs", "re", "window"]
+_LINK = ["doc", "pos", "s", "e", "rdoc", "rpos"]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,18 +192,82 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc, rdoc, at, a in zip(docs, rdocs, part.column(2).to_pylist(), _hashes(part.column(3)), strict=True):
                 seeds = np.frombuffer(at, "<i8").reshape(-1, 2)
                 found: dict[int, tuple] = {}
-                for s, e, rs, re, ks in stretches(a, held[rdoc], seeds):
-                    found.update((k, (s, e, rs, re)) for k in ks)
-                for k, (p, q) in enumerate(seeds.tolist()):
-                    s, e, rs, re = found.get(k, (None, None, None, None))
-                    window = 0
-                    if s is None:
-                        x = a[max(0, p - WIDTH // 2):p + WIDTH - WIDTH // 2]
-                        window = int(mix(x ^ mix(np.arange(len(x), dtype=np.uint64))).sum(dtype=np.uint64).astype(np.int64))
-                    rows.append((doc, p, s, e, rdoc, q, rs, re, window))
+                for s, e, _, _, ks in stretches(a, held[rdoc], seeds):
+                    found.update((k, (s, e)) for k in ks)
+                rows += [(doc, p, *found.get(k, (None, None)), rdoc, q) for k, (p, q) in enumerate(seeds.tolist())]
             while len(held) > 64:
                 held.popitem(last=False)
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 9)], names=_LINK)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(_LINK))], names=_LINK)
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from every place on."""
+    if len(h) < size:
+        return np.zeros(0, np.uint64)
+    up, down = (np.multiply.accumulate(np.append(np.uint64(1), np.full(len(h) - 1, b, np.uint64))) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+    total = np.append(np.uint64(0), np.cumsum(h * up, dtype=np.uint64))
+    return mix((total[size:] - total[:-size]) * down[:len(h) - size + 1])
+
+
+def _lists(values: np.ndarray, held: np.ndarray) -> pa.Array:
+    """The values that are held, as one list a row."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held.sum(1))), pa.int32()), pa.array(values[held].view(np.int64)))
+
+
+_WINDOWS = "doc long, before long, after long, start array<long>, exact array<long>, ends array<long>"
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, at, spans, text -> the keys of the windows around each paragraph that lie in none of the spans.
+
+    ``before`` and ``after`` are keys of the paragraph with half of a window's other words on one side: equal windows have one of them equal.
+    """
+    spare, back, ahead = MIN_WORDS - WIDTH, WIDTH // 2, WIDTH - WIDTH // 2
+    half = (spare + 1) // 2
+    for b in batches:
+        docs, ats, spans = (b.column(c).to_pylist() for c in range(3))
+        for i, j, w in word_slices(b.column(3)):
+            for k in range(i, j):
+                h, at = w.text(k - i), np.array(ats[k], np.int64)
+                n = len(h)
+                if n < MIN_WORDS:
+                    continue
+                first = at[:, None] - back - np.arange(spare + 1)
+                held = (first >= 0) & (first + MIN_WORDS <= n)
+                for x in spans[k]:
+                    held &= (first < x["s"]) | (first + MIN_WORDS > x["e"])
+                some = held.any(1)
+                if not some.any():
+                    continue
+                at, first, held = at[some], np.clip(first[some], 0, n - MIN_WORDS), held[some]
+                whole, part, five = window_hashes(h, MIN_WORDS), window_hashes(h, WIDTH + half), window_hashes(h, SHINGLE)
+                ends = mix(five[first] + five[first + MIN_WORDS - SHINGLE] * _PAIR)
+                sides = []
+                for lo in (at - back - half, at - back):
+                    ok = (lo >= 0) & (lo < len(part))
+                    sides.append(pa.array(part[np.clip(lo, 0, len(part) - 1)].view(np.int64), mask=~ok))
+                yield pa.record_batch([pa.array(np.full(len(at), docs[k], np.int64)), *sides, _lists(first, held), _lists(whole[first], held), _lists(ends, held)],
+                                      names=["doc", "before", "after", "start", "exact", "ends"])
+
+
+def among_members(first: DataFrame, texts: DataFrame, s: Scratch) -> DataFrame:
+    """Seeds (doc, pos, rdoc, rpos) between members of the keys whose first member didn't confirm all of them."""
+    head = first.withColumn("r", F.xxhash64("rdoc", "rpos"))
+    mixed = maybe_in(head.where("s is null").select("r"), "r")
+    members = s.save(head.where(mixed("r")).groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("at"),
+                                                               F.collect_set(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("spans")), "members")
+    texts = texts.where(maybe_in(members.select("doc"), "doc")("doc_id")).select(F.col("doc_id").alias("doc"), "text")
+    windows = s.save(members.join(texts.hint("merge"), "doc").select("doc", "at", "spans", "text").mapInArrow(_windows, _WINDOWS), "windows")
+    several = lambda keys: maybe_in(keys.groupBy("x").count().where("count > 1").select("x"), "x")
+    side = several(windows.select(F.explode(F.array("before", "after")).alias("x")).where("x is not null"))
+    keyed = lambda rows, key: rows.select("doc", F.explode(F.arrays_zip("start", F.col(key).alias("x"))).alias("w")).select("doc", F.col("w.start").alias("pos"), "w.x")
+    keys = keyed(windows.where(side("before") | side("after")), "exact").union(keyed(windows, "ends"))
+    keys = s.save(keys.where(several(keys.select("x"))("x")).distinct(), "keys")
+    heads = keys.groupBy("x").agg(F.min(F.struct("doc", "pos")).alias("r"), F.max("doc").alias("last")).where("last <> r.doc")
+    pairs = heads.join(keys, "x").where("doc <> r.doc").select("doc", "pos", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos")).distinct()
+    # A stretch is followed from a seed up to an edit, so there are seeds on either side of one.
+    step = F.explode(F.array(*(F.lit(x).cast("long") for x in range(0, MIN_WORDS, SHINGLE)))).alias("x")
+    return pairs.select("doc", "pos", "rdoc", "rpos", step).select("doc", (F.col("pos") + F.col("x")).alias("pos"), "rdoc", (F.col("rpos") + F.col("x")).alias("rpos"))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +277,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(seeds: DataFrame, texts: DataFrame, s: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Seeds (doc, pos, rdoc, rpos) with their stretches in both texts, or nulls and the paragraph's exact key; and the texts used."""
+    """Seeds (doc, pos, rdoc, rpos) with their stretches, or nulls; and the texts used."""
     pairs = (seeds.groupBy("doc", "rdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "rpos"))).alias("at"))
              .mapInArrow(_pack, "doc long, rdoc long, at binary"))
     pairs = s.save(pairs, "pairs")
@@ -230,12 +298,7 @@ def repeated_spans(docs: DataFrame, s: Scratch, id_col: str = "doc_id", text_col
                .select("doc", "pos", "others", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos"))
                .mapInArrow(_star, "doc long, pos long, rdoc long, rpos long"))
     first, texts = verified(starred, texts, s)
-    # What the first member didn't confirm: once more by the exact words of the paragraph.
-    failed = first.where("s is null").join(first.where("s is not null").select("doc", "pos").distinct(), ["doc", "pos"], "left_anti")
-    again = (failed.groupBy("window").agg(F.min(F.struct("doc", "pos")).alias("r"), F.count("*").alias("n")).where("n > 1")
-             .join(failed.select("window", "doc", "pos").distinct(), "window").where("doc <> r.doc")
-             .select("doc", "pos", F.col("r.doc").alias("rdoc"), F.col("r.pos").alias("rpos")))
-    second, _ = verified(again, texts, s)
+    second, _ = verified(among_members(first, texts, s), texts, s)
     links = first.union(second).where("s is not null")
     return links.select(F.col("doc").alias("doc_id"), F.struct("s", "e").alias("x")).groupBy("doc_id").agg(F.sort_array(F.collect_set("x")).alias("spans"))
 
