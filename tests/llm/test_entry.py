@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_one_query_for_each_operator_and_the_pipeline():
     from __spark_entry__ import oracle_sql, queries
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql()) and set(ORACLES) <= set(QUERIES)
 
 
