@@ -36,9 +36,9 @@ def test_a_branch_of_a_branch_and_writes_after_a_merge(spark):
     more = branches.write_ref(spark.createDataFrame([(3, "c", "new", 1, 9, 4)], "k long, op string, status string, ts_ms long, pos long, batch_id long"), "deep")
     deep = {r.k: r.status for r in branches.read_ref(log.unionByName(more), refs, "deep", "k").collect()}
     assert deep == {1: "platinum", 2: "silver", 3: "new", 999: "gold"}
-    merged = branches.merge_log(log, refs, "ds", "main", "k", 50, fork_commit=1)
+    merged, refs = branches.merge_branch(log, refs, "ds", "main", "k", 50)
     late = branches.write_ref(spark.createDataFrame([(1, "u", "after", 5, 10, 51)], "k long, op string, status string, ts_ms long, pos long, batch_id long"), "main")
-    state = branches.read_ref(merged.unionByName(late, allowMissingColumns=True), refs, "main", "k", merges=[50])
+    state = branches.read_ref(merged.unionByName(late, allowMissingColumns=True), refs, "main", "k")
     assert {r.k: r.status for r in state.collect()} == {1: "after", 2: "gold", 999: "gold"}
     with pytest.raises(ValueError, match="no branch"):
         branches.ancestors(refs, "absent")
@@ -78,16 +78,15 @@ def test_branch_write_outranks_base_regardless_of_event_time(spark):
 
 def test_merge_and_conflicts(spark):
     log, refs = _branch_setup(spark)
-    assert [r.k for r in branches.conflicts(log, refs, "ds", "main", "k", 1).collect()] == []
-    merged = {r.k: r.status for r in branches.merge_branch(log, refs, "ds", "main", "k", 99, fork_commit=1).collect()}
+    assert [r.k for r in branches.conflicts(log, refs, "ds", "main", "k").collect()] == []
+    merged = _main_after(log, refs, "ds")
     assert merged == {1: "platinum", 2: "gold", 999: "gold"}
     # Now a conflicting write on main to key 1 after the fork.
     log2 = log.unionByName(spark.createDataFrame([(1, "u", "silver", 13, 6, 3, "main")], LOG))
-    assert [r.k for r in branches.conflicts(log2, refs, "ds", "main", "k", 1).collect()] == [1]
+    assert [r.k for r in branches.conflicts(log2, refs, "ds", "main", "k").collect()] == [1]
     with pytest.raises(ValueError):
-        branches.merge_branch(log2, refs, "ds", "main", "k", 99, fork_commit=1, policy="fail")
-    tw = {r.k: r.status for r in
-          branches.merge_branch(log2, refs, "ds", "main", "k", 99, fork_commit=1, policy="target_wins").collect()}
+        branches.merge_branch(log2, refs, "ds", "main", "k", 99, policy="fail")
+    tw = _main_after(log2, refs, "ds", policy="target_wins")
     assert tw[1] == "silver" and tw[999] == "gold"
 
 
@@ -95,10 +94,85 @@ def test_merge_of_unchanged_branch_is_noop(spark):
     log, refs = _branch_setup(spark)
     refs2 = branches.create_branch(refs, "empty", "main", 3)
     main = sorted(map(tuple, branches.read_ref(log, refs2, "main", "k").collect()))
-    after = sorted(map(tuple, branches.merge_branch(log, refs2, "empty", "main", "k", 99, fork_commit=3).collect()))
+    after = sorted(map(tuple, branches.read_ref(*branches.merge_branch(log, refs2, "empty", "main", "k", 99), "main", "k").collect()))
     assert main == after
 
 
+WRITE = "k long, op string, status string, ts_ms long, pos long, batch_id long"
+
+
+def _main_after(log, refs, source, commit=99, **how):
+    return {r.k: r.status for r in branches.read_ref(*branches.merge_branch(log, refs, source, "main", "k", commit, **how), "main", "k").collect()}
+
+
+def _written(spark, log, ref, *rows):
+    return log.unionByName(branches.write_ref(spark.createDataFrame(list(rows), WRITE), ref), allowMissingColumns=True)
+
+
+def _keys_on(log, refs, name):
+    return {r.k: r.status for r in branches.read_ref(log, refs, name, "k").collect()}
+
+
+def test_a_nested_branch_brings_its_parents_changes(spark):
+    log = spark.createDataFrame([(1, "c", "main", 1, 1, 1, "main")], LOG)
+    refs = branches.create_branch(branches.new_refs(spark), "trial", "main", 1)
+    log = _written(spark, log, "trial", (2, "c", "trial", 2, 2, 2))
+    refs = branches.create_branch(refs, "nested", "trial", 2)
+    log = _written(spark, log, "nested", (3, "c", "nested", 3, 3, 3))
+    log = _written(spark, log, "trial", (4, "c", "after the fork", 4, 4, 4))
+    assert _main_after(log, refs, "nested") == {1: "main", 2: "trial", 3: "nested"}
+    assert branches.merge_base(refs, "nested", "main") == {"main": 1}
+    assert branches.merge_base(refs, "nested", "trial") == {"main": 1, "trial": 2}
+    # The trial afterwards brings only what main hasn't got, and a second time nothing.
+    log, refs = branches.merge_branch(log, refs, "nested", "main", "k", 10)
+    assert sorted(r.k for r in branches.changed_keys(log, refs, "trial", "k", "main").collect()) == [4]
+    log, refs = branches.merge_branch(log, refs, "trial", "main", "k", 11)
+    assert _keys_on(log, refs, "main") == {1: "main", 2: "trial", 3: "nested", 4: "after the fork"}
+    assert branches.changed_keys(log, refs, "trial", "k", "main").count() == 0
+    assert [tuple(r)[:3] for r in branches.merges(refs).orderBy("merge_commit").collect()] == [("nested", "main", 10), ("trial", "main", 11)]
+
+
+def test_the_catalog_remembers_merges_in_both_directions(spark):
+    log = spark.createDataFrame([(1, "c", "old", 1, 1, 1, "main"), (2, "c", "old", 1, 2, 1, "main")], LOG)
+    refs = branches.create_branch(branches.new_refs(spark), "trial", "main", 1)
+    log = _written(spark, log, "trial", (1, "u", "trial", 10, 3, 2))
+    log, refs = branches.merge_branch(log, refs, "trial", "main", "k", 3)
+    log = _written(spark, log, "main", (1, "u", "main-late", 5, 4, 4))      # older by event time, later by commit
+    assert _keys_on(log, refs, "main") == {1: "main-late", 2: "old"}
+    # main back into the trial: the trial's own change isn't an incoming one, nor a conflict.
+    assert [r.k for r in branches.conflicts(log, refs, "main", "trial", "k").collect()] == []
+    log, refs = branches.merge_branch(log, refs, "main", "trial", "k", 5)
+    assert _keys_on(log, refs, "trial") == {1: "main-late", 2: "old"}
+    assert branches.changed_keys(log, refs, "trial", "k", "main").count() == branches.changed_keys(log, refs, "main", "k", "trial").count() == 0
+    # A delete on the trial, merged again: only the trial's later change comes.
+    log = _written(spark, log, "trial", (2, "d", None, 20, 5, 6))
+    log, refs = branches.merge_branch(log, refs, "trial", "main", "k", 7)
+    assert _keys_on(log, refs, "main") == {1: "main-late"}
+    log = _written(spark, log, "main", (2, "c", "again", 2, 6, 8))
+    assert _keys_on(log, refs, "main") == {1: "main-late", 2: "again"}
+
+
+def test_a_merge_that_kept_the_targets_rows_isnt_undone_further_on(spark):
+    log = spark.createDataFrame([(1, "c", "old", 1, 1, 1, "main")], LOG)
+    refs = branches.create_branch(branches.create_branch(branches.new_refs(spark), "a", "main", 1), "b", "main", 1)
+    log = _written(spark, _written(spark, log, "a", (1, "u", "a", 50, 2, 2)), "b", (1, "u", "b", 5, 3, 3))
+    log, refs = branches.merge_branch(log, refs, "a", "b", "k", 4, policy="target_wins")
+    assert _keys_on(log, refs, "b") == {1: "b"}
+    log, refs = branches.merge_branch(log, refs, "b", "main", "k", 5)
+    assert _keys_on(log, refs, "main") == {1: "b"}
+    log, refs = branches.merge_branch(log, refs, "a", "main", "k", 6)       # main has it by way of b
+    assert _keys_on(log, refs, "main") == {1: "b"}
+
+
+def test_branch_names_are_checked(spark):
+    refs = branches.create_branch(branches.new_refs(spark), "trial", "main", 1)
+    for name, base in (("trial", "main"), ("x", "absent")):
+        with pytest.raises(ValueError):
+            branches.create_branch(refs, name, base, 1)
+    with pytest.raises(ValueError, match="no branch"):
+        branches.included(refs, "absent")
+
+
 def test_branch_list(spark):
     log, refs = _branch_setup(spark)
     got = {r.name: (r.head_commit, r.own_changes) for r in branches.branches(refs, log).collect()}

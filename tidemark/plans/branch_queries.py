@@ -29,6 +29,12 @@ def refs(spark):
     return branches.create_branch(branches.new_refs(spark), BRANCH, "main", FORK_VERSION)
 
 
+def merged_main(spark, log, catalog, policy: str, source: str = BRANCH):
+    """main's state after a merge into it."""
+    log, catalog = branches.merge_branch(log, catalog, source, "main", "k", MERGE_COMMIT, policy=policy)
+    return branches.read_ref(log, catalog, "main", "k").select(*STATE_COLS)
+
+
 _BL = (f"bl AS (SELECT *, CASE WHEN batch_id > {FORK_VERSION} AND status = 'purchase' THEN '{BRANCH}' "
        "ELSE 'main' END AS ref FROM log)")
 _S = "k, op, status, amount, ts_ms, pos"
@@ -62,8 +68,7 @@ def q_branch_isolation(spark, sf):
 def q_branch_merge(spark, sf):
     """``CALL merge_branch('purchase_trial', 'main')`` with the branch winning
     conflicting keys; returns main's state after the merge."""
-    return branches.merge_branch(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT,
-                                 fork_commit=FORK_VERSION, policy="source_wins").select(*STATE_COLS)
+    return merged_main(spark, branch_log(spark, sf), refs(spark), policy="source_wins")
 
 
 _NET = (f"(SELECT k, op, status, amount, ts_ms, pos FROM (SELECT *, row_number() OVER (PARTITION BY k "
@@ -76,8 +81,7 @@ _BOTH = (f"(SELECT k FROM bl WHERE ref = '{BRANCH}' INTERSECT SELECT k FROM bl W
     f"WHERE k NOT IN {_BOTH})", "seq DESC, ts_ms DESC, pos DESC").replace("SELECT *, 0 AS seq FROM bl", f"SELECT {_S}, batch_id, ref, 0 AS seq FROM bl"), _BL))
 def q_branch_merge_target_wins(spark, sf):
     """The merge that keeps keys changed on both sides as they are on ``main``."""
-    return branches.merge_branch(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT,
-                                 fork_commit=FORK_VERSION, policy="target_wins").select(*STATE_COLS)
+    return merged_main(spark, branch_log(spark, sf), refs(spark), policy="target_wins")
 
 
 @register("branch_merge_then_write", with_log(_latest(
@@ -85,11 +89,12 @@ def q_branch_merge_target_wins(spark, sf):
     f"SELECT {_S}, 1 AS seq, 1 AS late FROM log WHERE pos % 11 = 0)", "seq DESC, late DESC, ts_ms DESC, pos DESC"), _BL))
 def q_branch_merge_then_write(spark, sf):
     """Writes on ``main`` after a merge win over what the merge brought, though their events are older."""
-    merged = branches.merge_log(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT, fork_commit=FORK_VERSION, policy="source_wins")
+    log, catalog = branches.merge_branch(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", MERGE_COMMIT, policy="source_wins")
     later = event_log(spark, sf).filter("pos % 11 = 0").withColumn("batch_id", F.lit(MERGE_COMMIT + 2).cast("long"))
-    again = branches.merge_log(merged.unionByName(branches.write_ref(later, "trial_2"), allowMissingColumns=True), refs(spark), "trial_2", "main", "k",
-                               MERGE_COMMIT + 3, fork_commit=MERGE_COMMIT, policy="source_wins")
-    return branches.read_ref(again, refs(spark), "main", "k", merges=(MERGE_COMMIT, MERGE_COMMIT + 3)).select(*STATE_COLS)
+    catalog = branches.create_branch(catalog, "trial_2", "main", MERGE_COMMIT + 1)
+    log, catalog = branches.merge_branch(log.unionByName(branches.write_ref(later, "trial_2"), allowMissingColumns=True), catalog, "trial_2", "main", "k",
+                                         MERGE_COMMIT + 3, policy="source_wins")
+    return branches.read_ref(log, catalog, "main", "k").select(*STATE_COLS)
 
 
 @register("branch_nested", with_log(_latest(
@@ -102,6 +107,49 @@ def q_branch_nested(spark, sf):
     return branches.read_ref(branch_log(spark, sf).unionByName(own), two, "nested", "k").select(*STATE_COLS)
 
 
+# What a branch of the trial holds beyond main: its own writes above the trial's up to the second fork.
+_SECOND_FORK = FORK_VERSION + 20
+_NESTED = (f"(SELECT {_S} FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY depth DESC, ts_ms DESC, pos DESC) AS _r FROM ("
+           f"SELECT {_S}, 1 AS depth FROM bl WHERE ref = '{BRANCH}' AND batch_id <= {_SECOND_FORK} UNION ALL "
+           f"SELECT {_S}, 2 AS depth FROM log WHERE pos % 13 = 0)) WHERE _r = 1)")
+
+
+def nested_log(spark, sf):
+    """The log and catalog with a branch of the trial, ``nested``, that has copies of every 13th change as its own writes."""
+    catalog = branches.create_branch(refs(spark), "nested", BRANCH, _SECOND_FORK)
+    own = event_log(spark, sf).filter("pos % 13 = 0").withColumn("batch_id", F.lit(MERGE_COMMIT - 10).cast("long"))
+    return branch_log(spark, sf).unionByName(branches.write_ref(own, "nested")), catalog
+
+
+@register("branch_merge_nested", with_log(_latest(
+    f"(SELECT {_S}, 0 AS seq FROM bl WHERE ref = 'main' UNION ALL SELECT {_S}, 1 AS seq FROM {_NESTED})", "seq DESC, ts_ms DESC, pos DESC"), _BL))
+def q_branch_merge_nested(spark, sf):
+    """A branch of a branch merged into ``main``: the trial's writes up to the second fork come along."""
+    return merged_main(spark, *nested_log(spark, sf), policy="source_wins", source="nested")
+
+
+@register("branch_merge_again", with_log(_latest(
+    f"(SELECT {_S}, 0 AS seq FROM bl WHERE ref = 'main' UNION ALL SELECT {_S}, 1 AS seq FROM {_NESTED} UNION ALL "
+    f"SELECT {_S}, 2 AS seq FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts_ms DESC, pos DESC) AS _r FROM bl WHERE ref = '{BRANCH}') "
+    f"WHERE _r = 1 AND k IN (SELECT k FROM bl WHERE ref = '{BRANCH}' AND batch_id > {_SECOND_FORK}))", "seq DESC, ts_ms DESC, pos DESC"), _BL))
+def q_branch_merge_again(spark, sf):
+    """After ``nested`` the trial itself: the catalog knows that main has its writes up to the second fork, so only keys written later come."""
+    log, catalog = branches.merge_branch(*nested_log(spark, sf), "nested", "main", "k", MERGE_COMMIT, policy="source_wins")
+    log, catalog = branches.merge_branch(log, catalog, BRANCH, "main", "k", MERGE_COMMIT + 1, policy="source_wins")
+    return branches.read_ref(log, catalog, "main", "k").select(*STATE_COLS)
+
+
+@register("branch_conflicts_nested", with_log(
+    "SELECT a.k, a.source_changes, b.target_changes FROM "
+    f"(SELECT k, count(*) AS source_changes FROM (SELECT k FROM bl WHERE ref = '{BRANCH}' AND batch_id <= {_SECOND_FORK} UNION ALL "
+    "SELECT k FROM log WHERE pos % 13 = 0) GROUP BY k) a JOIN "
+    f"(SELECT k, count(*) AS target_changes FROM bl WHERE ref = 'main' AND batch_id > {FORK_VERSION} GROUP BY k) b "
+    "ON a.k = b.k", _BL))
+def q_branch_conflicts_nested(spark, sf):
+    """Keys that main and the branch of the trial both changed since their common history, main at the first fork."""
+    return branches.conflicts(*nested_log(spark, sf), "nested", "main", "k")
+
+
 @register("branch_conflicts", with_log(
     "SELECT a.k, a.source_changes, b.target_changes FROM "
     f"(SELECT k, count(*) AS source_changes FROM bl WHERE ref = '{BRANCH}' GROUP BY k) a JOIN "
@@ -109,7 +157,7 @@ def q_branch_nested(spark, sf):
     "ON a.k = b.k", _BL))
 def q_branch_conflicts(spark, sf):
     """Keys changed on both refs since the fork."""
-    return branches.conflicts(branch_log(spark, sf), refs(spark), BRANCH, "main", "k", FORK_VERSION)
+    return branches.conflicts(branch_log(spark, sf), refs(spark), BRANCH, "main", "k")
 
 
 @register("branch_list", with_log(
