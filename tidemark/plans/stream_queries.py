@@ -15,6 +15,11 @@ from tidemark.plans.testdata import event_log, with_log
 from tidemark.session import work_dir
 from tidemark.streaming.apply import RATE_ORDER, start_apply, start_latest, start_rate
 from tidemark.streaming.change_table import ChangeTable
+from tidemark.streaming.progress import ProgressLog
+from tidemark.streaming.rates import RateTable, stream_sliding_rate
+
+LANDINGS = 4                  # deliveries of the log, one micro-batch each
+LATE_MS = 86_400_000          # how late a change may come
 
 LOG_COLS = ["k", "op", "status", "amount", "ts_ms", "pos", "batch_id"]
 
@@ -120,3 +125,94 @@ def q_snapshot_size_trend(spark, sf):
     (size trend), after an admission-controlled apply."""
     table, _ = _run_apply(spark, sf, 1)
     return table.size_trend().select("version", "files", "rows", "bytes")
+
+
+def landed_log(spark, sf) -> DataFrame:
+    """The log in ``LANDINGS`` deliveries by commit, of which every tenth change comes one delivery late."""
+    log = event_log(spark, sf)
+    span = F.floor(F.col("batch_id") * LANDINGS / (log.agg(F.max("batch_id")).scalar() + 1))
+    return log.withColumn("landing", F.least(F.lit(LANDINGS - 1), span + F.when(F.col("pos") % 10 == 3, 1).otherwise(0)).cast("long"))
+
+
+_LANDED = (f"landed AS (SELECT *, least({LANDINGS - 1}, batch_id * {LANDINGS} // ((SELECT max(batch_id) FROM log) + 1) + CASE WHEN pos % 10 = 3 THEN 1 ELSE 0 END) AS landing FROM log), "
+           f"marks AS (SELECT a.landing, max(b.ts_ms) - {LATE_MS} AS watermark_ms FROM (SELECT DISTINCT landing FROM landed) a LEFT JOIN landed b ON b.landing < a.landing GROUP BY a.landing)")
+
+
+def _run_landings(spark, sf, name: str, start) -> str:
+    """Land one delivery after the other and run the stream ``start(stream, root)`` over each to completion, from the same checkpoint."""
+    root = work_dir(spark, name)
+    log = landed_log(spark, sf)
+    schema = log.select(*LOG_COLS).schema
+    for n in range(LANDINGS):
+        log.filter(F.col("landing") == n).select(*LOG_COLS).write.mode("append").parquet(f"{root}/incoming")
+        q = start(_stream(spark, f"{root}/incoming", schema), root)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return root
+
+
+def _rates(spark, root: str) -> RateTable:
+    return RateTable(spark, f"{root}/rates", window_ms=60_000, delay_ms=LATE_MS, by=["status"])
+
+
+@register("late_events", with_log(
+    "SELECT pos, k, ts_ms, landing AS epoch, watermark_ms FROM landed JOIN marks USING (landing) WHERE ts_ms < watermark_ms", _LANDED))
+def q_late_events(spark, sf):
+    """Changes that came more than a day behind the newest earlier one: kept, with the epoch and the watermark they missed."""
+    root = _run_landings(spark, sf, "late-events", lambda stream, root: _rates(spark, root).start(stream, f"{root}/_checkpoint", "availableNow"))
+    return _rates(spark, root).late().select("pos", "k", "ts_ms", "epoch", "watermark_ms")
+
+
+@register("rate_on_time", with_log(
+    "SELECT (ts_ms // 60000) * 60000 AS window_start_ms, status, count(*)::BIGINT AS n_changes FROM landed JOIN marks USING (landing) "
+    "WHERE watermark_ms IS NULL OR ts_ms >= watermark_ms GROUP BY 1, 2", _LANDED))
+def q_rate_on_time(spark, sf):
+    """Changes per minute of the same stream: every row is counted here or kept by ``late_events``."""
+    root = _run_landings(spark, sf, "rate-on-time", lambda stream, root: _rates(spark, root).start(stream, f"{root}/_checkpoint", "availableNow"))
+    return _rates(spark, root).counts()
+
+
+@register("stream_progress", with_log("SELECT landing AS batch_id, count(*) AS num_input_rows FROM landed GROUP BY landing", _LANDED))
+def q_stream_progress(spark, sf):
+    """The progress reports of all micro-batches, kept across restarts of the query."""
+    logs = []
+
+    def start(stream, root):
+        log = ProgressLog(spark, f"{root}/progress")
+        spark.streams.addListener(log)
+        q = (stream.writeStream.format("parquet").option("path", f"{root}/log_table").option("checkpointLocation", f"{root}/_checkpoint")
+             .trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+            log.wait(q)
+        finally:
+            spark.streams.removeListener(log)
+        logs.append(log)
+        return q
+
+    _run_landings(spark, sf, "stream-progress", start)
+    return logs[-1].frame().filter("num_input_rows > 0").select("batch_id", "num_input_rows")
+
+
+@register("stream_sliding_rate", with_log(
+    "SELECT s AS window_start_ms, s + 300000 AS window_end_ms, count(*) AS n_changes FROM ("
+    "SELECT unnest(generate_series((ts_ms // 60000) * 60000 - 240000, (ts_ms // 60000) * 60000, 60000)) AS s "
+    "FROM log) GROUP BY s"))
+def q_stream_sliding_rate(spark, sf):
+    """5-minute windows sliding every minute, as a stream; a heartbeat a day after the last change closes the last windows."""
+    root = work_dir(spark, "stream-sliding")
+    path, static = stage_log_files(spark, sf, root)
+    beat = static.agg((F.max("ts_ms") + 86_400_000).alias("ts_ms")).select(
+        *[F.col("ts_ms") if f.name == "ts_ms" else F.lit("heartbeat") if f.name == "op" else F.lit(None).cast(f.dataType).alias(f.name) for f in static.schema.fields])
+    beat = beat.toDF(*static.columns)
+    for part in (None, beat):
+        if part is not None:
+            part.write.mode("append").parquet(path)
+        rates = stream_sliding_rate(_stream(spark, path, static.schema), "5 minutes", "1 minute", watermark="1 hour", counted="op <> 'heartbeat'")
+        q = (rates.writeStream.format("parquet").outputMode("append").option("path", f"{root}/rates").option("checkpointLocation", f"{root}/_checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/rates")
