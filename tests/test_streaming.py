@@ -203,3 +203,129 @@ def test_stream_static_enrichment(spark, tmp_root):
     batch = enrich(event_log(spark, SF), dim, "k", "c_custkey", ["c_mktsegment"])
     cols = ["pos", "k", "c_mktsegment"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_a_compaction_beside_a_reader_loses_nothing(spark, tmp_root):
+    log = event_log(spark, SF).select(*COLS)
+    table = ChangeTable(spark, f"{tmp_root}/r", "k", log.schema)
+    table.apply(log.filter("pos < 500"), 0)
+    table.apply(log.filter("pos >= 500"), 1)
+    reader, trend, want = table.read(), sorted(map(tuple, table.size_trend().collect())), _rows(fold.latest_state(log, "k"))
+    table.compact()
+    assert _rows(reader) == want and _rows(table.read()) == want      # what the reader listed is still there
+    assert sorted(map(tuple, table.size_trend().collect())) == trend  # and the trend knows the merged epochs
+    second = table.read()
+    table.apply(log.filter("pos >= 900"), 1)                          # a retry after its epoch was merged: read again
+    assert len(table.epochs()) == 1 and _rows(table.read()) == want
+    table.compact()
+    assert _rows(second) == want and _rows(table.read()) == want and table.epochs() == []
+    assert {(r.writer, r.version): r.rows for r in table.size_trend().collect()}["batch", 0] == {t[:2]: t[3] for t in trend}["batch", 0]
+    assert table.changes(without=(1, "batch")).count() == table.changes().count()
+
+
+def _article(pk, sku, op="u", ts=0, before=None, **more):
+    from conftest import ARTICLE, change
+
+    after = None if op == "d" else ARTICLE | {"product_id": pk, "sku": sku} | more
+    return change("inventory", op, before=before, after={k: v for k, v in after.items() if v is not None} if after else None, ts_ms=ts)
+
+
+def test_primary_keys_are_found_in_the_index_of_the_batches_buckets(spark, tmp_root):
+    from conftest import raw_frame
+    from tidemark.spec import INVENTORY_SPEC
+    from tidemark.streaming.replicate import Warehouse, typed_changes
+
+    wh = Warehouse(spark, f"{tmp_root}/wh")
+    index, table = wh.key_index(INVENTORY_SPEC), wh.table(INVENTORY_SPEC)
+    step, at = typed_changes(INVENTORY_SPEC, index), [0]
+
+    def batch(epoch, *records):
+        raw = raw_frame(spark, list(records), topic="cdc.sales.inventory", start_offset=at[0])
+        at[0] += len(records)
+        with step.epoch(raw, epoch, "w") as rows:
+            table.apply(rows.filter("_reason is null"), epoch, writer="w")
+            return sorted((r.product_id, r.sku, r.op, r._reason) for r in rows.collect())
+
+    def stock():
+        return sorted((r.product_id, r.sku) for r in table.read().collect())
+
+    batch(0, *[_article(i, f"S{i}", "c", 1) for i in range(1, 40)])
+    assert spark.read.parquet(f"{index.root}/writer=w/epoch=0").count() == 39
+    batch(1, _article(1, "S1", ts=2, stock_quantity=5))
+    assert spark.read.schema(index.schema).parquet(f"{index.root}/writer=w/epoch=1").count() == 0   # nothing new to remember
+    for _ in range(2):                                                        # renamed without a before image; the second run is a retry
+        assert batch(2, _article(2, "S2new", ts=3)) == [(2, "S2", "d", None), (2, "S2new", "u", None)]
+    assert (2, "S2new") in stock() and (2, "S2") not in stock()
+    assert batch(3, _article(3, None, "d", 4, before={"product_id": "3"})) == [(3, "S3", "d", None)]  # a delete that has the primary key only
+    assert (3, "S3") not in stock()
+    # S3 goes to another article; the old primary key comes back under another name and must not end it.
+    batch(4, _article(50, "S3", "c", 5))
+    assert batch(5, _article(3, "S3b", "c", 6)) == [(3, "S3b", "c", None)]
+    assert {(50, "S3"), (3, "S3b")} <= set(stock())
+    assert batch(6, _article(99, None, "d", 7, before={"product_id": "99"}))[0][3] == "no_key"
+    before = stock()
+    index.compact()
+    assert batch(7, _article(2, "S2last", ts=8)) == [(2, "S2last", "u", None), (2, "S2new", "d", None)] and len(stock()) == len(before)
+    index.rebuild(table.read(live=False))
+    assert batch(8, _article(3, None, "d", 9, before={"product_id": "3"})) == [(3, "S3b", "d", None)]
+    # Only the buckets of the batch's primary keys are read.
+    asked = spark.createDataFrame([(5,)], "product_id int")
+    plan = index.lookup(asked)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and [r.sku for r in index.lookup(asked).collect()] == ["S5"]
+
+
+def test_late_rows_are_kept_and_counted_rows_count_once(spark, tmp_root):
+    from tidemark.streaming.rates import RateTable
+
+    table = RateTable(spark, f"{tmp_root}/rates", window_ms=60_000, delay_ms=3_600_000, by=["k"])
+    assert table.counts() is None and table.late() is None
+    batches = [[(0, 60_000, "a"), (1, 61_000, "a"), (2, None, "a")], [(3, 7_260_000, "a")], [(4, 62_000, "a"), (5, 3_700_000, "b"), (6, 3_600_000, "b")], [(7, 9_000_000, "a")]]
+
+    def run(epoch):
+        table.apply(spark.createDataFrame(batches[epoch], "pos long, ts_ms long, k string"), epoch)
+
+    for epoch in range(4):
+        run(epoch)
+        run(epoch)                                        # a retry leaves the same
+    assert {(r.window_start_ms, r.k): r.n_changes for r in table.counts().collect()} == {(60_000, "a"): 2, (7_260_000, "a"): 1, (3_660_000, "b"): 1, (9_000_000, "a"): 1}
+    late = {r.pos: (r.epoch, r.watermark_ms) for r in table.late().collect()}
+    assert late == {2: (0, None), 4: (2, 3_660_000), 6: (2, 3_660_000)}      # row 5 is within the delay
+    again = RateTable(spark, table.root, window_ms=60_000, delay_ms=3_600_000, by=["k"], generation=1)
+    again.apply(spark.createDataFrame(batches[0], "pos long, ts_ms long, k string"), 0)
+    assert {r.window_start_ms for r in table.counts().collect()} == {60_000}  # a new generation starts anew
+
+
+def test_late_rows_over_a_restart(spark, tmp_root):
+    from tidemark.streaming.rates import RateTable
+
+    table, src = RateTable(spark, f"{tmp_root}/rates", window_ms=60_000, delay_ms=1_000), f"{tmp_root}/in"
+    for rows in ([(1, 100_000)], [(2, 98_000), (3, 99_500)], [(4, 200_000)], [(5, 198_999), (6, 199_000)]):
+        spark.createDataFrame(rows, "pos long, ts_ms long").write.mode("append").parquet(src)
+        table.start(spark.readStream.schema("pos long, ts_ms long").parquet(src), f"{tmp_root}/ck", "availableNow").awaitTermination()
+    assert sorted((r.pos, r.epoch) for r in table.late().collect()) == [(2, 1), (5, 3)]
+    assert sum(r.n_changes for r in table.counts().collect()) == 4
+
+
+def test_every_progress_report_is_kept(spark, tmp_root):
+    from tidemark.streaming.progress import ProgressLog
+
+    src, n = f"{tmp_root}/in", 5
+    for i in range(n):
+        spark.range(i + 1).coalesce(1).write.mode("append").parquet(src)
+    log = ProgressLog(spark, f"{tmp_root}/progress")
+    assert log.frame().collect() == []
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.streams.addListener(log)
+    try:
+        q = (spark.readStream.schema("id long").option("maxFilesPerTrigger", "1").parquet(src).writeStream.format("noop")
+             .option("checkpointLocation", f"{tmp_root}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        log.wait(q)
+        assert len(q.recentProgress) < n
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    rows = log.frame().filter("num_input_rows > 0").orderBy("batch_id").collect()
+    assert [r.batch_id for r in rows] == list(range(n)) and sorted(r.num_input_rows for r in rows) == list(range(1, n + 1))
+    assert {r.query_id for r in rows} == {str(q.id)} and all(r.trigger_ms >= 0 for r in rows)

@@ -92,7 +92,7 @@ def project_typed(parsed: DataFrame, spec: TableSpec, *, state: DataFrame | None
     """
     cols = spec.typed_columns()
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    two_keys = spec.pk is not None and spec.pk != spec.key
+    two_keys = spec.two_keys
     old = [F.col("before")[spec.key].try_cast(cols[spec.key].dataType).alias("_old_key")] if two_keys else []
     cast = F.struct(*[image[f.name].try_cast(f.dataType).alias(f.name) for f in cols.fields],
                     *[image[f.name].isNotNull().alias(f"_has_{f.name}") for f in cols.fields], *old)
@@ -130,24 +130,28 @@ def with_key_changes(typed: DataFrame, spec: TableSpec) -> DataFrame:
 def resolve_keys(typed: DataFrame, spec: TableSpec, state: DataFrame | None, order: tuple[str, ...] = ("ts_ms", "pos")) -> DataFrame:
     """Business keys by the source primary key, for a batch whose key differs from it.
 
-    A row without a key takes the key its primary key had last: in an earlier row of the batch, else in ``state``.
-    A row whose primary key had another key before also deletes that key, so that a renamed row isn't left under
-    its old name. One shuffle of the batch and the state's key columns by the primary key.
+    A row without a key takes the key its primary key had last: in an earlier row of the batch, else in ``state`` (rows with
+    both keys, ``op`` where deletes are among them, and the order). A row whose primary key had another key just before
+    also deletes that key, so that a renamed row isn't left under its old name; one whose primary key was deleted renames
+    nothing. One shuffle of the batch and the state's key columns by the primary key.
     """
     pk, key = spec.pk, spec.key
     good = typed.filter(F.col("_reason").isNull() & F.col(pk).isNotNull())
     rest = typed.filter(F.col("_reason").isNotNull() | F.col(pk).isNull())
     known = good.withColumn("_known", F.lit(False))
     if state is not None:
-        base = state.select(*[F.col(c) if c in (pk, key, *order) else F.lit(None).cast(t).alias(c) for c, t in good.dtypes])
+        kept = [c for c in (pk, key, "op", *order) if c in state.columns]
+        base = state.select(*[F.col(c) if c in kept else F.lit(None).cast(t).alias(c) for c, t in good.dtypes])
         known = known.unionByName(base.select(*good.columns).withColumn("_known", F.lit(True)))
-    by_pk = Window.partitionBy(pk).orderBy(F.col("_known").desc(), *order).rowsBetween(Window.unboundedPreceding, -1)
+    alive = F.col("op").isNull() | (F.col("op") != "d")
+    by_pk = Window.partitionBy(pk).orderBy(F.col("_known").desc(), *order, alive).rowsBetween(Window.unboundedPreceding, -1)
     # A delete ends a key's life, but a late PK-only delete of the same row still means that key.
-    last = F.last(F.when(F.col("op").isNull() | (F.col("op") != "d"), F.col(key)), ignorenulls=True).over(by_pk)
-    seen = known.withColumn("_last", last).filter(~F.col("_known")).drop("_known")
+    last = F.last(F.when(alive, F.col(key)), ignorenulls=True).over(by_pk)
+    ended = F.last(~alive).over(by_pk)
+    seen = known.withColumn("_last", last).withColumn("_ended", F.coalesce(ended, F.lit(False))).filter(~F.col("_known")).drop("_known")
     resolved = seen.withColumn(key, F.coalesce(key, "_last"))
-    moved = resolved.filter((F.col("op") != "d") & F.col("_last").isNotNull() & (F.col("_last") != F.col(key))).withColumns({key: F.col("_last"), "op": F.lit("d")})
-    return _without_key(resolved.unionByName(moved).drop("_last").unionByName(rest), spec)
+    moved = resolved.filter((F.col("op") != "d") & ~F.col("_ended") & F.col("_last").isNotNull() & (F.col("_last") != F.col(key))).withColumns({key: F.col("_last"), "op": F.lit("d")})
+    return _without_key(resolved.unionByName(moved).drop("_last", "_ended").unionByName(rest), spec)
 
 
 def route(log: DataFrame, tables: list[str], col: str = "table") -> DataFrame:

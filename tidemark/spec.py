@@ -31,6 +31,11 @@ class TableSpec:
     def pk_col(self) -> str:
         return self.pk or self.key
 
+    @property
+    def two_keys(self) -> bool:
+        """Whether the business key differs from the source primary key."""
+        return self.pk is not None and self.pk != self.key
+
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.columns.fields]

@@ -4,7 +4,8 @@ latest-row-per-key, windowed change rates; plus start/await helpers."""
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,24 +31,29 @@ def start_apply(stream: DataFrame, table: ChangeTable, checkpoint: str, *,
     rows go to quarantine and the rest, one change per key, to the table.
 
     ``to_changes(batch)`` returns typed rows with a ``_reason`` (null: valid); the parsed batch
-    is kept while both parts are written. Both writes replace the
+    is kept while both parts are written. An object with ``epoch(batch, epoch, writer)`` (a context manager) may also
+    write what goes with the batch. All writes replace the
     folder of their (writer, epoch), so a retried batch leaves nothing twice.
     """
     writer = writer_id(checkpoint)
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        parsed = (batch if to_changes is None else to_changes(batch)).persist()
+    @contextmanager
+    def parsed_rows(batch: DataFrame, epoch: int) -> Iterator[DataFrame]:
+        if hasattr(to_changes, "epoch"):
+            with to_changes.epoch(batch, epoch, writer) as rows:
+                yield rows
+            return
+        rows = (batch if to_changes is None else to_changes(batch)).persist()
         try:
-            if to_changes is None:
-                valid = parsed
-            else:
-                valid = parsed.filter(F.col("_reason").isNull())
-                if quarantine_path is not None:
-                    bad = parsed.filter(F.col("_reason").isNotNull())
-                    bad.write.mode("overwrite").parquet(f"{quarantine_path}/writer={writer}/epoch={epoch}")
-            table.apply(valid, epoch, writer=writer)
+            yield rows
         finally:
-            parsed.unpersist()
+            rows.unpersist()
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        with parsed_rows(batch, epoch) as rows:
+            if to_changes is not None and quarantine_path is not None:
+                rows.filter(F.col("_reason").isNotNull()).write.mode("overwrite").parquet(f"{quarantine_path}/writer={writer}/epoch={epoch}")
+            table.apply(rows if to_changes is None else rows.filter(F.col("_reason").isNull()), epoch, writer=writer)
 
     w = stream.writeStream.foreachBatch(write_batch).outputMode("update").option("checkpointLocation", checkpoint)
     if name:

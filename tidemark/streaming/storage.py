@@ -21,6 +21,12 @@ def complete(spark: SparkSession, pattern: str) -> list[str]:
     return [p.rpartition("/")[0] for p in listed(spark, f"{pattern}/_SUCCESS")]
 
 
+def stamped(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """The same, with the time at which each was finished."""
+    path, fs = _path(spark, f"{pattern}/_SUCCESS")
+    return {str(s.getPath().getParent()): s.getModificationTime() for s in (fs.globStatus(path) or ())}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
