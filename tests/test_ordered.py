@@ -87,3 +87,28 @@ def test_transitions(spark):
                                 "k long, status string, ts_ms long, pos long")
     got = sorted((r.prev_status or "-", r.next_status, r.n) for r in ordered.transitions(log, "k", "status").collect())
     assert got == [("-", "x", 2), ("x", "y", 1), ("y", "x", 1)]
+
+
+def test_a_busy_slice_of_a_hot_key_is_cut_by_its_own_rows(spark):
+    log = skewed_log(spark)
+    burst = log.withColumn("ts_ms", F.when(F.col("pos") % 5 == 0, 250).otherwise(F.col("ts_ms")))      # a fifth of all rows at one instant
+    for frame, width, least in ((log, 10**6, 8), (burst, 10**6, 6), (log.withColumn("ts_ms", F.lit(3)), 60, 8)):
+        ch, chunk = ordered.parted(ordered.chunked(frame, "k", ["ts_ms", "pos"], width), ["k"], ["ts_ms", "pos"], 100)
+        sizes = {tuple(r[:3]): r["count"] for r in ch.groupBy("k", *chunk).count().collect()}
+        hot = [n for k, n in sizes.items() if k[0] == 0]
+        assert len(hot) >= least and len([k for k in sizes if k[0] == 1]) == 1      # only what is too large is cut
+    assert max(hot) <= 300
+
+
+def test_cut_slices_match_plain_windows(spark):
+    w = Window.partitionBy("k").orderBy("ts_ms", "pos")
+    for log in (skewed_log(spark), with_nulls(spark), skewed_log(spark).withColumn("ts_ms", F.lit(3))):
+        keyed = log.filter("k is not null")
+        near = sorted(map(tuple, keyed.select("pos", F.lag("v").over(w), F.lead("s").over(w)).collect()), key=str)
+        sums = sorted(map(tuple, keyed.withColumn("r", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                          .withColumn("m", F.min("r").over(w.rowsBetween(Window.unboundedPreceding, 0))).select("pos", "r", "m").collect()), key=str)
+        for width, rows in ((60, 20), (10**6, 100)):
+            got = ordered.with_neighbors(log, "k", ["ts_ms", "pos"], ["v", "s"], width=width, rows=rows).select("pos", "_prev.v", "_next.s")
+            assert sorted(map(tuple, got.collect()), key=str) == near
+            got = ordered.with_running_sum(log, "k", ["ts_ms", "pos"], "v", width=width, rows=rows).select("pos", "_run", "_run_min")
+            assert sorted(map(tuple, got.collect()), key=str) == sums
