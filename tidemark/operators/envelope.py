@@ -8,6 +8,8 @@ resolution join. Bad records are never silently dropped: every row leaves
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +22,12 @@ _META = ("key", "topic", "partition", "offset", "timestamp")
 
 
 def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str | None = None,
-                   drop_tombstones: bool = True) -> DataFrame:
+                   drop_tombstones: bool = True, heartbeat_topics: Sequence[str] = ()) -> DataFrame:
     """Kafka-shaped rows -> one row per change with envelope fields projected.
 
     Output: ``table, key, op, ts_ms, topic, partition, offset, before, after,
     _reason, _raw`` (the record text, for quarantine). Tombstones (NULL or empty value, emitted after deletes for log
-    compaction) are removed here; they are not changes. The key is taken from
+    compaction) and records of ``heartbeat_topics`` are removed here; they are not changes. The key is taken from
     ``after`` and falls back to ``before`` so deletes keep their identity.
     ``drop_tombstones=False`` skips that filter for sources known to carry none
     (it is a filter on ``value``; when ``value`` is itself computed, Catalyst
@@ -36,10 +38,11 @@ def parse_envelope(raw: DataFrame, spec: TableSpec | None = None, *, key: str |
     meta = [c for c in _META if c in raw.columns and c != "key"]
     if drop_tombstones:
         raw = raw.filter(value.isNotNull() & (value != ""))
-    parsed = (raw
-              .select(*meta, value.alias("_raw"),
-                      F.from_json(value, _PARSE_SCHEMA, {"mode": "PERMISSIVE",
-                                                        "columnNameOfCorruptRecord": "_corrupt_record"}).alias("cdc")))
+    if heartbeat_topics:
+        raw = raw.filter(F.col("topic").isNull() | ~F.col("topic").isin(list(heartbeat_topics)))
+    # The parse stands behind ``inline``: no filter or projection on its fields can be pushed through it and parse again.
+    cdc = F.from_json(value, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = raw.select(*meta, F.inline(F.array(F.struct(value.alias("_raw"), cdc.alias("cdc")))))
     if key_col is not None:
         k = F.coalesce(F.col("cdc.after")[key_col], F.col("cdc.before")[key_col])
     else:

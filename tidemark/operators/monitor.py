@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +58,38 @@ def replication_lag(log_with_commit: DataFrame, by: Sequence[str] = (), ts: str
     return log_with_commit.groupBy(*by).agg(*aggs)
 
 
+#: Bins of the first pass of exact percentiles.
+BINS = 4096
+
+
+def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], percents: Sequence[int] = (50, 95, 99)) -> DataFrame:
+    """Exact percentiles (the value at rank ceil(n * p / 100), NULLs left out) of a whole-number column per ``by``,
+    one row per group with columns ``p<percent>``.
+
+    Two passes, each a grouped count with its partial phase before the shuffle: counts in ``BINS`` equal bins of the
+    column's range tell the bin that holds each rank, and counts of the single values of those bins alone tell the value. No group's
+    rows come together. NULL groups are groups.
+    """
+    known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("long").alias("_v"))
+    low, high = (known.agg(f("_v")).scalar() for f in (F.min, F.max))
+    width = F.greatest(F.lit(1), F.ceil((high - low + 1) / F.lit(BINS)))
+    binned = known.withColumn("_bin", F.floor((F.col("_v") - low) / width).cast("long"))
+    upto = lambda c: F.sum(c).over(Window.partitionBy(*by, *(["_bin"] if c == "_m" else [])).orderBy("_v" if c == "_m" else "_bin"))
+    counts = binned.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = counts.withColumn("_upto", upto("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
+    rank = F.greatest(F.lit(1), F.floor((F.col("_all") * F.col("_p") + 99) / 100))
+    asked = (ranked.withColumn("_p", F.explode(F.array(*[F.lit(int(p)) for p in percents]))).withColumn("_rank", rank)
+             .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
+             .select(*by, "_bin", "_p", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")))
+    same = lambda a, b, cols: reduce(and_, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols])
+    bins = asked.select(*by, "_bin").distinct()
+    singles = (binned.alias("a").join(bins.alias("b"), same("a", "b", [*by, "_bin"]), "left_semi")
+               .groupBy(*by, "_bin", "_v").agg(F.count(F.lit(1)).alias("_m")).withColumn("_upto", upto("_m")))
+    hit = (singles.alias("s").join(asked.alias("q"), same("s", "q", [*by, "_bin"]) & (F.col("q._rank") <= F.col("s._upto")) & (F.col("q._rank") > F.col("s._upto") - F.col("s._m")))
+           .select(*[F.col(f"s.{c}").alias(c) for c in by], "q._p", "s._v"))
+    return hit.groupBy(*by).agg(*[F.max(F.when(F.col("_p") == p, F.col("_v"))).alias(f"p{p}") for p in percents])
+
+
 def consumer_lag(log: DataFrame, committed: DataFrame, *, topic: str = "topic", partition: str = "partition",
                  offset: str = "offset") -> DataFrame:
     """Per topic partition: end offset, last committed offset and the number of

@@ -12,6 +12,8 @@ from tidemark.operators import fold, ordered, versions
 from tidemark.operators.envelope import replay_dedup
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, table, with_log
+from tidemark.session import work_dir
+from tidemark.sources.stored_log import StoredLog
 
 STATE_COLS = ["k", "op", "status", "amount", "ts_ms", "pos"]
 _S = "k, op, status, amount, ts_ms, pos"
@@ -135,6 +137,28 @@ def q_as_of_minutes_ago(spark, sf):
     return state_cols(fold.latest_state(vis.drop("committed_at_ms"), "k"))
 
 
+def stored_log(spark, sf) -> StoredLog:
+    """The log stored by commit range, in a fresh folder; ``size`` commits make a folder."""
+    log = StoredLog(spark, work_dir(spark, "stored-log"), size=16)
+    log.write(event_log(spark, sf))
+    return log
+
+
+@register("as_of_stored", with_log(latest_sql(
+    f"(SELECT log.* FROM log JOIN c USING (batch_id) WHERE c.committed_at_ms <= {AS_OF_MS})"), _COMMIT_SQL))
+def q_as_of_stored(spark, sf):
+    """``FOR TIMESTAMP AS OF`` on the stored log: the commits table says which folders are read."""
+    return state_cols(stored_log(spark, sf).as_of("k", AS_OF_MS))
+
+
+@register("as_of_stored_minutes_ago", with_log(latest_sql(
+    f"(SELECT log.* FROM log JOIN c USING (batch_id) WHERE c.committed_at_ms <= "
+    f"(SELECT max(ts_ms) FROM log) - {7 * 1440} * 60000)"), _COMMIT_SQL))
+def q_as_of_stored_minutes_ago(spark, sf):
+    """The state a week of minutes before the newest commit, from the stored log."""
+    return state_cols(stored_log(spark, sf).as_of_minutes_ago("k", 7 * 1440))
+
+
 _V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_VERSION})')}), "
          f"b AS ({latest_sql()})")
 

@@ -18,6 +18,7 @@ from tidemark.spec import EVENTS_SPEC
 CONSUMER_POSITION = 80        # last commit the consumer has acknowledged
 SCHEMA_CHANGE_AT = 60         # commit from which row images carry a new column
 SLA_MS = 60_000
+HEARTBEATS = "__heartbeat.cdc"
 
 
 def envelopes(spark, sf, corrupt: bool = False):
@@ -47,9 +48,46 @@ def q_parse_quarantine(spark, sf):
     """Every record comes out: valid ones with ``ok``, damaged ones with their
     quarantine reason (nothing is silently dropped)."""
     p = envelope.parse_envelope(envelopes(spark, sf, corrupt=True), EVENTS_SPEC, drop_tombstones=False)
-    ok, bad = envelope.split_valid(p)
-    return (ok.select("key", "op", "ts_ms", "offset", F.lit("ok").alias("reason"))
-            .unionByName(bad.select("key", "op", "ts_ms", "offset", F.col("_reason").alias("reason"))))
+    return p.select("key", "op", "ts_ms", "offset", F.coalesce("_reason", F.lit("ok")).alias("reason"))
+
+
+def damaged(spark, sf):
+    """Records with one kind of damage each, by offset: a field that is replaced in the text, a tombstone, a heartbeat."""
+    raw = to_envelopes(spread(event_log(spark, sf), spark.sparkContext.defaultParallelism), EVENTS_SPEC)
+    kind, put = F.col("offset") % 23, lambda pattern, to: F.regexp_replace("value", pattern, to)
+    value = (F.when(kind == 1, F.expr("substring(value, 1, length(value) - 3)"))
+             .when(kind == 2, put('"op":"."', '"op":"x"')).when(kind == 3, put(',"op":"."', ""))
+             .when(kind == 4, put('"op":("."),"ts_ms":[0-9]+', '"op":$1,"ts_ms":null'))
+             .when(kind == 5, put('"table":"events"', '"table":"others"'))
+             .when(kind == 6, put('"k":"[0-9]+",?', ""))
+             .when(kind == 7, put('"status":"[a-z]+",?', ""))
+             .when(kind == 8, put('"before":', '"was":'))
+             .when(kind == 9, F.lit(None)).when(kind == 10, F.lit("")).when(kind == 11, F.lit("[1, 2]"))
+             .when(kind == 12, put('"amount":"[^"]*"', '"amount":"much"'))
+             .otherwise(F.col("value")))
+    return raw.select("key", value.alias("value"), F.when(kind == 13, F.lit(HEARTBEATS)).otherwise(F.col("topic")).alias("topic"), "partition", "offset", "timestamp")
+
+
+# Kinds 9, 10 and 13 are no changes; a lost "before" (8) costs deletes their key.
+_DAMAGED = "d AS (SELECT *, pos % 23 AS kind FROM log WHERE pos % 23 NOT IN (9, 10, 13))"
+
+
+@register("quarantine_reasons", with_log(
+    "SELECT pos AS \"offset\", CASE WHEN kind IN (1, 11) THEN 'malformed' WHEN kind IN (2, 3) THEN 'bad_op' WHEN kind = 4 THEN 'bad_ts' "
+    "WHEN kind = 5 THEN 'unknown_table' WHEN kind = 6 OR (kind = 8 AND op = 'd') THEN 'no_key' WHEN kind = 12 AND amount IS NOT NULL THEN 'bad_cast:amount' ELSE 'ok' END AS reason FROM d", _DAMAGED))
+def q_quarantine_reasons(spark, sf):
+    """Every reason for quarantine, from one parse; tombstones and heartbeats are no changes and don't come out."""
+    p = envelope.parse_envelope(damaged(spark, sf), EVENTS_SPEC, heartbeat_topics=[HEARTBEATS])
+    return envelope.project_typed(p, EVENTS_SPEC).select("offset", F.coalesce("_reason", F.lit("ok")).alias("reason"))
+
+
+@register("dq_image_rules", with_log(
+    "SELECT * FROM (SELECT 'images' AS rule, 'events' AS tbl, 'op' AS col, CASE WHEN kind IN (1, 6, 11) OR (kind = 8 AND op = 'd') THEN 'NULL' ELSE CAST(k AS VARCHAR) END AS key, "
+    "CASE WHEN kind IN (1, 2, 3, 11) THEN 'op_domain' WHEN kind IN (6, 7) AND op = 'c' THEN 'insert_missing_columns' "
+    "WHEN kind = 8 AND op = 'u' THEN 'update_missing_image' WHEN kind IN (6, 8) AND op = 'd' THEN 'delete_without_key' END AS detail FROM d) WHERE detail IS NOT NULL", _DAMAGED))
+def q_dq_image_rules(spark, sf):
+    """Every rule on row images: inserts without a column, updates without an image, deletes without a key, unknown ops."""
+    return quality.dq_images(envelope.parse_envelope(damaged(spark, sf), EVENTS_SPEC, heartbeat_topics=[HEARTBEATS]), EVENTS_SPEC)
 
 
 @register("typed_projection", with_log("SELECT k, status, amount, op, ts_ms, pos FROM log"))
@@ -192,6 +230,15 @@ def q_replication_lag(spark, sf):
     return monitor.replication_lag(versions.with_commit_time(event_log(spark, sf)), by=["status"], sla_ms=SLA_MS)
 
 
+@register("replication_lag_percentiles", with_log(
+    "SELECT status, quantile_disc(committed_at_ms - ts_ms, 0.5) AS p50, quantile_disc(committed_at_ms - ts_ms, 0.95) AS p95, "
+    "quantile_disc(committed_at_ms - ts_ms, 0.99) AS p99 FROM log JOIN c USING (batch_id) GROUP BY status", _C))
+def q_replication_lag_percentiles(spark, sf):
+    """Exact p50, p95 and p99 of the delivery lag by status."""
+    lag = versions.with_commit_time(event_log(spark, sf)).withColumn("lag_ms", F.col("committed_at_ms") - F.col("ts_ms"))
+    return monitor.exact_percentiles(lag, "lag_ms", ["status"])
+
+
 def kafka_log(spark, sf):
     """The log with its Kafka coordinates: 4 partitions by key, offset = pos."""
     return (event_log(spark, sf).withColumn("topic", F.lit("cdc.sales.events"))
