@@ -135,10 +135,10 @@ def merge_into(table: str, changes: DataFrame, key: str | Sequence[str], order:
                op_col: str = "op") -> None:
     """``MERGE INTO table`` for catalogs with row-level operations (e.g. an
     Iceberg or Delta table), with the same semantics as ``apply_batch``: the
-    batch is compacted to one change per key first, deletes remove the row,
-    other changes update or insert it, and a change older than the stored row
-    (by ``order``) is ignored. ``table`` must carry the ``order`` columns.
-    Plain Parquet tables have no row-level MERGE; use ``VersionedStore`` there.
+    batch is compacted to one change per key first, and a change older than the stored row
+    (by ``order``) is ignored. Deletes stay as rows with their op, so that a late or replayed
+    older upsert can't bring the key back; readers take ``live``. ``table`` must carry ``op`` and the ``order`` columns.
+    Plain Parquet tables have no row-level MERGE; use ``ChangeTable`` there.
     """
     ks = _keys(key)
     src = latest_state(changes, ks, order, keep_deletes=True, op_col=op_col).alias("s")
@@ -147,9 +147,5 @@ def merge_into(table: str, changes: DataFrame, key: str | Sequence[str], order:
         c = F.col(f"s.{k}") == F.col(f"{table}.{k}")
         on = c if on is None else on & c
     newer = F.struct(*[F.col(f"s.{o}") for o in order]) > F.struct(*[F.col(f"{table}.{o}") for o in order])
-    cols = {c: F.col(f"s.{c}") for c in changes.columns if c != op_col}
-    (src.mergeInto(table, on)
-     .whenMatched(newer & (F.col(f"s.{op_col}") == "d")).delete()
-     .whenMatched(newer).update(cols)
-     .whenNotMatched(F.col(f"s.{op_col}") != "d").insert(cols)
-     .merge())
+    cols = {c: F.col(f"s.{c}") for c in changes.columns}
+    src.mergeInto(table, on).whenMatched(newer).update(cols).whenNotMatched().insert(cols).merge()

@@ -26,9 +26,12 @@ def _v(df: DataFrame, rule: str, tbl: str, col: str, key: Column, detail: Column
 
 
 def dq_pk(df: DataFrame, key: str | Sequence[str], tbl: str) -> DataFrame:
-    """Primary key uniqueness (and non-null): keys occurring more than once."""
+    """Primary key uniqueness and presence: keys occurring more than once, and keys that are (or hold) NULL, with their number of rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    absent = F.lit(False)
+    for k in keys:
+        absent = absent | F.col(k).isNull()
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | absent)
     return _v(dup, "pk_unique", tbl, ",".join(keys), _key_str(keys), F.col("_n"))
 
 
@@ -85,6 +88,19 @@ def check_rows(df: DataFrame, tbl: str, key: str | Sequence[str], checks: Sequen
                     "key", F.col("_v.detail").alias("detail")))
 
 
+def spec_checks(spec: TableSpec) -> list[Check]:
+    """The row-level rules that a table's spec declares: NOT NULL columns and VARCHAR lengths."""
+    return [*[not_null(c) for c in spec.not_null], *[max_length(c, n) for c, n in spec.lengths.items()]]
+
+
+def check_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every violation of a table's spec: its row-level rules in one scan, its primary key and each UNIQUE column in one aggregate each."""
+    keyed = [dq_pk(df, spec.key, spec.name), *([dq_pk(df, spec.pk, spec.name)] if spec.two_keys else [])]
+    checks = spec_checks(spec)
+    rows = [check_rows(df, spec.name, spec.key, checks)] if checks else []
+    return _union([*rows, *keyed, *[dq_unique(df, c, spec.name) for c in spec.unique if c != spec.key]])
+
+
 def dq_not_null(df: DataFrame, cols: Sequence[str], key: str, tbl: str) -> DataFrame:
     """NOT NULL: one violation per (row, column)."""
     return check_rows(df, tbl, key, [not_null(c) for c in cols])

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.fold import ORDER, latest_state
 
@@ -147,6 +148,44 @@ def evolve(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: From narrow to wide: a column may become any later type of a row.
+_WIDER = (("byte", "short", "int", "long"), ("float", "double"))
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds every value of both: integers widen to longer ones and to decimals, decimals to more
+    digits, float to double. Anything else that differs is an error."""
+    if a == b:
+        return a
+    for kinds in _WIDER:
+        names = [{"tinyint": "byte", "smallint": "short", "bigint": "long"}.get(t.simpleString(), t.simpleString()) for t in (a, b)]
+        if all(n in kinds for n in names):
+            return (a, b)[kinds.index(names[1]) > kinds.index(names[0])]
+    digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
+        parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (digits.get(t.simpleString()), 0) for t in (a, b)]
+        if all(whole is not None for whole, _ in parts):
+            whole, scale = max(p[0] for p in parts), max(p[1] for p in parts)
+            if whole + scale <= 38:
+                return T.DecimalType(whole + scale, scale)
+    raise ValueError(f"{a.simpleString()} and {b.simpleString()} have no common wider type")
+
+
+def merged_schema(*schemas: T.StructType) -> T.StructType:
+    """The columns of all generations, in order of appearance, each with its widest type."""
+    found: dict[str, T.DataType] = {}
+    for s in schemas:
+        for f in s.fields:
+            found[f.name] = wider(found[f.name], f.dataType) if f.name in found else f.dataType
+    return T.StructType([T.StructField(n, t, True) for n, t in found.items()])
+
+
+def read_generations(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet folders written under older and newer schemas as one scan: columns by name, missing ones NULL, widened types
+    read by the Parquet reader itself. Only footers are read to find the schema."""
+    return spark.read.schema(merged_schema(*[spark.read.parquet(p).schema for p in paths])).parquet(*paths)
+
+
 def compact_log(log: DataFrame, path: str, partition_cols: list[str], *, files_per_partition: int = 1,
                 mode: str = "errorifexists") -> None:
     """Rewrite an append-only change log (many small per-batch files) into

@@ -10,7 +10,7 @@ from tidemark.functions.scalar import event_time, json_field, ms_from_ntz
 from tidemark.operators import analytics, envelope, monitor, quality, versions
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, table, with_log
-from tidemark.session import spread
+from tidemark.session import spread, work_dir
 from tidemark.sources.changes import to_envelopes
 from tidemark.spec import EVENTS_SPEC
 
@@ -201,6 +201,22 @@ def q_schema_evolve(spark, sf):
     return versions.evolve(old, new)
 
 
+@register("schema_evolve_files", with_log(
+    f"SELECT k, pos, CAST(CASE WHEN batch_id < {SCHEMA_CHANGE_AT} THEN pos % 1000 ELSE amount END AS DECIMAL(12,2)) AS amount, "
+    f"CASE WHEN batch_id >= {SCHEMA_CHANGE_AT} THEN status END AS status FROM log"))
+def q_schema_evolve_files(spark, sf):
+    """Files of three generations read as one scan: ``k`` grew from int to long, ``amount`` from int to decimal, ``status`` came."""
+    root = work_dir(spark, "generations")
+    log = event_log(spark, sf)
+    half, at = SCHEMA_CHANGE_AT // 2, F.col("batch_id")
+    first = log.filter(at < half).select(F.col("k").cast("int"), "pos", (F.col("pos") % 1000).cast("int").alias("amount"))
+    second = log.filter((at >= half) & (at < SCHEMA_CHANGE_AT)).select("k", "pos", (F.col("pos") % 1000).cast("decimal(12,2)").alias("amount"))
+    third = log.filter(at >= SCHEMA_CHANGE_AT).select("k", "pos", "amount", "status")
+    for n, part in enumerate((first, second, third)):
+        part.write.parquet(f"{root}/{n}")
+    return versions.read_generations(spark, *[f"{root}/{n}" for n in range(3)])
+
+
 @register("dq_images", with_log(
     "SELECT 'images' AS rule, 'events' AS tbl, 'op' AS col, 'NULL' AS key, 'op_domain' AS detail "
     "FROM log WHERE pos % 97 = 0"))

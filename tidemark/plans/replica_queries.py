@@ -5,6 +5,8 @@ A18, B7-B12, C1-C9, D1-D3, D6-D7, F, H10-H13, I2-I7, N)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from tidemark.operators import analytics, dml, fold, quality, versions
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, table, with_log
 from tidemark.sources.tables import read_source, rows, scan
-from tidemark.spec import OP_DOMAIN
+from tidemark.spec import CUSTOMERS_SPEC, OP_DOMAIN
 
 # Fixed parameters of the registered queries.
 TOP_N = 10
@@ -164,6 +166,16 @@ def q_fk_orphans(spark, sf):
             .unionByName(orph("events", "user_id", "customer", "c_custkey")))
 
 
+@register("fk_orphans_replica",
+          "SELECT 'orders' AS child, 'o_custkey' AS fk, o_custkey AS fk_value FROM orders WHERE o_custkey IS NOT NULL "
+          "AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
+def q_fk_orphans_replica(spark, sf):
+    """Orders whose customer hasn't reached the replica: every tenth customer is still missing there."""
+    orders, replica = _t(spark, sf, "orders", ["o_custkey"]), _t(spark, sf, "customer", ["c_custkey"]).filter("c_custkey % 10 <> 0")
+    return analytics.orphans(orders, "o_custkey", replica, "c_custkey").select(
+        F.lit("orders").alias("child"), F.lit("o_custkey").alias("fk"), F.col("o_custkey").cast("long").alias("fk_value"))
+
+
 @register("kpi_counts",
           "SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL "
           "SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'part', count(*) FROM part")
@@ -460,6 +472,54 @@ def q_dq_shape(spark, sf):
     return _dq_shape(spark, sf)
 
 
+def damaged_customers(spark, sf):
+    """``customers`` with faults by key: no name, the next one's email, too long a tier, a phone of another shape, no key, a row twice."""
+    c = _t(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    k = F.col("c_custkey")
+    mail = F.concat(F.when(k % 19 == 0, k + 1).otherwise(k).cast("string"), F.lit("@example.com"))
+    rows = c.select(F.when(k % 37 != 0, k).cast("int").alias("customer_id"), F.when(k % 17 != 0, F.col("c_name")).alias("name"), F.when(k % 23 != 0, mail).alias("email"),
+                    F.when(k % 13 == 0, F.concat(F.lit("x"), k)).otherwise(F.format_string("+33-6-%02d-%02d-%02d-%02d", *[F.lit(10) + k % 90] * 4)).alias("phone"),
+                    F.when(k % 29 == 0, F.repeat(F.col("c_mktsegment"), F.lit(3))).otherwise(F.col("c_mktsegment")).alias("loyalty_tier"))
+    return rows.unionByName(rows.filter("customer_id % 31 = 0"))
+
+
+_DC_SQL = ("dc0 AS (SELECT CASE WHEN k % 37 <> 0 THEN k END::INTEGER AS customer_id, CASE WHEN k % 17 <> 0 THEN c_name END AS name, "
+           "CASE WHEN k % 23 <> 0 THEN (CASE WHEN k % 19 = 0 THEN k + 1 ELSE k END) || '@example.com' END AS email, "
+           "CASE WHEN k % 13 = 0 THEN 'x' || k ELSE printf('+33-6-%02d-%02d-%02d-%02d', 10 + k % 90, 10 + k % 90, 10 + k % 90, 10 + k % 90) END AS phone, "
+           "CASE WHEN k % 29 = 0 THEN repeat(c_mktsegment, 3) ELSE c_mktsegment END AS loyalty_tier FROM (SELECT c_custkey AS k, * FROM customer)), "
+           "dc AS (SELECT * FROM dc0 UNION ALL SELECT * FROM dc0 WHERE customer_id % 31 = 0)")
+_ROW_SQL = "SELECT '{rule}' AS rule, 'customers' AS tbl, '{col}' AS col, CAST(customer_id AS VARCHAR) AS key, {detail} AS detail FROM dc WHERE {bad}"
+
+
+@register("dq_spec", f"WITH {_DC_SQL} " + " UNION ALL ".join(
+    [_ROW_SQL.format(rule="not_null", col=c, detail="CAST(NULL AS VARCHAR)", bad=f"{c} IS NULL") for c in CUSTOMERS_SPEC.not_null]
+    + [_ROW_SQL.format(rule="length", col=c, detail=f"CAST(length({c}) AS VARCHAR)", bad=f"length({c}) > {n}") for c, n in CUSTOMERS_SPEC.lengths.items()]
+    + ["SELECT 'pk_unique', 'customers', 'customer_id', CAST(customer_id AS VARCHAR), CAST(count(*) AS VARCHAR) FROM dc GROUP BY customer_id HAVING count(*) > 1 OR customer_id IS NULL",
+       "SELECT 'unique', 'customers', 'email', email, CAST(count(*) AS VARCHAR) FROM dc WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1"]))
+def q_dq_spec(spark, sf):
+    """Every rule that the customers' spec declares, over rows with faults of each kind."""
+    return quality.check_spec(damaged_customers(spark, sf), CUSTOMERS_SPEC)
+
+
+@register("dq_shape_phone", f"WITH {_DC_SQL} " + _ROW_SQL.format(
+    rule="shape", col="phone", detail="phone", bad=f"phone IS NOT NULL AND NOT regexp_matches(phone, '{PHONE_PATTERN}')"))
+def q_dq_shape_phone(spark, sf):
+    """Phones of another shape than the pattern."""
+    return quality.dq_shape(damaged_customers(spark, sf), "phone", PHONE_PATTERN, "customer_id", "customers")
+
+
+_NOW = dt.datetime(2024, 2, 1, 8, 30, tzinfo=dt.timezone.utc)
+
+
+@register("update_stamped", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus, "
+                            "CASE WHEN o_orderstatus = 'P' THEN 1706776200000 END::BIGINT AS updated_ms FROM orders")
+def q_update_stamped(spark, sf):
+    """``UPDATE ... SET status = 'F', updated_at = now WHERE status = 'P'``: only the rows that it hits are stamped."""
+    o = _t(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    done = dml.guarded_update(o, F.col("o_orderstatus") == "P", {"o_orderstatus": "F"}, now=_NOW)
+    return done.select("o_orderkey", "o_orderstatus", F.unix_millis("updated_at").alias("updated_ms"))
+
+
 @register("dq_summary", with_log(
     "SELECT rule, tbl, col, count(*) AS violations FROM (" + " UNION ALL ".join(
         f"SELECT rule, tbl, col FROM ({s})" for s in

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.analytics import reconcile
+from tidemark.operators.fold import latest_state
 from tidemark.plans.core_queries import LATEST_SQL, STATE_COLS
 from tidemark.plans.registry import register
 from tidemark.plans.testdata import event_log, with_log
 from tidemark.session import work_dir
-from tidemark.streaming.apply import RATE_ORDER, start_apply, start_latest, start_rate
+from tidemark.streaming.apply import RATE_ORDER, start_apply, start_latest, start_rate, stored_state
 from tidemark.streaming.change_table import ChangeTable
 from tidemark.streaming.progress import ProgressLog
 from tidemark.streaming.rates import RateTable, stream_sliding_rate
@@ -216,3 +218,29 @@ def q_stream_sliding_rate(spark, sf):
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return spark.read.parquet(f"{root}/rates")
+
+
+@register("snapshot_rows_trend", with_log("SELECT landing AS version, count(DISTINCT k) AS rows FROM landed GROUP BY landing", _LANDED))
+def q_snapshot_rows_trend(spark, sf):
+    """Rows written per micro-batch, also of those that a compaction has merged since."""
+    tables = []
+
+    def start(stream, root):
+        tables.append(ChangeTable(spark, f"{root}/replica", "k", stream.select(*STATE_COLS).schema))
+        if len(tables) == LANDINGS - 1:
+            tables[-1].compact()
+        return start_apply(stream.select(*STATE_COLS), tables[-1], f"{root}/_checkpoint", trigger="availableNow")
+
+    _run_landings(spark, sf, "rows-trend", start)
+    return tables[-1].size_trend().select("version", "rows")
+
+
+@register("state_audit", with_log(
+    "SELECT coalesce(state, 'absent') AS verdict, count(*) AS n_keys FROM (SELECT 'same' AS state FROM (SELECT DISTINCT k FROM log)) GROUP BY 1"))
+def q_state_audit(spark, sf):
+    """The state store of the stateful latest-row query, read as a table after restarts and held against the batch fold."""
+    root = _run_landings(spark, sf, "state-audit", lambda stream, root: start_latest(
+        stream.select(*STATE_COLS), "k", ChangeTable(spark, f"{root}/replica", "k", stream.select(*STATE_COLS).schema), f"{root}/_checkpoint", trigger="availableNow"))
+    kept = stored_state(spark, f"{root}/_checkpoint", STATE_COLS)
+    want = latest_state(event_log(spark, sf).select(*STATE_COLS), "k", keep_deletes=True)
+    return reconcile(want, kept, "k", [c for c in STATE_COLS if c != "k"]).groupBy(F.col("status").alias("verdict")).agg(F.count(F.lit(1)).alias("n_keys"))

@@ -68,6 +68,8 @@ def read_changes(spark: SparkSession, spec: TableSpec | None = None, *, mode: st
     else:
         if path is None:
             raise ValueError("file change sources need a path")
+        if start != "earliest" or not fail_on_loss:
+            raise ValueError("a file source reads every file from the first on and misses none: start and fail_on_loss are Kafka's")
         if mode == "stream":
             reader = spark.readStream.format(fmt).schema(RAW_SCHEMA)
             if max_per_trigger:

@@ -89,6 +89,13 @@ def start_latest(stream: DataFrame, key: str, table: ChangeTable, checkpoint: st
     return _start_stateful(stream_latest(stream, key, order), table, checkpoint, trigger)
 
 
+def stored_state(spark: SparkSession, checkpoint: str, cols: Sequence[str], operator: int = 0) -> DataFrame:
+    """What ``start_latest`` keeps in its state store, as of the last committed micro-batch: its latest row per key, read
+    with Spark's state source so that it can be held against the log or the replica (``analytics.reconcile``)."""
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return state.select("value.valueWithExtremumOrdering.*").select(*cols)
+
+
 def stream_rate(stream: DataFrame, window: str, slide: str | None = None, watermark: str = "10 minutes",
                 by: Sequence[str] = (), ts: str = "ts_ms") -> DataFrame:
     """Windowed change counts with a watermark bounding state and lateness."""
