@@ -196,3 +196,11 @@ def test_as_of_with_external_commit_times(spark):
     ct = spark.createDataFrame([(1, 100), (2, 200)], "commit_id long, committed_at_ms long")
     assert [r.status for r in versions.as_of(log, "k", 150, commit_times=ct).collect()] == ["a"]
     assert [r.status for r in versions.as_of(log, "k", 250, commit_times=ct).collect()] == ["b"]
+
+
+def test_a_catalog_read_from_storage_works_as_well(spark, tmp_root):
+    log, refs = _branch_setup(spark)
+    log, refs = branches.merge_branch(log, refs, "ds", "main", "k", 50)
+    refs.write.parquet(f"{tmp_root}/refs")
+    stored = spark.read.parquet(f"{tmp_root}/refs")
+    assert branches.included(stored, "main") == branches.included(refs, "main") and _keys_on(log, stored, "main") == _keys_on(log, refs, "main")

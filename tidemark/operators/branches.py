@@ -37,17 +37,23 @@ REFS_SCHEMA = T.StructType([
 ])
 
 
+def _refs(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    out = spark.createDataFrame(rows, REFS_SCHEMA)
+    out._catalog = [Row(*REFS_SCHEMA.names)(*r) for r in rows]  # so that a chain of operations needn't ask for them again
+    return out
+
+
 def new_refs(spark: SparkSession, main: str = "main") -> DataFrame:
-    return spark.createDataFrame([(main, None, None, None, "branch")], REFS_SCHEMA)
+    return _refs(spark, [(main, None, None, None, "branch")])
 
 
 def _catalog(refs: DataFrame) -> list[Row]:
     """All rows of the catalog: one per branch and merge."""
-    return refs.collect()
+    return vars(refs).get("_catalog") or refs.collect()
 
 
 def _add(refs: DataFrame, *row) -> DataFrame:
-    return refs.sparkSession.createDataFrame([*map(tuple, _catalog(refs)), row], REFS_SCHEMA)
+    return _refs(refs.sparkSession, [*map(tuple, _catalog(refs)), row])
 
 
 def create_branch(refs: DataFrame, name: str, from_ref: str, at_commit: int, created_at_ms: int | None = None) -> DataFrame:

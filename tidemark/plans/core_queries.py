@@ -11,7 +11,7 @@ from tidemark.functions.scalar import changed_columns, minutes_before
 from tidemark.operators import fold, ordered, versions
 from tidemark.operators.envelope import replay_dedup
 from tidemark.plans.registry import register
-from tidemark.plans.testdata import event_log, table, with_log
+from tidemark.plans.testdata import commit_at, commit_sql, event_log, table, with_log
 from tidemark.session import work_dir
 from tidemark.sources.stored_log import StoredLog
 
@@ -19,7 +19,8 @@ STATE_COLS = ["k", "op", "status", "amount", "ts_ms", "pos"]
 _S = "k, op, status, amount, ts_ms, pos"
 
 # Fixed parameters of the registered queries.
-FORK_VERSION = 50                     # "as of version" / branch fork point
+FORK = 50                             # "as of version" / branch fork point, in hundredths of the log's commits
+FORK_SQL = commit_sql(FORK)
 AS_OF_UTC = dt.datetime(2024, 1, 15, 12, 0, 0, tzinfo=dt.timezone.utc)
 AS_OF_MS = int(AS_OF_UTC.timestamp() * 1000)
 MINUTES_AGO = 30
@@ -72,16 +73,18 @@ def q_split_ops(spark, sf):
 def q_apply_batch(spark, sf):
     """State at the fork version (tombstones kept), then every later change
     applied as one batch."""
-    state = fold.latest_state(event_log(spark, sf, upto_batch=FORK_VERSION), "k", keep_deletes=True)
-    nxt = fold.apply_batch(state, event_log(spark, sf, after_batch=FORK_VERSION), "k")
+    fork = commit_at(spark, sf, FORK)
+    state = fold.latest_state(event_log(spark, sf, upto_batch=fork), "k", keep_deletes=True)
+    nxt = fold.apply_batch(state, event_log(spark, sf, after_batch=fork), "k")
     return state_cols(fold.live(nxt))
 
 
 @register("merge_upsert", LATEST_SQL)
 def q_merge_upsert(spark, sf):
     """MERGE of the later changes into the fork-version state (full outer join form)."""
-    state = fold.latest_state(event_log(spark, sf, upto_batch=FORK_VERSION), "k", keep_deletes=True)
-    merged = fold.merge_state(state, event_log(spark, sf, after_batch=FORK_VERSION), "k")
+    fork = commit_at(spark, sf, FORK)
+    state = fold.latest_state(event_log(spark, sf, upto_batch=fork), "k", keep_deletes=True)
+    merged = fold.merge_state(state, event_log(spark, sf, after_batch=fork), "k")
     return state_cols(fold.live(merged))
 
 
@@ -103,9 +106,10 @@ def q_snapshot_plus_changes(spark, sf):
     return state_cols(fold.latest_state(snapshot_rows(spark, sf).unionByName(event_log(spark, sf)), "k"))
 
 
-@register("as_of_version", with_log(latest_sql(f"(SELECT * FROM log WHERE batch_id <= {FORK_VERSION})")))
+@register("as_of_version", with_log(latest_sql(f"(SELECT * FROM log WHERE batch_id <= {FORK_SQL})")))
 def q_as_of_version(spark, sf):
-    return state_cols(versions.as_of_version(event_log(spark, sf, upto_batch=FORK_VERSION), "k", FORK_VERSION))
+    fork = commit_at(spark, sf, FORK)
+    return state_cols(versions.as_of_version(event_log(spark, sf, upto_batch=fork), "k", fork))
 
 
 _COMMIT_SQL = "c AS (SELECT batch_id, max(ts_ms) AS committed_at_ms FROM log GROUP BY batch_id)"
@@ -159,7 +163,7 @@ def q_as_of_stored_minutes_ago(spark, sf):
     return state_cols(stored_log(spark, sf).as_of_minutes_ago("k", 7 * 1440))
 
 
-_V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_VERSION})')}), "
+_V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_SQL})')}), "
          f"b AS ({latest_sql()})")
 
 
@@ -169,7 +173,8 @@ _V_AB = (f"a AS ({latest_sql(f'(SELECT * FROM log WHERE batch_id <= {FORK_VERSIO
     "ELSE 'changed' END AS change, a.status AS old_status, a.amount AS old_amount, b.status AS new_status, "
     "b.amount AS new_amount FROM a FULL JOIN b ON a.k = b.k", _V_AB))
 def q_version_diff(spark, sf):
-    return versions.version_diff(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
+    fork = commit_at(spark, sf, FORK)
+    return versions.version_diff(event_log(spark, sf), "k", fork, ["status", "amount"])
 
 
 @register("version_except", with_log(
@@ -177,14 +182,16 @@ def q_version_diff(spark, sf):
     "SELECT k, status, amount FROM a)) UNION ALL (SELECT k, status, amount, 'removed' AS side FROM "
     "(SELECT k, status, amount FROM a EXCEPT ALL SELECT k, status, amount FROM b))", _V_AB))
 def q_version_except(spark, sf):
-    return versions.log_except(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
+    fork = commit_at(spark, sf, FORK)
+    return versions.log_except(event_log(spark, sf), "k", fork, ["status", "amount"])
 
 
 @register("diff_amount", with_log(
     "SELECT b.k, b.amount - a.amount AS delta FROM b JOIN a USING (k) WHERE b.status = 'purchase'", _V_AB))
 def q_diff_amount(spark, sf):
     """Current vs historical state of the same keys, filtered on current; one scan."""
-    both = versions.two_states(event_log(spark, sf), "k", FORK_VERSION, ["status", "amount"])
+    fork = commit_at(spark, sf, FORK)
+    both = versions.two_states(event_log(spark, sf), "k", fork, ["status", "amount"])
     return (both.filter("_old IS NOT NULL AND _new.status = 'purchase'")
             .select("k", (F.col("_new.amount") - F.col("_old.amount")).alias("delta")))
 

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import event_time, json_field, ms_from_ntz
 from tidemark.operators import analytics, envelope, monitor, quality, versions
 from tidemark.plans.registry import register
-from tidemark.plans.testdata import event_log, table, with_log
+from tidemark.plans.testdata import commit_at, commit_sql, event_log, table, with_log
 from tidemark.session import spread, work_dir
 from tidemark.sources.changes import to_envelopes
 from tidemark.spec import EVENTS_SPEC
 
 # Fixed parameters of the registered queries.
-CONSUMER_POSITION = 80        # last commit the consumer has acknowledged
-SCHEMA_CHANGE_AT = 60         # commit from which row images carry a new column
+CONSUMER_POSITION = 80        # last commit the consumer has acknowledged, in hundredths of the log's commits
+SCHEMA_CHANGE_AT = 60         # commit from which row images carry a new column, likewise
+_POSITION_SQL, _CHANGE_SQL = commit_sql(CONSUMER_POSITION), commit_sql(SCHEMA_CHANGE_AT)
 SLA_MS = 60_000
 HEARTBEATS = "__heartbeat.cdc"
 
@@ -175,7 +176,7 @@ def log_with_new_column(spark, sf):
     j = event_log(spark, sf, extra=("props",)).withColumn("prop_k", json_field(F.col("props"), "$.k", "bigint"))
     base = F.create_map(F.lit("k"), F.col("k").cast("string"), F.lit("status"), F.col("status"),
                         F.lit("amount"), F.col("amount").cast("string"))
-    extra = F.when(F.col("batch_id") >= SCHEMA_CHANGE_AT,
+    extra = F.when(F.col("batch_id") >= commit_at(spark, sf, SCHEMA_CHANGE_AT),
                    F.create_map(F.lit("prop_k"), F.col("prop_k").cast("string"))) \
         .otherwise(F.create_map().cast("map<string,string>"))
     return j.withColumn("after", F.when(F.col("op") != "d", F.map_concat(base, extra)))
@@ -183,35 +184,36 @@ def log_with_new_column(spark, sf):
 
 @register("schema_drift", with_log(
     "SELECT 'prop_k' AS column_name, count(*) AS n_changes, min(ts_ms) AS first_seen_ms, max(ts_ms) AS last_seen_ms "
-    f"FROM log WHERE batch_id >= {SCHEMA_CHANGE_AT} AND op <> 'd' GROUP BY column_name"))
+    f"FROM log WHERE batch_id >= {_CHANGE_SQL} AND op <> 'd' GROUP BY column_name"))
 def q_schema_drift(spark, sf):
     return versions.observed_columns(log_with_new_column(spark, sf), EVENTS_SPEC.names)
 
 
 @register("schema_evolve", with_log(
-    f"SELECT k, pos, status, CASE WHEN batch_id >= {SCHEMA_CHANGE_AT} "
+    f"SELECT k, pos, status, CASE WHEN batch_id >= {_CHANGE_SQL} "
     "THEN CAST(json_extract_string(e.props, '$.k') AS BIGINT) END AS prop_k "
     "FROM log JOIN events e ON e.event_id = log.pos"))
 def q_schema_evolve(spark, sf):
     """Files written before the change (old column set) read together with
     files written after it: matched by name, the new column NULL for old rows."""
     j = log_with_new_column(spark, sf)
-    old = j.filter(F.col("batch_id") < SCHEMA_CHANGE_AT).select("k", "pos", "status")
-    new = j.filter(F.col("batch_id") >= SCHEMA_CHANGE_AT).select("k", "pos", "status", "prop_k")
+    old = j.filter(F.col("batch_id") < commit_at(spark, sf, SCHEMA_CHANGE_AT)).select("k", "pos", "status")
+    new = j.filter(F.col("batch_id") >= commit_at(spark, sf, SCHEMA_CHANGE_AT)).select("k", "pos", "status", "prop_k")
     return versions.evolve(old, new)
 
 
 @register("schema_evolve_files", with_log(
-    f"SELECT k, pos, CAST(CASE WHEN batch_id < {SCHEMA_CHANGE_AT} THEN pos % 1000 ELSE amount END AS DECIMAL(12,2)) AS amount, "
-    f"CASE WHEN batch_id >= {SCHEMA_CHANGE_AT} THEN status END AS status FROM log"))
+    f"SELECT k, pos, CAST(CASE WHEN batch_id < {_CHANGE_SQL} THEN pos % 1000 ELSE amount END AS DECIMAL(12,2)) AS amount, "
+    f"CASE WHEN batch_id >= {_CHANGE_SQL} THEN status END AS status FROM log"))
 def q_schema_evolve_files(spark, sf):
     """Files of three generations read as one scan: ``k`` grew from int to long, ``amount`` from int to decimal, ``status`` came."""
     root = work_dir(spark, "generations")
     log = event_log(spark, sf)
-    half, at = SCHEMA_CHANGE_AT // 2, F.col("batch_id")
+    change, at = commit_at(spark, sf, SCHEMA_CHANGE_AT), F.col("batch_id")
+    half = change // 2
     first = log.filter(at < half).select(F.col("k").cast("int"), "pos", (F.col("pos") % 1000).cast("int").alias("amount"))
-    second = log.filter((at >= half) & (at < SCHEMA_CHANGE_AT)).select("k", "pos", (F.col("pos") % 1000).cast("decimal(12,2)").alias("amount"))
-    third = log.filter(at >= SCHEMA_CHANGE_AT).select("k", "pos", "amount", "status")
+    second = log.filter((at >= half) & (at < change)).select("k", "pos", (F.col("pos") % 1000).cast("decimal(12,2)").alias("amount"))
+    third = log.filter(at >= change).select("k", "pos", "amount", "status")
     for n, part in enumerate((first, second, third)):
         part.write.parquet(f"{root}/{n}")
     return versions.read_generations(spark, *[f"{root}/{n}" for n in range(3)])
@@ -263,14 +265,14 @@ def kafka_log(spark, sf):
 
 def consumer_positions(spark, sf):
     """A consumer that has read all commits up to ``CONSUMER_POSITION``: its committed offset per partition."""
-    return (kafka_log(spark, sf).filter(F.col("batch_id") <= CONSUMER_POSITION).groupBy("topic", "partition")
+    return (kafka_log(spark, sf).filter(F.col("batch_id") <= commit_at(spark, sf, CONSUMER_POSITION)).groupBy("topic", "partition")
             .agg(F.max("offset").alias("committed_offset")))
 
 
 @register("consumer_lag", with_log(
     "SELECT 'cdc.sales.events' AS topic, CAST(k % 4 AS INTEGER) AS partition, max(pos) AS end_offset, "
-    f"max(pos) FILTER (WHERE batch_id <= {CONSUMER_POSITION}) AS committed_offset, "
-    f"count(*) FILTER (WHERE batch_id > {CONSUMER_POSITION}) AS lag_messages FROM log GROUP BY 2"))
+    f"max(pos) FILTER (WHERE batch_id <= {_POSITION_SQL}) AS committed_offset, "
+    f"count(*) FILTER (WHERE batch_id > {_POSITION_SQL}) AS lag_messages FROM log GROUP BY 2"))
 def q_consumer_lag(spark, sf):
     return monitor.consumer_lag(kafka_log(spark, sf), consumer_positions(spark, sf))
 
@@ -296,7 +298,7 @@ def pipeline_metrics(spark, sf):
 @register("sla_breaches", with_log(
     "SELECT metric, subject, value, limit_value, true AS breach FROM ("
     f"SELECT 'consumer_lag_messages' AS metric, 'partition-' || CAST(k % 4 AS VARCHAR) AS subject, "
-    f"CAST(count(*) FILTER (WHERE batch_id > {CONSUMER_POSITION}) AS DOUBLE) AS value FROM log GROUP BY k % 4 "
+    f"CAST(count(*) FILTER (WHERE batch_id > {_POSITION_SQL}) AS DOUBLE) AS value FROM log GROUP BY k % 4 "
     "UNION ALL SELECT 'batch_duration_s', 'commit-' || CAST(batch_id AS VARCHAR), "
     "round((max(ts_ms) - min(ts_ms)) / 1000.0, 3) FROM log GROUP BY batch_id "
     "UNION ALL SELECT 'end_to_end_lag_s', 'commit-' || CAST(batch_id AS VARCHAR), "

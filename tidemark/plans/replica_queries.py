@@ -13,14 +13,14 @@ from pyspark.sql import types as T
 from tidemark.functions.scalar import derive_email, phone_format
 from tidemark.operators import analytics, dml, fold, quality, versions
 from tidemark.plans.registry import register
-from tidemark.plans.testdata import event_log, table, with_log
+from tidemark.plans.testdata import commit_at, commit_sql, event_log, table, with_log
 from tidemark.sources.tables import read_source, rows, scan
 from tidemark.spec import CUSTOMERS_SPEC, OP_DOMAIN
 
 # Fixed parameters of the registered queries.
 TOP_N = 10
 ORDER_THRESHOLD = 20          # "customers with more than N orders"
-RECONCILE_REPLICA_VERSION = 90
+RECONCILED_UPTO = 90          # the replica's last commit, in hundredths of the log's commits
 PHONE_PATTERN = r"^\+33-6(-[0-9]{2}){4}$"
 
 
@@ -135,13 +135,13 @@ def q_delete_semi(spark, sf):
     "r.amount AS rep_amount FROM s FULL JOIN r ON s.k = r.k",
     "s AS (SELECT k, status, amount FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts_ms DESC, pos DESC) "
     "AS rn FROM log) WHERE rn = 1 AND op <> 'd'), r AS (SELECT k, status, amount FROM (SELECT *, row_number() OVER "
-    f"(PARTITION BY k ORDER BY ts_ms DESC, pos DESC) AS rn FROM log WHERE batch_id <= {RECONCILE_REPLICA_VERSION}) "
+    f"(PARTITION BY k ORDER BY ts_ms DESC, pos DESC) AS rn FROM log WHERE batch_id <= {commit_sql(RECONCILED_UPTO)}) "
     "WHERE rn = 1 AND op <> 'd')"))
 def q_reconcile(spark, sf):
     """Source (current truth) vs a replica that has applied commits up to N."""
     source = fold.latest_by_rank(event_log(spark, sf), "k")
-    replica = versions.as_of_version(event_log(spark, sf, upto_batch=RECONCILE_REPLICA_VERSION), "k",
-                                     RECONCILE_REPLICA_VERSION)
+    upto = commit_at(spark, sf, RECONCILED_UPTO)
+    replica = versions.as_of_version(event_log(spark, sf, upto_batch=upto), "k", upto)
     return analytics.reconcile(source, replica, "k", ["status", "amount"])
 
 

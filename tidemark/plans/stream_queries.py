@@ -121,6 +121,13 @@ def q_data_files(spark, sf):
     return table.files()
 
 
+@register("data_files_total", with_log("SELECT count(DISTINCT k) AS record_count, true AS sized FROM log"))
+def q_data_files_total(spark, sf):
+    """The data files together hold each key of the one micro-batch once, and every file has a size."""
+    table, _ = _run_apply(spark, sf, None)
+    return table.files().agg(F.sum("record_count").alias("record_count"), (F.min("file_size") > 0).alias("sized"))
+
+
 @register("snapshot_size_trend")
 def q_snapshot_size_trend(spark, sf):
     """Rows, files and bytes written per micro-batch of the replica

@@ -54,6 +54,17 @@ def event_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), *,
     )
 
 
+def commit_at(spark: SparkSession, sf_dir: str, share: int) -> int:
+    """The commit at ``share`` hundredths of the log, whatever its size (one aggregate of one column)."""
+    newest = read_table(spark, sf_dir, "events", ["event_id"]).agg(F.max("event_id")).first()[0]
+    return (newest or 0) // BATCH_SIZE * share // 100
+
+
+def commit_sql(share: int) -> str:
+    """``commit_at`` as a scalar subquery of the oracles."""
+    return f"(SELECT max(event_id) // {BATCH_SIZE} * {share} // 100 FROM events)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
     return read_table(spark, sf_dir, name, columns)
 
