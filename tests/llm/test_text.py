@@ -349,3 +349,15 @@ def test_scratch_tables_can_be_dropped(spark):
     s.drop(t)
     with pytest.raises(Exception, match="(?i)exist"):
         t.count()
+
+
+def test_units_in_one_piece_have_the_ids_of_single_ones():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    parts = ["'s", "don't", " ", "  ", "\n", "\t", " ", " ", "　", "\x85", "\x1c", "a", "word", "é", "日本", "1", "²", "!", "-", "<|endoftext|>", "́", "😀"]
+    library = Tokenizer.from_file(BPE)
+    for without in ((), ("<|endoftext|>",)):   # a slice that holds the added token takes the other way
+        texts = ["".join(rng.choice([p for p in parts if p not in without]) for _ in range(rng.randrange(25))) for _ in range(3000)]
+        got = [ids.tolist() for ids in packing.UnitTokenizer(BPE).ids(pa.array(texts))]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]

@@ -14,6 +14,7 @@ result; only the id and text columns are read.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -74,6 +75,8 @@ class UnitTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.fast = tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
             bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if token not in self.added})
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.size[[rank for token, rank in vocabulary.items() if token not in self.added]] = [len(token) for token in vocabulary if token not in self.added]
         self.known: dict[int, bytes] = {}
 
     def unit(self, span: str) -> list[int]:
@@ -81,6 +84,29 @@ class UnitTokenizer:
             return self.tokenizer.encode(span, add_special_tokens=False).ids
         return self.fast.encode_ordinary(span)
 
+    def units(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The ids of each unit. Units that begin with white space and end in a word are encoded in one piece, as a text
+        of theirs would be: no token spans the place between two of them, so the tokens' bytes tell which are whose."""
+        plain = _SPACE[data[begin]] & ~_SPACE[data[end - 1]] & ~_after_wide_space(data, end)
+        if any(t.encode() in data.tobytes() for t in self.added):
+            plain[:] = False
+        out: list[bytes] = [b""] * len(begin)
+        if plain.any():
+            n = (end - begin)[plain]
+            stop = np.cumsum(n)
+            ids = np.array(self.fast.encode_ordinary(data[np.repeat(begin[plain] - (stop - n), n) + np.arange(stop[-1])].tobytes().decode()), "<u4")
+            after = np.cumsum(self.size[ids])
+            last = np.minimum(np.searchsorted(after, stop), len(ids) - 1)
+            if (after[last] == stop).all():
+                held, at = ids.tobytes(), 0
+                for k, z in zip(np.flatnonzero(plain).tolist(), ((last + 1) * 4).tolist(), strict=True):
+                    out[k], at = held[at:z], z
+            else:
+                plain[:] = False
+        for k in np.flatnonzero(~plain).tolist():
+            out[k] = np.array(self.unit(data[begin[k]:end[k]].tobytes().decode()), "<u4").tobytes()
+        return out
+
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         data, at = raw(texts)
         for i, j in slices(at):
@@ -102,9 +128,8 @@ class UnitTokenizer:
             if len(known) + len(new) > KNOWN_UNITS:
                 known.clear()
                 new = range(len(keys))
-            for k in new:
-                span = data[cut[first[k]]:end[first[k]]].tobytes().decode()
-                known[keys[k]] = np.array(self.unit(span), np.uint32).tobytes()
+            places = first[new]
+            known.update(zip((keys[k] for k in new), self.units(data, cut[places], end[places]), strict=True))
         held = [known[h] for h in keys]
         size = np.array([len(x) // 4 for x in held])
         flat, place = np.frombuffer(b"".join(held), np.uint32), np.cumsum(size) - size
@@ -116,6 +141,12 @@ class UnitTokenizer:
             yield out[a:b]
 
 
+@functools.cache
+def unit_tokenizer(path: str) -> UnitTokenizer:
+    """One per worker: reading the file takes longer than a small task."""
+    return UnitTokenizer(path)
+
+
 def cuts(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` ids; only the first may be shorter."""
     k = max(1, -(-n // length))
@@ -129,7 +160,8 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        units = UnitTokenizer(tokenizer)
+        units = unit_tokenizer(tokenizer)
+        units.known.clear()
         for b in batches:
             ids, rows, row = b.column(0).to_pylist(), [], 0
             for row, got in enumerate(units.ids(b.column(1))):
