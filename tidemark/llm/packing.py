@@ -30,7 +30,7 @@ from .words import hash_spans, raw, slices
 LENGTH = 2048
 END = 0
 GROUP = 1 << 16
-KNOWN_UNITS = 300_000
+KNOWN_UNITS = 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -161,7 +161,6 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         units = unit_tokenizer(tokenizer)
-        units.known.clear()
         for b in batches:
             ids, rows, row = b.column(0).to_pylist(), [], 0
             for row, got in enumerate(units.ids(b.column(1))):
@@ -173,6 +172,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
                 zip(*rows, strict=True) if rows else [[]] * 6,
                 (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+        units.known.clear()  # the worker goes on to other tasks
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 
