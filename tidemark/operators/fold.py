@@ -136,8 +136,9 @@ def merge_into(table: str, changes: DataFrame, key: str | Sequence[str], order:
     """``MERGE INTO table`` for catalogs with row-level operations (e.g. an
     Iceberg or Delta table), with the same semantics as ``apply_batch``: the
     batch is compacted to one change per key first, and a change older than the stored row
-    (by ``order``) is ignored. Deletes stay as rows with their op, so that a late or replayed
-    older upsert can't bring the key back; readers take ``live``. ``table`` must carry ``op`` and the ``order`` columns.
+    (by ``order``) is ignored. ``table`` must carry the ``order`` columns. If it carries the op as well, deletes stay as
+    rows, so that a late or replayed older upsert can't bring the key back, and readers take ``live``; without it a delete
+    removes the row, and an older upsert that comes later is inserted again.
     Plain Parquet tables have no row-level MERGE; use ``ChangeTable`` there.
     """
     ks = _keys(key)
@@ -147,5 +148,11 @@ def merge_into(table: str, changes: DataFrame, key: str | Sequence[str], order:
         c = F.col(f"s.{k}") == F.col(f"{table}.{k}")
         on = c if on is None else on & c
     newer = F.struct(*[F.col(f"s.{o}") for o in order]) > F.struct(*[F.col(f"{table}.{o}") for o in order])
-    cols = {c: F.col(f"s.{c}") for c in changes.columns}
-    src.mergeInto(table, on).whenMatched(newer).update(cols).whenNotMatched().insert(cols).merge()
+    flagged = op_col in changes.sparkSession.table(table).columns
+    cols = {c: F.col(f"s.{c}") for c in changes.columns if flagged or c != op_col}
+    ended = F.col(f"s.{op_col}") == "d"
+    merge = src.mergeInto(table, on)
+    if flagged:
+        merge.whenMatched(newer).update(cols).whenNotMatched().insert(cols).merge()
+    else:
+        merge.whenMatched(newer & ended).delete().whenMatched(newer).update(cols).whenNotMatched(~ended).insert(cols).merge()
