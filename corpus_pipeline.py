@@ -31,7 +31,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut; documents of which nothing is left go."""
-    cut = remove_repeats(docs).where("n_removed_words = 0 or trim(text) <> ''").drop("n_removed_words")
+    cut = remove_repeats(docs).where((F.col("n_removed_words") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).drop("n_removed_words")
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
