@@ -271,6 +271,61 @@ def test_toxicity_edge_cases(spark):
     assert {r["score"] for r in toxicity.score_documents(docs, labels.where("toxic = 0")).collect()} == {0.0}
 
 
+def area(pairs):
+    """Of all (toxic, ordinary) pairs the share that the scores order rightly."""
+    return np.mean([(a > b) + (a == b) / 2 for a, x in pairs if x for b, y in pairs if not y])
+
+
+@pytest.mark.parametrize("case", ["phrase", "no space", "equal length", "length only"])
+def test_toxicity_is_wording_and_not_length(case, spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(400)]
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    phrases = [say(4) for _ in range(6)]
+
+    def text(toxic):
+        words = say(240 if toxic and case == "length only" else 120)
+        at = rng.randrange(0, 116)
+        if toxic and case == "phrase":
+            words[at:at + 4] = rng.choice(phrases)
+        if toxic and case in ("equal length", "no space"):
+            words[at] = rng.choice(["vilewretch", "foulscum"])
+        return ("" if case == "no space" else " ").join(words)
+
+    rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(480)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = toxicity.score_documents(docs, labels).where("held_out").collect()
+    found = area([(r["score"], r["doc_id"] % 3 == 0) for r in got])
+    assert abs(found - 0.5) < 0.1 if case == "length only" else found > 0.9
+
+
+def test_toxicity_where_labels_match_no_document_or_texts_are_few(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "other")], "doc_id long, text string")
+    apart = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(100, 200)], "doc_id long, toxic int")
+    trained = [k for k in range(100, 200) if zlib.crc32(str(k).encode()) % 4 != 2]
+    share = sum(k % 4 == 0 for k in trained) / len(trained)
+    assert {(r["score"], r["predicted"]) for r in toxicity.score_documents(docs, apart).collect()} == {(share, int(share >= 0.3))}
+    for ids in ([(0, "vile"), (1, "x")], [(0, "vile"), (0, "mean"), (1, None), (4, "x")]):
+        few = spark.createDataFrame(ids, "doc_id long, text string")
+        out = toxicity.score_documents(few, spark.createDataFrame([(k, int(k == 0)) for k in range(8)], "doc_id long, toxic int")).collect()
+        assert len(out) == len(ids) and all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_telling_strings_and_their_passages():
+    rng = random.Random(5)
+    make = lambda word: toxicity.sample_windows(" ".join([*(f"w{rng.randrange(300)}" for _ in range(30)), word, *(f"w{rng.randrange(300)}" for _ in range(30))]))
+    toxic, ordinary = [make("vilewretch") for _ in range(40)], [make("kindperson") for _ in range(80)]
+    grams = {size: toxicity.telling(toxic, ordinary, size) for size in toxicity.GRAMS}
+    assert toxicity.gram_hashes(b"vilewr", 6)[0] in grams[6] and toxicity.gram_hashes(b"kindpe", 6)[0] not in grams[6]
+    assert all(b"vilewretch" in x for x in toxicity.passages(toxic, grams)) and not toxicity.passages(ordinary, grams)
+    # A passage that toxic texts copy from each other is one occurrence.
+    copied = " ".join(f"c{k}" for k in range(60))
+    assert not len(toxicity.telling([toxicity.sample_windows(copied) for _ in range(40)], ordinary, 12))
+    long = toxicity.windows(b"a" * 10_000)
+    assert max(map(len, long)) <= toxicity.LONGEST + toxicity.TAIL and sum(len(w) - toxicity.TAIL for w in long) == 10_001
+
+
 # Archives
 
 def test_archive_round_trip(spark):
