@@ -271,6 +271,25 @@ def test_toxicity_edge_cases(spark):
     assert {r["score"] for r in toxicity.score_documents(docs, labels.where("toxic = 0")).collect()} == {0.0}
 
 
+def test_half_copied_items_that_the_confirmation_accepts_are_found(spark):
+    docs, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
+    base = [r["text"] for r in docs.select("text").collect() if r["text"]]
+    items = sorted((r["item_id"], r["text"]) for r in bench.collect() if r["text"] and len(r["text"].split()) >= 20)
+    rng, words, planted = random.Random(1), [w for t in base for w in t.split()], {}
+    for share in (0.25, 0.4, 0.5):
+        for k, text in items:
+            own, host = text.split(), rng.choice(base).split()[:300]
+            for i in rng.sample(range(len(own) - 6), min(int(share * len(own)), len(own) - 6)):
+                own[i] = rng.choice(words)
+            at = rng.randrange(len(host) + 1)
+            planted[10**9 + len(planted)] = (k, " ".join(host[:at] + own + host[at:]))
+    plain = decontamination.Items([k for k, _ in items], [t.lower() for _, t in items], np.zeros((decontamination.TERMS, 4), np.float32), np.ones(decontamination.TERMS, np.float32))
+    accepted = [i for i, (k, text) in planted.items() for _, _, w in word_slices(pa.array([text.lower()])) if plain.leaked(plain.ids.index(k), w.hash.tolist())]
+    every = docs.select("doc_id", "text").union(spark.createDataFrame([(i, t) for i, (_, t) in planted.items()], "doc_id long, text string"))
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.decontaminate(every, bench).where("doc_id >= 1000000000").collect()}
+    assert len(accepted) > len(items) and sum(planted[i][0] in got[i] for i in accepted) >= 0.95 * len(accepted)
+
+
 def area(pairs):
     """Of all (toxic, ordinary) pairs the share that the scores order rightly."""
     return np.mean([(a > b) + (a == b) / 2 for a, x in pairs if x for b, y in pairs if not y])
