@@ -290,6 +290,44 @@ def test_half_copied_items_that_the_confirmation_accepts_are_found(spark):
     assert len(accepted) > len(items) and sum(planted[i][0] in got[i] for i in accepted) >= 0.95 * len(accepted)
 
 
+def test_items_whose_rarest_words_were_changed_are_found(spark):
+    docs, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
+    base = [r["text"] for r in docs.select("text").collect() if r["text"]]
+    common = Counter(w for t in base for w in set(t.lower().split()))
+    rng, words, planted = random.Random(4), [w for t in base for w in t.split()], {}
+    items = sorted((r["item_id"], r["text"]) for r in bench.collect() if r["text"] and len(r["text"].split()) >= 20)
+    for share in (0.4, 0.5):
+        for k, text in items:
+            own, host = text.split(), rng.choice(base).split()[:300]
+            body = len(own) - max(3, len(own) // 5)  # the answer stays
+            for i in sorted(range(body), key=lambda i: common[own[i].lower()])[:int(share * len(own))]:
+                own[i] = rng.choice(words)
+            at = rng.randrange(len(host) + 1)
+            planted[10**9 + len(planted)] = (k, " ".join(host[:at] + own + host[at:]))
+    plain = decontamination.Items([k for k, _ in items], [t.lower() for _, t in items], np.zeros((decontamination.TERMS, 4), np.float32), np.ones(decontamination.TERMS, np.float32))
+    accepted = [i for i, (k, text) in planted.items() for _, _, w in word_slices(pa.array([text.lower()])) if plain.leaked(plain.ids.index(k), w.hash.tolist())]
+    every = docs.select("doc_id", "text").union(spark.createDataFrame([(i, t) for i, (_, t) in planted.items()], "doc_id long, text string"))
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.decontaminate(every, bench).where("doc_id >= 1000000000").collect()}
+    assert len(accepted) > len(items) and sum(planted[i][0] in got[i] for i in accepted) >= 0.95 * len(accepted)
+
+
+def test_words_in_common_bound_the_common_subsequence():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("a b c d e".split()) for _ in range(rng.randrange(8, 60))) for _ in range(30)]
+    items = decontamination.Items(list(range(30)), texts, np.zeros((decontamination.TERMS, 4), np.float32), np.ones(decontamination.TERMS, np.float32))
+    stream = [rng.choice("a b c d e x y".split()) for _ in range(400)]
+    [(_, _, w)] = list(word_slices(pa.array([" ".join(stream)])))
+    slot = items.slot[decontamination.terms(w.hash)]
+    before, kept = np.concatenate([[0], np.cumsum(slot >= 0)]), slot[slot >= 0]
+    k, a = np.array([rng.randrange(30) for _ in range(200)]), np.array([rng.randrange(350) for _ in range(200)])
+    b = a + np.array([rng.randrange(50) for _ in range(200)])
+    got = decontamination._in_common(items, kept, decontamination._earlier(kept), k, before[a], before[b])
+    for item, lo, hi, n in zip(k.tolist(), a.tolist(), b.tolist(), got.tolist(), strict=True):
+        own, seen = Counter(texts[item].split()), Counter(stream[lo:hi])
+        exact = sum(min(c, seen[x]) if c <= decontamination.REPEATS else seen[x] for x, c in own.items())
+        assert n == exact >= decontamination.common_subsequence(items.masks[item], w.hash[lo:hi].tolist())
+
+
 def area(pairs):
     """Of all (toxic, ordinary) pairs the share that the scores order rightly."""
     return np.mean([(a > b) + (a == b) / 2 for a, x in pairs if x for b, y in pairs if not y])
