@@ -200,6 +200,25 @@ def test_base_score_and_held_out_gain(spark):
     assert sum(g["score"] for g in train) > sum(g["base_score"] for g in train)
 
 
+def test_every_language_has_its_own_weights_and_the_score_is_their_mixture(spark):
+    rng, langs = random.Random(12), ["l0", "l1", "l2", "l3", None, "l5", "l6", "l7", "l8"]
+    rows = [(i, " ".join(rng.choice("abcdefgh"[k % 8] + "aeiou") + rng.choice("xyz") + str(k) * rng.randrange(3) for _ in range(rng.randrange(1, 30))), lang)
+            for k, lang in enumerate(langs) for i in range(100 * k, 100 * k + 20 - k)]
+    got = {r["doc_id"]: r["score"] for r in lattice.score_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES, rounds=0).collect()}
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    words = sorted({w for r in rows for w in r[1].split()})
+    count = np.array([[sum(r[1].split().count(w) for r in train if r[2] == g) for g in langs] for w in words], float)
+    ends = np.array([sum(r[2] == g for r in train) for g in langs], float)
+    pieces, spans = lattice.vocabulary(PIECES), lattice._spans([w.encode() for w in words])
+    use = lattice.Lattice(pieces, lattice.start_weights(len(pieces), len(langs))).expected(*spans, (count > 0).astype(float)) + lattice.SMOOTHING
+    kinds = (count > 0).sum(0) + 1
+    mass = count.sum(0) + ends + kinds
+    word = np.log(np.exp(lattice.Lattice(pieces, np.log(use / use.sum(0))).score(*spans)) * kinds / mass + count / mass)
+    for i, text, _ in rows:
+        logs = word[[words.index(w) for w in text.split()]].sum(0) + np.log(ends / mass) + np.log((ends + 1) / (ends.sum() + len(langs)))
+        assert math.isclose(got[i], np.logaddexp.reduce(logs) / math.log(10), rel_tol=1e-9)
+
+
 def test_scoring_edge_cases(spark):
     rows = [(1, None, "en", None, "x", 1), (2, "", None, None, "x", 1), (3, "a b", "en", None, "x", 1), (3, "a b", "en", None, "x", 1), (None, "c", "fr", None, "x", 1), (6, "y" * 3000, "en", None, "x", 1)]
     out = lattice.score_texts(spark.createDataFrame(rows, EXTRA), PIECES, rounds=1).collect()
