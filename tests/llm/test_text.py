@@ -155,6 +155,22 @@ def test_rare_and_undeclared_languages_are_kept(spark):
     assert all(r["kept"] and r["language"] == "und" for r in nobody)
 
 
+def test_a_notice_of_the_host_goes_from_articles_that_do_not_mark_it(spark):
+    rng = random.Random(3)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice, quoted, own = say(12), say(15), [say(30) for _ in range(20)]
+    rows = [(k, "http://h.example/", f"<article><p>{own[k]}</p><p>{quoted}</p><p>{notice.upper()}</p></article><div class=notice>{notice}</div>") for k in range(4)]
+    rows += [(4, "http://h.example/", f"<article><p>{notice}</p></article>"), (5, "http://h.example/", f"<article><p>{own[5]}</p><p>{notice} more</p></article>"),
+             (6, "http://other.example/", f"<article><p>{own[6]}</p><p>{notice}</p></article>")]
+    rows += [(k, "http://advert.example/", f"<article><p>{own[k]}</p></article><div class=ad>{notice}</div>") for k in range(7, 16)]
+    rows += [(16, "http://advert.example/", f"<article><p>{own[16]}</p><p>{notice}</p></article>")]
+    by = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(by[k] == f"{own[k]}\n\n{quoted}" for k in range(4))  # the host's notice goes, what articles repeat stays
+    assert by[4] == notice and by[5] == f"{own[5]}\n\n{notice} more"  # but not if nothing else is there, and only whole blocks
+    assert by[6] == f"{own[6]}\n\n{notice}" and by[16] == f"{own[16]}\n\n{notice}"  # a paragraph of one article stays, an advert elsewhere or not
+    assert all(by[k] == own[k] for k in range(7, 16))
+
+
 # Scoring
 
 def test_lattice_sums_all_segmentations_and_expectations():
