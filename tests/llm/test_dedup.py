@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.embeddings import build, links_found, near_vectors
+from tidemark.llm.embeddings import Forest, build, link_steps, links_found, near_vectors
 from tidemark.llm.ids import maybe_in, one_of_equal, without
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.scratch import Scratch
@@ -223,6 +224,26 @@ def test_graph_search_finds_what_brute_force_finds():
     assert len(a) >= 0.97 * true
 
 
+def test_one_large_group_of_links_takes_little_memory_and_loses_none():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((9000, 8))
+    x[:6000] = x[0] + 0.02 * rng.standard_normal((6000, 8))   # 6,000 vectors that all link
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g, q = build(x), x[:1024]
+    tracemalloc.start()
+    forest, n = Forest(len(q), len(x)), np.zeros(len(q), int)
+    for a, p in link_steps(g, x, q, np.arange(len(q)), 32):
+        n += np.bincount(a, minlength=len(q))
+        forest.add(a, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [int((x @ v >= 0.9).sum()) - 1 for v in q]
+    linked = np.flatnonzero((x[0] @ x.T >= 0.9))
+    assert len(set(forest.root[len(q) + linked].tolist()) | set(forest.root[:len(q)].tolist())) == 1
+    assert len(forest.a) <= len(q) + len(linked) and (q[forest.a] * x[forest.p]).sum(1).min() >= 0.9
+    assert peak < 300 << 20
+
+
 def test_id_filter_is_exact_after_the_join(spark):
     rows = spark.createDataFrame([(i, "x") for i in range(50)] + [(None, "x"), (3, "x"), (4, "y")], "k long, v string")
     gone = spark.createDataFrame([(i,) for i in range(0, 50, 5)] + [(None,)], "k long")
