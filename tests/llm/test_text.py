@@ -235,6 +235,20 @@ def test_every_language_has_its_own_weights_and_the_score_is_their_mixture(spark
         assert math.isclose(got[i], np.logaddexp.reduce(logs) / math.log(10), rel_tol=1e-9)
 
 
+def test_every_round_re_estimates_from_every_training_word(spark, monkeypatch):
+    rows = [(i, " ".join(["often"] * 5 + [f"rare{i}", f"seldom{i % 9}"]), "en") for i in range(60)]
+    want = {w for i, text, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in text.split()}
+    seen, plain = [], lattice.re_estimate
+
+    def noted(spark, words, *rest):
+        seen.append({bytes(r["word"]).decode() for r in words.select("word").collect()})
+        return plain(spark, words, *rest)
+
+    monkeypatch.setattr(lattice, "re_estimate", noted)
+    out = lattice.score_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES, heavy=3, rounds=2).collect()
+    assert len(out) == 60 and seen == [want] * 3
+
+
 def test_scoring_edge_cases(spark):
     rows = [(1, None, "en", None, "x", 1), (2, "", None, None, "x", 1), (3, "a b", "en", None, "x", 1), (3, "a b", "en", None, "x", 1), (None, "c", "fr", None, "x", 1), (6, "y" * 3000, "en", None, "x", 1)]
     out = lattice.score_texts(spark.createDataFrame(rows, EXTRA), PIECES, rounds=1).collect()
