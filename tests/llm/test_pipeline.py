@@ -69,3 +69,36 @@ def test_leaks_are_sought_with_all_items_and_counts_of_all_documents(spark, tmp_
     held = Counter(t for _, _, w in word_slices(pa.array(texts.values(), pa.string())) for k in range(len(w.first) - 1) for t in set(decontamination.terms(w.text(k)).tolist()))
     want = [np.log((len(texts) + 1) / (held[t] + 1)) + 0.01 for t in sorted(held)]
     np.testing.assert_allclose(seen["idf"][sorted(held)], want, rtol=1e-6)
+
+
+def test_the_latent_space_is_that_of_all_documents_and_items(spark):
+    rng = random.Random(4)
+    say = lambda n, kinds: " ".join(f"w{rng.randrange(kinds)}" for _ in range(n))
+    items, texts = [say(30, 60) for _ in range(8)], [say(rng.randrange(1, 300), 90) for _ in range(150)] + [None, ""]
+    frame = lambda x: spark.createDataFrame([(t,) for t in x], "text string")
+    idf = np.linspace(0.5, 3, decontamination.TERMS).astype(np.float32)
+    used = np.unique(np.concatenate([decontamination.terms(w.hash) for _, _, w in word_slices(pa.array(items + texts, pa.string()))]))
+    documents = frame(texts).mapInArrow(decontamination._held_terms, "terms binary")
+    got = decontamination.latent_basis(spark, frame(items), documents, used, idf)
+
+    def passages(texts):
+        for _, _, w in word_slices(pa.array(texts, pa.string())):
+            t = decontamination.terms(w.hash)
+            for of, lo in zip(*decontamination.passages_of(w.first), strict=True):
+                row = np.bincount(t[lo:min(lo + decontamination.PASSAGE, w.first[of + 1])], minlength=decontamination.TERMS)[used] * idf[used]
+                yield row / np.sqrt((row * idf[used]).sum())
+
+    docs, asked = np.array(list(passages(texts))), np.array(list(passages(items)))
+    gram = docs.T @ docs + decontamination.ITEM_WEIGHT * len(docs) / len(asked) * (asked.T @ asked)
+    value, vector = np.linalg.eigh(gram)
+    first = vector[:, np.argsort(-value)[:8]]
+    np.testing.assert_allclose(np.linalg.norm(got.T @ first, axis=0), 1, atol=2e-2)   # the leading directions lie in the space
+    assert np.allclose(got.T @ got, np.eye(got.shape[1]), atol=1e-4)
+
+
+def test_the_share_is_that_of_the_best_match(spark):
+    item = " ".join(f"word{i}" for i in range(40))
+    text = " ".join(["word0x", *item.split()[1:]]) + " " + " ".join(f"other{i}" for i in range(200)) + " " + item
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = decontamination.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r["leaked"], r["item_ids"], r["share"]) for r in got] == [(True, [7], 1.0)]
