@@ -171,6 +171,41 @@ def test_a_notice_of_the_host_goes_from_articles_that_do_not_mark_it(spark):
     assert all(by[k] == own[k] for k in range(7, 16))
 
 
+@pytest.mark.parametrize("shard", [1 << 20, 2000, 300])
+def test_texts_do_not_depend_on_the_number_of_shards(shard, spark, monkeypatch):
+    monkeypatch.setattr(extraction, "SHARD_TOKENS", shard)
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"W{rng.randrange(10**6)}" for _ in range(n))
+    few, pair, usual, quoted = say(14), say(14), say(12), say(12)
+    own = [say(20) for _ in range(120)]
+    extra = lambda k: few if k % 40 == 0 else pair if k in (1, 2) else ""
+    rows = [(k, "http://h.example/", f"<div>{extra(k)}</div><div>{own[k]}</div>") for k in range(100)]   # three pages hold few, two hold pair
+    rows += [(100 + k, "http://h.example/", f"<article><p>{own[k]}</p><p>{usual}</p><p>{quoted if k < 104 else ''}</p></article><nav>{usual} {k}</nav><div class=ad>{quoted}</div>")
+             for k in range(100, 120)]
+    rows += [(300, "http://small.example/", f"<div>{few}</div>")]
+    by = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(by) == len(rows) and by[300] == few
+    assert all(by[k] == (f"{pair}\n\n{own[k]}" if k in (1, 2) else own[k]) for k in range(100))
+    assert all(by[100 + k] == (f"{own[k]}\n\n{quoted}" if k < 104 else own[k]) for k in range(100, 120))   # what few articles quote stays
+
+
+def test_covered_tokens_are_those_of_repeated_sequences_alone():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        tail = rng.integers(1000, 2000, 6)   # two of the three pages go on alike
+        pages = [np.concatenate([rng.integers(0, 4, 12), np.arange(100, 109), tail if k < 2 else tail[:0], rng.integers(0, 4, 12)]) for k in range(3)]
+        stream = np.concatenate([np.append(p, -1 - k) for k, p in enumerate(pages)])
+        owner = np.concatenate([np.full(len(p) + 1, k) for k, p in enumerate(pages)])
+        grams: dict[tuple, set] = {}
+        for i in range(len(stream) - 7):
+            grams.setdefault(tuple(stream[i:i + 8].tolist()), set()).add(int(owner[i]))
+        want = np.zeros(len(stream), bool)
+        for i in range(len(stream) - 7):
+            if len(grams[tuple(stream[i:i + 8].tolist())]) >= 3:
+                want[i:i + 8] = True
+        assert (extraction.repeated(stream, owner) == want).all()
+
+
 # Scoring
 
 def test_lattice_sums_all_segmentations_and_expectations():
